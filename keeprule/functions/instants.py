@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 PERIOD_UNITS = ("day", "month", "year")
@@ -28,6 +29,13 @@ def instant_literal(instant: str | datetime) -> Column:
     return F.lit(as_utc(instant).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def instant_as(instant: Column, time_type: T.DataType) -> Column:
+    """A UTC instant in the type of the column it is compared with."""
+    if isinstance(time_type, T.TimestampType):
+        return F.convert_timezone(F.lit("UTC"), F.current_timezone(), instant).cast("timestamp")
+    return instant
+
+
 def parse_instant(text: Column) -> Column:
     """ISO text to a UTC instant; text without a zone is read as UTC."""
     zoned = F.when(text.rlike(r"(?:[Zz]|[+-]\d{2}(?::?\d{2})?)$"), text).otherwise(F.concat(text, F.lit("Z")))

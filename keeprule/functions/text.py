@@ -4,16 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The two literals of shell dumps and what each becomes in JSON.
 SHELL_INTEGER = r"NumberInt\((\d+)\)"
 SHELL_DATE = r'ISODate\("([^"]+)"\)'
 FLAT_OBJECT = r"\{[^}]+\}"
 
+# The characters that count as white space at the ends of an id.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def strip(text: Column) -> Column:
     """Drop white space of any kind at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def or_empty(column: Column) -> Column:
@@ -25,13 +33,18 @@ def shell_to_json(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, SHELL_INTEGER, "$1"), SHELL_DATE, '"$1"')
 
 
-def json_objects(text: Column) -> Column:
-    """A JSON array of objects as an array of maps; nested values stay JSON text.
+def text_struct(fields) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in fields])
+
+
+def json_objects(text: Column, fields=None) -> Column:
+    """A JSON array of objects as an array of maps, or of structs of the given fields.
 
-    NULL when the text is not a JSON array of objects, or goes on after it.
+    Values are text, nested ones JSON text. NULL when the text is not a JSON array of
+    objects, or goes on after it.
     """
-    parsed = F.from_json(text, "array<map<string,string>>")
-    return F.when(F.rtrim(text).endswith("]"), parsed)
+    item = T.MapType(T.StringType(), T.StringType()) if fields is None else text_struct(fields)
+    return F.when(F.rtrim(text).endswith("]"), F.from_json(text, T.ArrayType(item)))
 
 
 def unwrap_array(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keeprule.operators.lookups import names_for
-from keeprule.operators.policies import checked_thresholds, policy_thresholds
+from keeprule.operators.policies import checked_thresholds
 
 IDS_PER_BLOCK = 10_000
 
@@ -36,9 +36,7 @@ def expired_counts(
     the large table is only joined to the thresholds.
     """
     thresholds = checked_thresholds(policies, instant, midnight)
-    expired = thresholds.join_to(assignments.select("clusterId", "policyId", "startDate"), "inner").where(
-        F.col("startDate") < F.col("threshold")
-    )
+    expired = thresholds.expired(assignments.select("clusterId", "policyId", "startDate"))
     counts = expired.groupBy("clusterId", "policyId").agg(F.count("*").alias("expired_count"))
     return counts.join(clusters.select(F.col("_id").alias("clusterId")), "clusterId", "left_semi")
 
@@ -85,13 +83,7 @@ def expired_count_of(
     instant: str | datetime,
     midnight: bool = True,
 ) -> DataFrame:
-    """One row ``expired_count`` for one cluster and policy; both conditions reach the scan."""
-    one = policies.where(F.col("policyId") == policy_id)
-    checked_thresholds(one, instant, midnight)
-    time_type = assignments.schema["startDate"].dataType
-    threshold = policy_thresholds(one, instant, midnight).agg(F.min("threshold").cast(time_type).alias("threshold"))
-    return assignments.where(
-        (F.col("clusterId") == cluster_id)
-        & (F.col("policyId") == policy_id)
-        & (F.col("startDate") < threshold.scalar())
-    ).agg(F.count("*").alias("expired_count"))
+    """One row ``expired_count`` for one cluster and policy; all conditions reach the scan."""
+    rows = assignments.where((F.col("clusterId") == cluster_id) & (F.col("policyId") == policy_id))
+    one = checked_thresholds(policies.where(F.col("policyId") == policy_id), instant, midnight)
+    return one.expired(rows.select("policyId", "startDate")).agg(F.count("*").alias("expired_count"))

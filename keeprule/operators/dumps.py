@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keeprule.functions.instants import epoch_millis_text
-from keeprule.functions.text import FLAT_OBJECT, json_objects, or_empty, shell_to_json, strip, unwrap_array
+from keeprule.functions.text import FLAT_OBJECT, json_objects, or_empty, shell_to_json, strip, text_struct, unwrap_array
 
 # The fields of a policy dump, in report order.
 POLICY_FIELDS = (
@@ -24,11 +24,6 @@ POLICY_FIELDS = (
 )
 
 
-def _object_fields(text: Column, fields) -> list[Column]:
-    parsed = F.from_json(shell_to_json(text), "map<string,string>")
-    return [or_empty(parsed[name]).alias(name) for name in fields]
-
-
 def shell_objects(texts: DataFrame, column: str = "value") -> DataFrame:
     """One row ``object`` per flat ``{...}`` found in the text; other columns are kept."""
     found = F.regexp_extract_all(F.col(column), F.lit(FLAT_OBJECT), F.lit(0))
@@ -39,7 +34,10 @@ def shell_objects(texts: DataFrame, column: str = "value") -> DataFrame:
 def object_rows(objects: DataFrame, fields=POLICY_FIELDS) -> DataFrame:
     """The fields of each shell object as text columns; a missing one is empty."""
     others = [c for c in objects.columns if c != "object"]
-    return objects.select(*others, *_object_fields(F.col("object"), fields))
+    parsed = F.from_json(shell_to_json(F.col("object")), text_struct(fields))
+    return objects.select(*others, parsed.alias("fields")).select(
+        *others, *[or_empty(F.col("fields")[name]).alias(name) for name in fields]
+    )
 
 
 def shell_dump_rows(texts: DataFrame, column: str = "value", fields=POLICY_FIELDS) -> DataFrame:
@@ -55,7 +53,7 @@ def array_rows(texts: DataFrame, fields: list[str], column: str = "value", time_
     def value(name: str) -> Column:
         return epoch_millis_text(item[name]) if name == time_field else item[name]
 
-    return texts.select(*others, F.explode(json_objects(unwrap_array(F.col(column)))).alias("item")).select(
+    return texts.select(*others, F.explode(json_objects(unwrap_array(F.col(column)), fields)).alias("item")).select(
         *others, *[or_empty(value(name)).alias(name) for name in fields]
     )
 

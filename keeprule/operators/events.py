@@ -14,9 +14,12 @@ UNREPORTED_FIELDS = ("tenantid", "ver")
 MAX_FIELDS = 10_000
 
 
-def explode_events(log: DataFrame) -> DataFrame:
-    """``_id, event``: one row per event. Documents with unreadable events give none."""
-    return log.select("_id", F.explode(json_objects(F.col("events"))).alias("event")).where(
+def explode_events(log: DataFrame, fields=None) -> DataFrame:
+    """``_id, event``: one row per event, as a map, or as a struct of the given fields.
+
+    Documents with unreadable events give none.
+    """
+    return log.select("_id", F.explode(json_objects(F.col("events"), fields)).alias("event")).where(
         F.col("event").isNotNull()
     )
 
@@ -52,14 +55,18 @@ def event_rows(log: DataFrame, origin: str, tenant: str, fields: list[str] | Non
     """
     if fields is None:
         fields = event_fields(log)
+    shown = [name for name in fields if name not in ("_id", "_tm")]
+    parsed = sorted({"origin", "tenantid", "_tm", *shown})
+    if len({name.lower() for name in parsed}) < len(parsed):
+        parsed = None  # names that differ only in case are told apart in a map, not in a struct
     event = F.col("event")
     time = epoch_millis_text(F.coalesce(event["_tm"], F.lit("0")))
     return (
-        explode_events(log)
+        explode_events(log, parsed)
         .where((event["origin"] == origin) & (event["tenantid"] == tenant))
         .select(
             F.col("_id").cast("string").alias("_id"),
             time.alias("_tm"),
-            *[or_empty(event[name]).alias(name) for name in fields if name not in ("_id", "_tm")],
+            *[or_empty(event[name]).alias(name) for name in shown],
         )
     )

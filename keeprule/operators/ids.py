@@ -54,7 +54,7 @@ def id_batches(
     last = F.col("first") + F.col("copies") - 1
 
     def batch_of(place):
-        return F.floor(place / F.lit(size)).cast("long")
+        return F.call_function("div", place, F.lit(size))
 
     pieces = (
         placed.withColumn("last", last)

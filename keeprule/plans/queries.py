@@ -131,14 +131,14 @@ def active_tenants(a: Archive) -> DataFrame:
 
 @query
 def expired_by_cluster_policy(a: Archive) -> DataFrame:
-    report = counts.expiry_report(a.retention_policy_map, a.retention_policies, a.cluster, INSTANT)
-    return counts.if_tenant_active(report, a.tenancy, "t1")
+    rows = counts.if_tenant_active(a.retention_policy_map, a.tenancy, "t1")
+    return counts.expiry_report(rows, a.retention_policies, a.cluster, INSTANT)
 
 
 @query
 def expired_closed_tenant(a: Archive) -> DataFrame:
-    report = counts.expiry_report(a.retention_policy_map, a.retention_policies, a.cluster, INSTANT)
-    return counts.if_tenant_active(report, a.tenancy, "t2")
+    rows = counts.if_tenant_active(a.retention_policy_map, a.tenancy, "t2")
+    return counts.expiry_report(rows, a.retention_policies, a.cluster, INSTANT)
 
 
 @query
