@@ -275,9 +275,7 @@ def test_object_ids(spark):
         F.concat(F.lower(F.hex(F.unix_timestamp("d", "yyyy-MM-dd"))), F.repeat(F.lit("0"), 16)).alias("_id")
     )
     late = spark.sql(f"SELECT '{object_id_floor('2001-07-01')[:-1]}1' AS _id")
-    counted = growth.growth_by_month(
-        rows.union(late), "2001-06-01", "2001-07-01"
-    )
+    counted = growth.growth_by_month(rows.union(late), "2001-06-01", "2001-07-01")
     assert [tuple(r) for r in counted.collect()] == [("2001-06", 2), ("2001-07", 1)]
 
 
