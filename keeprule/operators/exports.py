@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from keeprule.operators.filters import project
@@ -14,6 +14,19 @@ def export_by_ids(rows: DataFrame, ids: DataFrame, key: str, fields: list[str],
     return project(rows_in_list(rows, ids, key, id_column), fields)
 
 
+def observed_export(
+    rows: DataFrame, ids: DataFrame, key: str, fields: list[str], id_column: str | None = None
+) -> tuple[DataFrame, Observation, Observation]:
+    """The export, with ``ids_given`` and ``rows_written`` counted while it is written.
+
+    The observations have a result once the export was written; no second pass is made.
+    """
+    given, written = Observation("ids_given"), Observation("rows_written")
+    ids = ids.observe(given, F.count("*").alias("ids_given"))
+    export = export_by_ids(rows, ids, key, fields, id_column)
+    return export.observe(written, F.count("*").alias("rows_written")), given, written
+
+
 def export_totals(rows: DataFrame, ids: DataFrame, key: str, id_column: str | None = None) -> DataFrame:
     """One row ``ids_given, ids_found, rows_written`` for an export by ids.
 
@@ -30,3 +43,8 @@ def export_totals(rows: DataFrame, ids: DataFrame, key: str, id_column: str | No
         F.count_if(listed & (F.col("written") > 0)).alias("ids_found"),
         F.coalesce(F.sum(F.when(listed, F.col("written"))), F.lit(0)).alias("rows_written"),
     )
+
+
+def remaining_units(units: DataFrame, finished: DataFrame, unit: str) -> DataFrame:
+    """The units of work that a restarted job still has to do."""
+    return units.select(unit).distinct().join(finished.select(unit), unit, "left_anti")

@@ -84,3 +84,8 @@ def purge_dry_run(rows: DataFrame, predicate: Column) -> DataFrame:
 def purge_kept(rows: DataFrame, predicate: Column) -> DataFrame:
     """The rows a purge would leave: those for which the predicate is false or unknown."""
     return rows.where(~_meets(predicate))
+
+
+def write_kept(rows: DataFrame, predicate: Column, path: str) -> None:
+    """Write the rows a purge would leave to a new place, which must not exist yet."""
+    purge_kept(rows, predicate).write.mode("errorifexists").parquet(path)

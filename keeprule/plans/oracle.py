@@ -218,6 +218,7 @@ oracle("purge_dry_run", "keyed_map", """
 SELECT count(*) FILTER (shard_key >= 600 AND shard_key < 2400) AS n_removed,
   count(*) FILTER (NOT (shard_key >= 600 AND shard_key < 2400)) AS n_kept FROM keyed_map""")
 oracle("purge_kept", "keyed_map", "SELECT shard_key, seq, gcId FROM keyed_map WHERE shard_key < 600 OR shard_key >= 2400")
+oracle("purged_copy", "keyed_map", "SELECT shard_key, seq, gcId FROM keyed_map WHERE shard_key < 600 OR shard_key >= 2400")
 oracle("purge_by_predicate", "archive_metrics", """
 SELECT _id FROM archive_metrics WHERE NOT coalesce(processing_state IN ('Archived', 'Duplicate'), false)""")
 
@@ -227,6 +228,7 @@ oracle("csv_given_columns", "retention_policy_map", f"""
 SELECT {MAP_EXPORT}, 'gcId,policyId,clusterId,channel,network,startDate' AS header FROM retention_policy_map""")
 oracle("csv_capped_files", "retention_policy_map", "SELECT count(*) AS n_rows, true AS within_cap FROM retention_policy_map")
 oracle("csv_by_index", "archive_metrics", "SELECT _id, gcId, src_file AS index FROM archive_metrics")
+oracle("resumed_index_export", "archive_metrics", "SELECT _id, src_file AS index FROM archive_metrics")
 oracle("json_records", "archive_metrics", "SELECT * FROM archive_metrics")
 oracle("id_text_file", "listed_ids", "SELECT gcId FROM listed_ids")
 oracle("document_files", "archive_metrics", "SELECT src_file, _id FROM archive_metrics")

@@ -28,7 +28,7 @@ from keeprule.operators import (
 from keeprule.plans.views import INSTANT, Archive
 from keeprule.session import new_folder
 from keeprule.sources import readers, writers
-from keeprule.streaming.evaluate import Evaluation, evaluate_new_ids, remaining_units
+from keeprule.streaming.evaluate import Evaluation, evaluate_new_ids
 from keeprule.streaming.ingest import DropFolder, ingest_if_absent
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -365,6 +365,13 @@ def purge_kept(a: Archive) -> DataFrame:
     return purge.purge_kept(a.keyed_map, filters.in_range("shard_key", 600, 2400)).select("shard_key", "seq", "gcId")
 
 
+@query
+def purged_copy(a: Archive) -> DataFrame:
+    path = new_folder(a.spark, "kept")
+    purge.write_kept(a.keyed_map, filters.in_range("shard_key", 600, 2400), path)
+    return a.spark.read.parquet(path).select("shard_key", "seq", "gcId")
+
+
 @query
 def purge_by_predicate(a: Archive) -> DataFrame:
     """Nothing is known of a missing state, so such records are kept."""
@@ -409,6 +416,16 @@ def csv_by_index(a: Archive) -> DataFrame:
     return filters.tables_like(readers.read_csv(a.spark, path), "f-*")
 
 
+@query
+def resumed_index_export(a: Archive) -> DataFrame:
+    """An export whose first run only had two of the indices, and whose last run had nothing to do."""
+    path, finished = new_folder(a.spark, "resumed"), new_folder(a.spark, "finished")
+    rows = a.archive_metrics.select("_id", F.col("src_file").alias("index"))
+    for part in (rows.where(F.col("index") < "f-2"), rows, rows):
+        writers.export_remaining_indices(part, path, finished, ["_id"])
+    return readers.read_csv(a.spark, path)
+
+
 @query
 def json_records(a: Archive) -> DataFrame:
     path = new_folder(a.spark, "json")
@@ -500,4 +517,4 @@ def incremental_totals(a: Archive) -> DataFrame:
 @query
 def remaining_files(a: Archive) -> DataFrame:
     finished = a.archive_metrics.where(F.col("src_file") < "f-2").select("src_file")
-    return remaining_units(a.archive_metrics, finished, "src_file")
+    return exports.remaining_units(a.archive_metrics, finished, "src_file")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from keeprule.operators.exports import remaining_units
 
 CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
 
@@ -34,7 +38,7 @@ def write_csv_by_index(
     files_per_index: int | None = None,
     mode: str = "errorifexists",
 ) -> None:
-    """A folder of CSV files per value of ``index``.
+    """A folder of CSV files per value of ``index``; overwriting replaces only the folders written.
 
     ``files_per_index`` gathers the slices of an index in about so many files, at the price
     of a shuffle; choose it by the largest index, since each file is written by one task.
@@ -43,7 +47,30 @@ def write_csv_by_index(
     if files_per_index:
         slot = F.pmod(F.xxhash64(*columns), F.lit(files_per_index))
         chosen = chosen.withColumn("slot", slot).repartition(index, "slot").drop("slot")
-    chosen.write.mode(mode).partitionBy(index).options(**CSV).csv(path)
+    writer = chosen.write.mode(mode).partitionBy(index).options(**CSV)
+    if mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.csv(path)
+
+
+def export_remaining_indices(
+    rows: DataFrame, path: str, finished: str, columns: list[str], index: str = "index", **settings
+) -> None:
+    """Write the indices that an earlier run did not finish, then note them as finished.
+
+    A run that was cut off left folders which are not noted; they are replaced as a whole.
+    """
+    spark = rows.sparkSession
+    schema = T.StructType([T.StructField(index, T.StringType())])
+    try:
+        done = spark.read.schema(schema).parquet(finished)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        done = spark.createDataFrame([], schema)
+    left = rows.join(done, index, "left_anti")
+    write_csv_by_index(left, path, columns, index, mode="overwrite", **settings)
+    remaining_units(rows, done, index).write.mode("append").parquet(finished)
 
 
 def write_json(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -66,7 +66,3 @@ def evaluate_new_ids(
     arriving = spark.readStream.schema("gcId string").option("recursiveFileLookup", True).parquet(job.ids)
     run_available(arriving, job.checkpoint, evaluate)
 
-
-def remaining_units(units: DataFrame, finished: DataFrame, unit: str) -> DataFrame:
-    """The units of work that a restarted batch job still has to do."""
-    return units.select(unit).distinct().join(finished.select(unit), unit, "left_anti")

@@ -5,9 +5,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from keeprule.operators.exports import remaining_units
 from keeprule.operators.flags import both_flags
 from keeprule.streaming import tables
-from keeprule.streaming.evaluate import Evaluation, evaluate_new_ids, remaining_units
+from keeprule.streaming.evaluate import Evaluation, evaluate_new_ids
 from keeprule.streaming.ingest import DropFolder, ingest_if_absent
 
 
