@@ -82,7 +82,7 @@ def expiry_counts(spark, o):
         rows = counts.if_tenant_active(rows, load(spark, o.tenancy), o.tenant)
     count = counts.expired_counts_dense if o.dense else counts.expired_counts
     result = count(rows, policies, clusters, o.instant, midnight=not o.exact_time)
-    save(lookups.names_for(result, policies), o.out)
+    save(counts.with_policy_names(result, policies), o.out)
 
 
 @job("before after out", "policies")

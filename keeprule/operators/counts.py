@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keeprule.operators.lookups import names_for
+from keeprule.operators.lookups import policy_names
 from keeprule.operators.policies import checked_thresholds
 
 IDS_PER_BLOCK = 10_000
@@ -41,9 +41,14 @@ def expired_counts(
     return counts.join(clusters.select(F.col("_id").alias("clusterId")), "clusterId", "left_semi")
 
 
+def with_policy_names(counts: DataFrame, policies: DataFrame) -> DataFrame:
+    """Add ``name`` to counts per policy, empty where the policy has none."""
+    return counts.join(policy_names(policies), "policyId", "left").withColumn("name", F.coalesce("name", F.lit("")))
+
+
 def expiry_report(assignments, policies, clusters, instant, midnight: bool = True) -> DataFrame:
     """The expired counts with the policy's name."""
-    return names_for(expired_counts(assignments, policies, clusters, instant, midnight), policies)
+    return with_policy_names(expired_counts(assignments, policies, clusters, instant, midnight), policies)
 
 
 def all_pairs(clusters: DataFrame, policies: DataFrame) -> DataFrame:

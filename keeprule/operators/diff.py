@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keeprule.functions.text import or_empty
-from keeprule.operators.lookups import names_for
+from keeprule.operators.lookups import lookup_join, policy_names
 
 LIST_SIZE = 1_000_000
 
@@ -108,5 +108,6 @@ def assignment_diff_named(
     before: DataFrame, after: DataFrame, policies: DataFrame, list_size: int = LIST_SIZE
 ) -> DataFrame:
     """As ``assignment_diff`` with names for ids where known; the order stays that of the ids."""
-    counts = names_for(assignment_counts(before, after), policies, fallback_to_id=True)
+    counts = lookup_join(assignment_counts(before, after), policy_names(policies), "policyId", "left")
+    counts = counts.withColumn("name", F.coalesce("name", "policyId"))
     return _report(_changes(counts, "name"), list_size)

@@ -32,17 +32,13 @@ def export_totals(rows: DataFrame, ids: DataFrame, key: str, id_column: str | No
 
     ``ids_given`` counts the list as it is; ``ids_found`` counts distinct ids with rows.
     """
-    wanted = ids.select(F.col(id_column or key).alias(key)).where(F.col(key).isNotNull())
-    sides = wanted.select(key, F.lit(1).alias("given"), F.lit(0).alias("written")).unionByName(
-        rows.where(F.col(key).isNotNull()).select(key, F.lit(0).alias("given"), F.lit(1).alias("written"))
-    )
-    per_id = sides.groupBy(key).agg(F.sum("given").alias("given"), F.sum("written").alias("written"))
-    listed = F.col("given") > 0
-    return per_id.agg(
-        F.coalesce(F.sum("given"), F.lit(0)).alias("ids_given"),
-        F.count_if(listed & (F.col("written") > 0)).alias("ids_found"),
-        F.coalesce(F.sum(F.when(listed, F.col("written"))), F.lit(0)).alias("rows_written"),
+    per_id = rows_in_list(rows.select(key), ids, key, id_column).groupBy(key).agg(F.count("*").alias("n"))
+    none = F.lit(0).cast("long")
+    found = per_id.agg(
+        none.alias("ids_given"), F.count("*").alias("ids_found"), F.coalesce(F.sum("n"), none).alias("rows_written")
     )
+    given = ids.agg(F.count(id_column or key).alias("ids_given"), none.alias("ids_found"), none.alias("rows_written"))
+    return found.unionByName(given).agg(*[F.sum(c).alias(c) for c in found.columns])
 
 
 def remaining_units(units: DataFrame, finished: DataFrame, unit: str) -> DataFrame:

@@ -106,8 +106,6 @@ def first_match(
     return lookup_join(wanted, matches, key, "inner", small, hot_key_rows)
 
 
-def names_for(rows: DataFrame, policies: DataFrame, fallback_to_id: bool = False) -> DataFrame:
-    """Add ``name`` by ``policyId``; without one it is empty, or the id itself."""
-    names = policies.where(F.col("policyId").isNotNull()).groupBy("policyId").agg(F.min("name").alias("name"))
-    fallback = F.col("policyId") if fallback_to_id else F.lit("")
-    return lookup_join(rows, names, "policyId", "left").withColumn("name", F.coalesce("name", fallback))
+def policy_names(policies: DataFrame) -> DataFrame:
+    """``policyId, name``, one row per policy."""
+    return policies.where(F.col("policyId").isNotNull()).groupBy("policyId").agg(F.min("name").alias("name"))

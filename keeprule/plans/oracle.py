@@ -21,10 +21,10 @@ def threshold(instant: str, midnight: bool) -> str:
   WHEN 'month' THEN {calendar} - to_months(retentionPeriod) ELSE {calendar} - to_years(retentionPeriod) END"""
 
 
-def thresholds(midnight: bool) -> str:
+def thresholds(midnight: bool, policies: str = "retention_policies") -> str:
     return (
         f"SELECT policyId, name, sourceType, CAST({threshold(INSTANT, midnight)} AS TIMESTAMP) AS threshold "
-        "FROM retention_policies"
+        f"FROM {policies}"
     )
 
 
@@ -52,11 +52,9 @@ FLAG_STEPS = dict(
     thresholds=EXACT, universe=UNIVERSE, ret_active=active(RET), sup_active=active(SUP), holds=HOLDS, flags=FLAGS
 )
 
-oracle("policy_thresholds", "retention_policies", f"SELECT policyId, CAST(threshold AS VARCHAR) AS threshold FROM ({EXACT})")
-oracle(
-    "policy_thresholds_midnight", "retention_policies",
-    f"SELECT policyId, CAST(threshold AS VARCHAR) AS threshold FROM ({MIDNIGHT})",
-)
+for name, midnight in (("policy_thresholds", False), ("policy_thresholds_midnight", True)):
+    oracle(name, "part_policies", f"""
+SELECT policyId, CAST(threshold AS VARCHAR) AS threshold FROM ({thresholds(midnight, "part_policies")})""")
 oracle("parsed_instants", "", """
 SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 1 THEN o_orderdate - INTERVAL 2 HOUR ELSE o_orderdate END AS VARCHAR) AS instant
 FROM orders""")
@@ -83,7 +81,7 @@ COUNTS = """SELECT m.clusterId, m.policyId, count(*) AS expired_count
   FROM retention_policy_map m JOIN thresholds t ON m.policyId = t.policyId AND m.startDate < t.threshold
   WHERE m.clusterId IN (SELECT _id FROM cluster) GROUP BY ALL"""
 COUNT_VIEWS = "retention_policies retention_policy_map cluster tenancy"
-oracle("active_tenants", "tenancy", "SELECT * FROM tenancy WHERE status = 'active' AND tenantuuid IS NOT NULL")
+oracle("active_tenants", "customer_tenancy", "SELECT * FROM customer_tenancy WHERE status = 'active' AND tenantuuid IS NOT NULL")
 for tenant, name in (("t1", "expired_by_cluster_policy"), ("t2", "expired_closed_tenant")):
     oracle(name, COUNT_VIEWS, f"""
 SELECT c.clusterId, c.policyId, c.expired_count, coalesce(p.name, '') AS name
@@ -145,7 +143,7 @@ oracle("pending_snapshots", "hold_request_history", """
 SELECT snapshotId FROM hold_request_history WHERE holdRequestId = 'hr-3' AND status IS DISTINCT FROM 'SUCCESS'""")
 oracle("listed_channels", "retention_policy_map", """
 SELECT _id, policyId FROM retention_policy_map WHERE policyId IN ('pol-1', 'pol-5', 'pol-26')""")
-oracle("policy_report", "retention_policies", f"SELECT {POLICY_EXPORT} FROM retention_policies")
+oracle("policy_report", "part_policies", f"SELECT {POLICY_EXPORT} FROM part_policies")
 oracle("renamed_headers", "case_items", "SELECT _id, gcid AS gcId, holdFlag FROM case_items")
 oracle("index_scan", "archive_metrics", """
 SELECT _id, src_file AS index FROM archive_metrics WHERE src_file IN ('f-1', 'f-2')""")
@@ -202,18 +200,22 @@ oracle("growth_by_month", "", f"{MONTHS} GROUP BY 1 ORDER BY 1")
 oracle("growth_in_range", "", f"""
 {MONTHS} WHERE o_orderdate >= TIMESTAMP '1994-03-01' AND o_orderdate <= TIMESTAMP '1997-06-01' GROUP BY 1 ORDER BY 1""")
 
-CHUNK_STEPS = dict(
-    inventory="""SELECT c.shard, c.chunk_id, c.min_key, c.max_key, count(m.shard_key) AS n_rows,
+def chunk_steps(chunks: str) -> dict[str, str]:
+    return dict(
+        inventory=f"""SELECT c.shard, c.chunk_id, c.min_key, c.max_key, count(m.shard_key) AS n_rows,
   CAST(coalesce(sum(CASE WHEN m.shard_key IS NULL THEN 0 ELSE 8 + length(gcId) + length(policyId) + length(clusterId) + 4
     + CASE WHEN startDate IS NULL THEN 0 ELSE 8 END END), 0) AS BIGINT) AS n_bytes
-  FROM chunks c LEFT JOIN keyed_map m ON m.shard_key >= c.min_key AND m.shard_key < c.max_key GROUP BY ALL"""
-)
+  FROM {chunks} c LEFT JOIN keyed_map m ON m.shard_key >= c.min_key AND m.shard_key < c.max_key GROUP BY ALL"""
+    )
+
+
 SIZE = "printf('%.2f MB', n_bytes / 1048576.0)"
-oracle("chunk_inventory", "chunks keyed_map", f"SELECT *, {SIZE} AS size_text FROM inventory", **CHUNK_STEPS)
+for name, chunks in (("chunk_inventory", "chunks"), ("fine_chunk_inventory", "customer_chunks")):
+    oracle(name, f"{chunks} keyed_map", f"SELECT *, {SIZE} AS size_text FROM inventory", **chunk_steps(chunks))
 oracle("chunk_totals", "chunks keyed_map", f"""
 SELECT shard, n_chunks, n_rows, n_bytes, {SIZE} AS size_text FROM (
   SELECT coalesce(shard, '(all)') AS shard, count(*) AS n_chunks, CAST(sum(n_rows) AS BIGINT) AS n_rows,
-    CAST(sum(n_bytes) AS BIGINT) AS n_bytes FROM inventory GROUP BY ROLLUP (shard))""", **CHUNK_STEPS)
+    CAST(sum(n_bytes) AS BIGINT) AS n_bytes FROM inventory GROUP BY ROLLUP (shard))""", **chunk_steps("chunks"))
 oracle("purge_dry_run", "keyed_map", """
 SELECT count(*) FILTER (shard_key >= 600 AND shard_key < 2400) AS n_removed,
   count(*) FILTER (NOT (shard_key >= 600 AND shard_key < 2400)) AS n_kept FROM keyed_map""")
@@ -222,8 +224,8 @@ oracle("purged_copy", "keyed_map", "SELECT shard_key, seq, gcId FROM keyed_map W
 oracle("purge_by_predicate", "archive_metrics", """
 SELECT _id FROM archive_metrics WHERE NOT coalesce(processing_state IN ('Archived', 'Duplicate'), false)""")
 
-oracle("csv_sorted_columns", "retention_policies", f"""
-SELECT {POLICY_EXPORT}, 'category,name,policyId,retentionPeriod,sourceType,unitOfPeriod' AS header FROM retention_policies""")
+oracle("csv_sorted_columns", "part_policies", f"""
+SELECT {POLICY_EXPORT}, 'category,name,policyId,retentionPeriod,sourceType,unitOfPeriod' AS header FROM part_policies""")
 oracle("csv_given_columns", "retention_policy_map", f"""
 SELECT {MAP_EXPORT}, 'gcId,policyId,clusterId,channel,network,startDate' AS header FROM retention_policy_map""")
 oracle("csv_capped_files", "retention_policy_map", "SELECT count(*) AS n_rows, true AS within_cap FROM retention_policy_map")

@@ -58,13 +58,13 @@ def listed(column: str) -> F.Column:
 
 @query
 def policy_thresholds(a: Archive) -> DataFrame:
-    table = policies.policy_thresholds(a.retention_policies, INSTANT)
+    table = policies.policy_thresholds(a.part_policies, INSTANT)
     return table.select("policyId", F.col("threshold").cast("string").alias("threshold"))
 
 
 @query
 def policy_thresholds_midnight(a: Archive) -> DataFrame:
-    table = policies.policy_thresholds(a.retention_policies, INSTANT, midnight=True)
+    table = policies.policy_thresholds(a.part_policies, INSTANT, midnight=True)
     return table.select("policyId", F.col("threshold").cast("string").alias("threshold"))
 
 
@@ -126,7 +126,7 @@ def flag_upsert(a: Archive) -> DataFrame:
 
 @query
 def active_tenants(a: Archive) -> DataFrame:
-    return counts.active_tenants(a.tenancy)
+    return counts.active_tenants(a.customer_tenancy)
 
 
 @query
@@ -227,7 +227,7 @@ def listed_channels(a: Archive) -> DataFrame:
 
 @query
 def policy_report(a: Archive) -> DataFrame:
-    return filters.project(a.retention_policies, POLICY_FIELDS)
+    return filters.project(a.part_policies, POLICY_FIELDS)
 
 
 @query
@@ -350,6 +350,11 @@ def chunk_inventory(a: Archive) -> DataFrame:
     return purge.chunk_inventory(a.keyed_map, a.chunks, "shard_key")
 
 
+@query
+def fine_chunk_inventory(a: Archive) -> DataFrame:
+    return purge.chunk_inventory(a.keyed_map, a.customer_chunks, "shard_key")
+
+
 @query
 def chunk_totals(a: Archive) -> DataFrame:
     return purge.chunk_totals(purge.chunk_inventory(a.keyed_map, a.chunks, "shard_key"))
@@ -384,7 +389,7 @@ def purge_by_predicate(a: Archive) -> DataFrame:
 @query
 def csv_sorted_columns(a: Archive) -> DataFrame:
     path = new_folder(a.spark, "policies")
-    writers.write_csv(filters.project(a.retention_policies, POLICY_FIELDS), path)
+    writers.write_csv(filters.project(a.part_policies, POLICY_FIELDS), path)
     rows = readers.read_csv(a.spark, path, required=("policyId",))
     return rows.withColumn("header", F.lit(",".join(rows.columns)))
 

@@ -19,6 +19,11 @@ SELECT 'pol-' || n_nationkey AS policyId, n_name AS name,
   CASE n_nationkey % 3 WHEN 0 THEN 'Day' WHEN 1 THEN 'MONTH' ELSE 'year' END AS unitOfPeriod,
   CASE n_regionkey WHEN 0 THEN 'supervision' WHEN 1 THEN NULL ELSE 'archive' END AS sourceType
 FROM {nation}""",
+    "part_policies": """
+SELECT 'pol-' || p_partkey AS policyId, p_name AS name, p_size AS retentionPeriod,
+  CASE p_partkey % 3 WHEN 0 THEN 'Day' WHEN 1 THEN 'MONTH' ELSE 'year' END AS unitOfPeriod,
+  CASE WHEN p_type = 'ECONOMY' THEN 'supervision' WHEN p_partkey % 7 = 0 THEN NULL ELSE 'archive' END AS sourceType
+FROM {part}""",
     "retention_policy_map": """
 SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CAST(l_shipdate AS DATE) AS STRING)) AS _id,
   'gc-' || l_orderkey AS gcId, 'pol-' || (l_suppkey % 28) AS policyId, 'cl-' || (l_partkey % 6) AS clusterId,
@@ -29,6 +34,10 @@ FROM {lineitem}""",
 SELECT 't' || r_regionkey AS _id, CASE WHEN r_regionkey < 3 THEN 'active' ELSE 'closed' END AS status,
   CASE WHEN r_regionkey = 2 THEN NULL ELSE 'uuid-' || r_regionkey END AS tenantuuid
 FROM {region}""",
+    "customer_tenancy": """
+SELECT 't' || c_custkey AS _id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'closed' ELSE 'active' END AS status,
+  CASE WHEN c_nationkey % 5 = 0 THEN NULL ELSE 'uuid-' || c_custkey END AS tenantuuid
+FROM {customer}""",
     "case_items": """
 SELECT event_id AS _id, 'gc-' || (user_id * 100 + event_id % 150) AS gcid,
   CASE event_type WHEN 'error' THEN true WHEN 'view' THEN NULL ELSE false END AS holdFlag
@@ -56,6 +65,9 @@ FROM {lineitem}""",
 SELECT 'sh-' || n_regionkey AS shard, n_nationkey AS chunk_id, n_nationkey * 600 AS min_key,
   CASE WHEN n_nationkey = 24 THEN 1000000000 ELSE (n_nationkey + 1) * 600 END AS max_key
 FROM {nation}""",
+    "customer_chunks": """
+SELECT 'sh-' || c_nationkey AS shard, c_custkey AS chunk_id, c_custkey * 8 AS min_key, c_custkey * 8 + 8 AS max_key
+FROM {customer}""",
     "event_rows": """
 SELECT event_id AS id, 'ev-' || user_id || '-' || CAST(floor(event_id / 100.0) AS BIGINT) AS doc_id,
   CASE WHEN event_type IN ('purchase', 'signup') THEN 'DISPOSITION' ELSE 'INGEST' END AS origin,

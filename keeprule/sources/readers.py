@@ -23,8 +23,11 @@ def read_records(spark: SparkSession, path: str | list[str], schema=None, one_ar
 
 
 def csv_options(multiline: bool = False) -> dict:
-    """Options for CSV with doubled quotes; ``multiline`` allows line breaks in values."""
-    return {"header": True, "escape": '"', "multiLine": multiline}
+    """Options for CSV with doubled quotes; ``multiline`` allows line breaks in values.
+
+    A file whose header differs from that of the table fails instead of mixing up columns.
+    """
+    return {"header": True, "escape": '"', "multiLine": multiline, "enforceSchema": False}
 
 
 def read_csv(
@@ -42,11 +45,10 @@ def read_csv(
     missing = [c for c in required if c not in rows.columns]
     if missing:
         raise ValueError(f"no column {', '.join(missing)} in {path}")
-    filled = rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns])
+    columns = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns]
     if with_file:
-        file_name = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "").alias(with_file)
-        filled = rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns], file_name)
-    return filled
+        columns.append(F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "").alias(with_file))
+    return rows.select(*columns)
 
 
 def read_ids(spark: SparkSession, path: str | list[str], column: str = "id") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keeprule.functions.text import strip
 from keeprule.operators.filters import rename_headers
 from keeprule.operators.upserts import absent_records
 from keeprule.sources.readers import csv_options, text_schema
@@ -66,7 +67,7 @@ def ingest_if_absent(spark: SparkSession, drop: DropFolder) -> None:
         session = batch.sparkSession
         batch = batch.persist()
         try:
-            keyed = F.coalesce(F.trim(drop.key), F.lit("")) != ""
+            keyed = F.coalesce(strip(F.col(drop.key)), F.lit("")) != ""
             write_batch(batch.where(~keyed), drop.rejects, writer, batch_id)
             stored = rows_before(session, drop.table, drop.schema, writer, batch_id)
             write_batch(absent_records(batch.where(keyed), stored, drop.key), drop.table, writer, batch_id)

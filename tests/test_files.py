@@ -50,6 +50,13 @@ def test_many_files_are_one_table(spark, folder):
     assert sorted(tuple(r) for r in rows.collect()) == [(" g1", "a"), ("g2", "a"), ("g2", "b")]
 
 
+def test_files_with_other_headers_are_refused(spark, folder):
+    Path(f"{folder}/a.csv").write_text("x,y\n1,2\n")
+    Path(f"{folder}/b.csv").write_text("y,x\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, folder).collect()
+
+
 def test_files_are_cut_at_the_row_limit(spark, folder):
     writers.write_csv(spark.range(1000).coalesce(1), f"{folder}/out", max_rows_per_file=300)
     sizes = sorted(len(csv_rows_of(f)) for f in Path(f"{folder}/out").glob("*.csv"))
