@@ -127,9 +127,9 @@ def lookup(spark, o):
 
 @job("csv out", "size")
 def id_batches(spark, o):
-    rows = readers.read_csv(spark, o.csv, required=("_id",), with_file="src_file")
-    batches = ids.id_batches(rows, "src_file", "_id", int(o.size or ids.BATCH_SIZE))
-    writers.write_documents(ids.as_json_documents(batches), o.out, "src_file")
+    rows = readers.read_numbered_csv(spark, o.csv, required=("_id",))
+    batches = ids.id_batches_in_order(rows, "file", "_id", int(o.size or ids.BATCH_SIZE))
+    writers.write_documents(ids.as_json_documents(batches), o.out, "file")
 
 
 @job("csv column out")

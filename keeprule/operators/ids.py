@@ -1,7 +1,8 @@
 """Id lists: distinct and sorted, and packed in documents of bounded length per file.
 
-Numbering the ids of a file with one window over the file would send a large file to
-one task. Here the ids of a file are spread over buckets by the first digits of their
+Rows that were numbered when their file was read (``readers.read_numbered_csv``) are packed
+in the order of the file. For any other table, numbering the ids of a group with one window
+over the group would send a large group to one task. Here the ids of a group are spread over buckets by the first digits of their
 MD5 sum, numbered within each bucket, and shifted by the sizes of the buckets before.
 This needs no fixed partitioning, so a lost task may be computed again at any time.
 """
@@ -71,6 +72,18 @@ def id_batches(
     )
 
 
+def id_batches_in_order(rows: DataFrame, group: str, id_column: str, size: int = BATCH_SIZE) -> DataFrame:
+    """As ``id_batches`` for rows with a ``position`` in their group, in the order of positions."""
+    placed = rows.select(
+        group, F.call_function("div", "position", F.lit(size)).alias("batch"), "position",
+        strip(F.coalesce(id_column, F.lit(""))).alias("id"),
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("position", "id")))
+    return placed.groupBy(group, "batch").agg(in_order["id"].alias("ids")).select(
+        group, (F.col("batch") + 1).alias("batch"), F.size("ids").cast("long").alias("n_ids"), "ids"
+    )
+
+
 def id_documents(rows: DataFrame, group: str, id_column: str, size: int = DOCUMENT_SIZE) -> DataFrame:
     """One array of ids per group; a group above ``size`` ids goes on in further documents."""
     return id_batches(rows, group, id_column, size)

@@ -166,6 +166,7 @@ oracle("id_documents", "archive_metrics", """
 SELECT src_file, CAST(1 AS BIGINT) AS batch, count(*) AS n_ids,
   '{"archiveMetricIds":["' || string_agg(_id, '","' ORDER BY place) || '"]}' AS document
 FROM placed GROUP BY src_file""", placed=PLACED)
+oracle("file_id_batches", "archive_metrics", "SELECT _id, true AS full FROM archive_metrics")
 oracle("sorted_ids", "retention_policy_map", "SELECT DISTINCT gcId AS gcid FROM retention_policy_map ORDER BY 1")
 oracle("dedup_rows", "retention_policy_map", "SELECT DISTINCT gcId, channel, network FROM retention_policy_map")
 oracle("union_slices", "map_before map_after", "SELECT * FROM map_before UNION ALL SELECT * FROM map_after")

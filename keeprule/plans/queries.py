@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keeprule.functions.instants import parse_instant
@@ -267,6 +267,17 @@ def id_batches(a: Archive) -> DataFrame:
     return batches.select("src_file", "batch", "n_ids", listed("ids"))
 
 
+@query
+def file_id_batches(a: Archive) -> DataFrame:
+    """Ids packed file by file; a batch is full unless it is the last of its file."""
+    path = new_folder(a.spark, "id-files")
+    writers.write_csv(a.archive_metrics.select("_id"), path, max_rows_per_file=4_321)
+    batches = ids.id_batches_in_order(readers.read_numbered_csv(a.spark, path, ("_id",)), "file", "_id")
+    last = F.max("batch").over(Window.partitionBy("file"))
+    full = (F.col("n_ids") == ids.BATCH_SIZE) | (F.col("batch") == last)
+    return batches.withColumn("full", full).select(F.explode("ids").alias("_id"), "full")
+
+
 @query
 def id_documents(a: Archive) -> DataFrame:
     documents = ids.id_documents(a.archive_metrics, "src_file", "_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,32 @@ def read_csv(
     return rows.select(*columns)
 
 
+def read_numbered_csv(spark: SparkSession, path: str | list[str], required: tuple[str, ...] = ()) -> DataFrame:
+    """CSV rows with ``file`` and ``position``, their place in the file from 0.
+
+    The rows stay where they are read. Only one row per split of a file is shuffled: its
+    number of rows and its first row id, from which the place of every row follows.
+    """
+    rows = read_csv(spark, path, required)
+    columns = rows.columns
+    numbered = rows.select(
+        *columns,
+        F.col("_metadata.file_path").alias("path"),
+        F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        numbered.groupBy("path", "block")
+        .agg(F.count("*").alias("rows"), F.min("row").alias("first_row"))
+        .select("path", "block", "first_row", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    )
+    return numbered.join(splits, ["path", "block"]).select(
+        *columns, "file", (F.col("start") + F.col("row") - F.col("first_row")).alias("position")
+    )
+
+
 def read_ids(spark: SparkSession, path: str | list[str], column: str = "id") -> DataFrame:
     """Text lines as ids: trimmed, blank lines left out."""
     return spark.read.text(path).select(strip(F.col("value")).alias(column)).where(F.col(column) != "")

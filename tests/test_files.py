@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from keeprule.operators import dumps
+from keeprule.operators import dumps, ids
 from keeprule.sources import readers, writers
 
 AWKWARD = [("a,b", 'say "hi"'), ("", " padded "), ("back\\slash", "it's"), ("é", "\\")]
@@ -120,6 +120,28 @@ def test_objects_are_the_same_in_pieces_and_in_whole_texts(spark, folder, split_
     assert len(pieces) == 6
 
 
+@pytest.mark.parametrize("split_bytes", [None, "64"])
+def test_ids_are_packed_in_the_order_of_their_file(spark, folder, split_bytes):
+    listed = {"one": [f"i{i * 7919 % 1000}" for i in range(500)], "two": ["same"] * 130, "three": ["x"]}
+    for name, values in listed.items():
+        Path(f"{folder}/{name}.csv").write_text("_id,more\n" + "".join(f" {v} ,{'m' * (len(v) * 3)}\n" for v in values))
+    Path(f"{folder}/empty.csv").write_text("_id,more\n")
+    try:
+        if split_bytes:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        batches = ids.id_batches_in_order(readers.read_numbered_csv(spark, folder, ("_id",)), "file", "_id", 50)
+        found = batches.orderBy("file", "batch").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for name, values in listed.items():
+        own = [b["ids"] for b in found if b["file"] == name]
+        assert [v for b in own for v in b] == values
+        assert [len(b) for b in own[:-1]] == [50] * (len(own) - 1)
+    assert {b["file"] for b in found} == set(listed)
+
+
 def test_documents_in_a_folder_per_group(spark, folder):
     documents = spark.sql("SELECT concat('f', id % 2) AS f, concat('{\"n\":', id, '}') AS document FROM range(4)")
     writers.write_documents(documents, f"{folder}/out", "f")

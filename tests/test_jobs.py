@@ -98,8 +98,8 @@ def test_id_files(run, folder):
     put(f"{folder}/csv/one.csv", "_id\n a\nb\nc\n")
     put(f"{folder}/csv/two.csv", "_id\nb\n")
     run("id-batches", "--csv", f"{folder}/csv", "--size", "2", "--out", f"{folder}/batches")
-    documents = {d: [json.loads(t)["archiveMetricIds"] for t in lines(f"{folder}/batches/src_file={d}")] for d in ("one", "two")}
-    assert sorted(len(ids) for ids in documents["one"]) == [1, 2] and documents["two"] == [["b"]]
+    documents = {d: [json.loads(t)["archiveMetricIds"] for t in lines(f"{folder}/batches/file={d}")] for d in ("one", "two")}
+    assert sorted(documents["one"]) == [["a", "b"], ["c"]] and documents["two"] == [["b"]]
     run("sorted-ids", "--csv", f"{folder}/csv", "--column", "_id", "--out", f"text:{folder}/sorted")
     assert lines(f"{folder}/sorted", "*.txt") == ["a", "b", "c"]
     run("dedup-rows", "--rows", f"csv:{folder}/csv", "--out", f"csv:{folder}/distinct")
