@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keeprule.functions.sizes import row_bytes
+
 BROADCAST_ROWS = 5_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_KEY_ROWS = 5_000_000
@@ -17,8 +19,7 @@ HOT_KEY_ROWS = 5_000_000
 
 def table_size(frame: DataFrame) -> tuple[int, int]:
     """Rows and approximate bytes of a table, in one aggregation."""
-    width = F.octet_length(F.to_json(F.struct("*"))) if frame.columns else F.lit(0)
-    row = frame.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    row = frame.agg(F.count("*").alias("n"), F.coalesce(F.sum(row_bytes(frame)), F.lit(0)).alias("b")).first()
     return row["n"], row["b"]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keeprule.operators.flags import both_flags, unique_ids, verdict_totals
+from keeprule.operators.flags import both_flags, verdict_totals
 from keeprule.operators.lookups import fits_broadcast, table_size
 from keeprule.streaming.tables import batch_folder, read_rows, run_available, write_batch
 
@@ -53,15 +53,12 @@ def evaluate_new_ids(
 
     def evaluate(batch: DataFrame, writer: str, batch_id: int) -> None:
         session = batch.sparkSession
-        ids = unique_ids(batch)
+        ids = batch.where(F.col("gcId").isNotNull())
         own = _assignments_of(assignments, ids)
         write_batch(both_flags(own, policies, instant, ids), job.flags, writer, batch_id)
         written = session.read.schema(FLAG_SCHEMA).parquet(batch_folder(job.flags, writer, batch_id))
-        totals = [
-            written.agg(F.lit(verdict).alias("verdict"), *verdict_totals(verdict))
-            for verdict in ("ret_policies_expired", "sup_policies_expired")
-        ]
-        write_batch(totals[0].unionByName(totals[1]), job.progress, writer, batch_id)
+        verdicts = written.unpivot("gcId", ["ret_policies_expired", "sup_policies_expired"], "verdict", "flag")
+        write_batch(verdicts.groupBy("verdict").agg(*verdict_totals("flag")), job.progress, writer, batch_id)
 
     arriving = spark.readStream.schema("gcId string").option("recursiveFileLookup", True).parquet(job.ids)
     run_available(arriving, job.checkpoint, evaluate)
