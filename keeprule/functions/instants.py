@@ -74,8 +74,12 @@ def epoch_seconds_instant(seconds: Column) -> Column:
 
 
 def epoch_millis_text(millis: Column) -> Column:
-    """Epoch milliseconds, as number or numeric text, to ``yyyy-MM-dd HH:mm:ss`` in UTC."""
-    return epoch_seconds_instant(F.floor(millis.cast("long") / 1000)).cast("string")
+    """Epoch milliseconds, as number or numeric text, to ``yyyy-MM-dd HH:mm:ss`` in UTC.
+
+    NULL for text that is not a number.
+    """
+    seconds = F.floor(millis.try_cast("decimal(18,3)") / 1000)
+    return epoch_seconds_instant(seconds).cast("string")
 
 
 def object_id_seconds(object_id: Column) -> Column:

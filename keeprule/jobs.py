@@ -154,14 +154,17 @@ def event_rows(spark, o):
 @job("text out", "fields")
 def shell_dump(spark, o):
     fields = names(o.fields) if o.fields else list(dumps.POLICY_FIELDS)
-    rows = dumps.object_rows(readers.read_shell_objects(spark, o.text), fields)
-    save(rows.select(*fields), o.out, fields)
+    objects = readers.read_shell_objects(spark, o.text)
+    save(dumps.object_rows(objects, fields).select(*fields), o.out, fields)
+    print({"unreadable": dumps.unreadable_objects(objects, fields).count()})
 
 
 @job("text fields out")
 def array_rows(spark, o):
     fields = names(o.fields)
-    save(dumps.array_rows(readers.read_texts(spark, o.text), fields).select(*fields), o.out, fields)
+    texts = readers.read_texts(spark, o.text)
+    save(dumps.array_rows(texts, fields).select(*fields), o.out, fields)
+    print({"unreadable": dumps.unreadable_arrays(texts).count()})
 
 
 @job("text out")

@@ -31,13 +31,25 @@ def shell_objects(texts: DataFrame, column: str = "value") -> DataFrame:
     return texts.select(*others, F.explode(found).alias("object"))
 
 
+def _parsed_objects(objects: DataFrame, fields) -> DataFrame:
+    """Add ``fields``, a struct of the fields, with the object itself in ``unreadable`` if it is no JSON."""
+    schema = text_struct([*fields, "unreadable"])
+    parsed = F.from_json(shell_to_json(F.col("object")), schema, {"columnNameOfCorruptRecord": "unreadable"})
+    return objects.withColumn("fields", parsed)
+
+
 def object_rows(objects: DataFrame, fields=POLICY_FIELDS) -> DataFrame:
-    """The fields of each shell object as text columns; a missing one is empty."""
+    """The fields of each shell object as text columns; a missing one is empty.
+
+    Objects that are no JSON give no row; ``unreadable_objects`` lists them.
+    """
     others = [c for c in objects.columns if c != "object"]
-    parsed = F.from_json(shell_to_json(F.col("object")), text_struct(fields))
-    return objects.select(*others, parsed.alias("fields")).select(
-        *others, *[or_empty(F.col("fields")[name]).alias(name) for name in fields]
-    )
+    readable = _parsed_objects(objects, fields).where(F.col("fields.unreadable").isNull())
+    return readable.select(*others, *[or_empty(F.col("fields")[name]).alias(name) for name in fields])
+
+
+def unreadable_objects(objects: DataFrame, fields=POLICY_FIELDS) -> DataFrame:
+    return _parsed_objects(objects, fields).where(F.col("fields.unreadable").isNotNull()).drop("fields")
 
 
 def shell_dump_rows(texts: DataFrame, column: str = "value", fields=POLICY_FIELDS) -> DataFrame:
@@ -58,6 +70,11 @@ def array_rows(texts: DataFrame, fields: list[str], column: str = "value", time_
     )
 
 
+def unreadable_arrays(texts: DataFrame, column: str = "value") -> DataFrame:
+    """The texts that give no rows because they are no array of objects even when unwrapped."""
+    return texts.where(F.col(column).isNotNull() & json_objects(unwrap_array(F.col(column))).isNull())
+
+
 def _id_objects(text: Column) -> Column:
     objects = F.regexp_replace(strip(text), r"^,+|,+$", "")
     wrapped = F.concat(F.lit("["), objects, F.lit("]"))

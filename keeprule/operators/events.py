@@ -51,7 +51,7 @@ def event_rows(log: DataFrame, origin: str, tenant: str, fields: list[str] | Non
     """The events of one origin and tenant as rows: ``_id``, ``_tm`` as text, then the fields.
 
     Without ``fields`` the names are collected from all events first, before the filter.
-    A missing field is empty; a missing time is the epoch.
+    A missing field is empty; a missing time is the epoch, an unreadable one is empty.
     """
     if fields is None:
         fields = event_fields(log)
@@ -60,7 +60,7 @@ def event_rows(log: DataFrame, origin: str, tenant: str, fields: list[str] | Non
     if len({name.lower() for name in parsed}) < len(parsed):
         parsed = None  # names that differ only in case are told apart in a map, not in a struct
     event = F.col("event")
-    time = epoch_millis_text(F.coalesce(event["_tm"], F.lit("0")))
+    time = or_empty(epoch_millis_text(F.coalesce(event["_tm"], F.lit("0"))))
     return (
         explode_events(log, parsed)
         .where((event["origin"] == origin) & (event["tenantid"] == tenant))

@@ -257,6 +257,25 @@ def test_shell_dump(spark):
     ]
 
 
+def test_unreadable_objects_are_told_apart(spark):
+    text = '{"name": "a", "n": [1, {"x": 2}, 3]} {"name": nonsense} {"name": "b", "scope": {"deep": 1}'
+    objects = dumps.shell_objects(spark.createDataFrame([(text,)], "value string"))
+    assert objects.count() == 3
+    assert [r["object"] for r in dumps.unreadable_objects(objects).collect()] == [
+        '{"name": "a", "n": [1, {"x": 2}', '{"name": nonsense}', '{"name": "b", "scope": {"deep": 1}'
+    ]
+    assert dumps.object_rows(objects).count() == 0
+
+
+def test_unreadable_times_and_arrays(spark):
+    rows = log(spark, '[{"origin":"D","tenantid":"t","_tm":"soon"},{"origin":"D","tenantid":"t","_tm":1506717413999.5}]')
+    assert [r["_tm"] for r in events.event_rows(rows, "D", "t").collect()] == ["", "2017-09-29 20:36:53"]
+    assert one(spark, epoch_millis_text(F.lit(-1))) == "1969-12-31 23:59:59"
+    assert one(spark, epoch_millis_text(F.lit("999999999999999"))) == "+33658-09-27 01:46:39"
+    texts = spark.createDataFrame([("{[{}]}",), ("[1]",), ("x",), (None,)], "value string")
+    assert [r["value"] for r in dumps.unreadable_arrays(texts).collect()] == ["[1]", "x"]
+
+
 def test_array_repair(spark):
     texts = spark.createDataFrame([(' {[{"StartDate": "1506717413999", "id": "1"}]} \n',)], "value string")
     assert [tuple(r) for r in dumps.array_rows(texts, ["StartDate", "id"]).collect()] == [("2017-09-29 20:36:53", "1")]
