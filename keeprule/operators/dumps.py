@@ -32,10 +32,14 @@ def shell_objects(texts: DataFrame, column: str = "value") -> DataFrame:
 
 
 def _parsed_objects(objects: DataFrame, fields) -> DataFrame:
-    """Add ``fields``, a struct of the fields, with the object itself in ``unreadable`` if it is no JSON."""
+    """Add ``fields``, a struct of the fields, with the object itself in ``unreadable`` if it is no JSON.
+
+    The struct comes out of an explode, below which a filter on it is not repeated: each
+    object is parsed once.
+    """
     schema = text_struct([*fields, "unreadable"])
     parsed = F.from_json(shell_to_json(F.col("object")), schema, {"columnNameOfCorruptRecord": "unreadable"})
-    return objects.withColumn("fields", parsed)
+    return objects.withColumn("fields", F.explode(F.array(parsed)))
 
 
 def object_rows(objects: DataFrame, fields=POLICY_FIELDS) -> DataFrame:
