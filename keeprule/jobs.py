@@ -16,7 +16,7 @@ from keeprule.operators import counts, diff, dumps, events, exports, filters, fl
 from keeprule.session import build_session
 from keeprule.sources import readers, writers
 from keeprule.streaming.evaluate import Evaluation, evaluate_new_ids
-from keeprule.streaming.ingest import DropFolder, ingest_if_absent
+from keeprule.streaming.ingest import DropFolder, ingest_if_absent, ingest_until_idle
 
 FORMATS = ("parquet", "csv", "json", "text")
 JOBS: dict[str, tuple[Callable, list[str], list[str]]] = {}
@@ -52,9 +52,8 @@ def save(rows: DataFrame, name: str, columns: list[str] | None = None, max_rows:
     """Write in the named format. CSV holds arrays as JSON text; text holds the only column."""
     kind, path = split_format(name)
     if kind == "csv":
-        flat = rows.select(
-            *[F.to_json(c).alias(c) if t.startswith(("array", "struct", "map")) else F.col(f"`{c}`") for c, t in rows.dtypes]
-        )
+        nested = {c for c, t in rows.dtypes if t.startswith(("array", "struct", "map"))}
+        flat = rows.select(*[F.to_json(c).alias(c) if c in nested else F.col(f"`{c}`") for c in rows.columns])
         writers.write_csv(flat, path, columns, int(max_rows) if max_rows else None)
     elif kind == "json":
         writers.write_json(rows, path)
@@ -193,8 +192,9 @@ def purge_plan(spark, o):
         print(purge.purge_dry_run(rows, predicate).first().asDict())
 
 
-@job("folder headers table rejects checkpoint", "key archive delete max_files")
+@job("folder headers table rejects checkpoint", "key archive delete max_files poll_seconds idle_seconds")
 def ingest(spark, o):
+    """One run over the new files; with ``idle_seconds`` further ones until none comes."""
     drop = DropFolder(
         o.folder,
         names(o.headers),
@@ -206,7 +206,10 @@ def ingest(spark, o):
         delete=bool(o.delete),
         max_files_per_batch=int(o.max_files) if o.max_files else None,
     )
-    ingest_if_absent(spark, drop)
+    if o.idle_seconds:
+        ingest_until_idle(spark, drop, float(o.poll_seconds or 10), float(o.idle_seconds))
+    else:
+        ingest_if_absent(spark, drop)
 
 
 @job("ids assignments policies instant flags progress checkpoint")

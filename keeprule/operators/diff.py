@@ -55,14 +55,10 @@ def assignment_changes(before: DataFrame, after: DataFrame) -> DataFrame:
 
     Messages that only occur after, or that gained nothing, are not reported.
     """
-    return _changes(assignment_counts(before, after), "policyId").select(
-        "gcId",
-        F.transform(
-            "entries",
-            lambda e: F.struct(e["policyId"].alias("policyId"), e["n_before"].alias("n_before"), e["n_after"].alias("n_after")),
-        ).alias("policies"),
-        "n_net_new",
-    )
+    shown = ("policyId", "n_before", "n_after")
+    counted = F.transform("entries", lambda e: F.struct(*[e[name].alias(name) for name in shown]))
+    changes = _changes(assignment_counts(before, after), "policyId")
+    return changes.select("gcId", counted.alias("policies"), "n_net_new")
 
 
 def _listed(copies: str, list_size: int) -> Column:

@@ -9,7 +9,9 @@ from keeprule.operators.filters import project
 from keeprule.operators.lookups import rows_in_list
 
 
-def export_by_ids(rows: DataFrame, ids: DataFrame, key: str, fields: list[str], id_column: str | None = None) -> DataFrame:
+def export_by_ids(
+    rows: DataFrame, ids: DataFrame, key: str, fields: list[str], id_column: str | None = None
+) -> DataFrame:
     """The given fields of the rows whose key is listed."""
     return project(rows_in_list(rows, ids, key, id_column), fields)
 

@@ -38,6 +38,11 @@ def project(rows: DataFrame, fields: list[str]) -> DataFrame:
     )
 
 
+def unwrap_source(hits: DataFrame, column: str = "_source") -> DataFrame:
+    """The fields of the stored document of each search hit as columns."""
+    return hits.select(f"{column}.*")
+
+
 def rename_headers(rows: DataFrame, names: dict[str, str]) -> DataFrame:
     """Rename columns that match exactly; others keep their name."""
     return rows.toDF(*[names.get(c, c) for c in rows.columns])

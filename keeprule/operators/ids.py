@@ -2,8 +2,9 @@
 
 Rows that were numbered when their file was read (``readers.read_numbered_csv``) are packed
 in the order of the file. For any other table, numbering the ids of a group with one window
-over the group would send a large group to one task. Here the ids of a group are spread over buckets by the first digits of their
-MD5 sum, numbered within each bucket, and shifted by the sizes of the buckets before.
+over the group would send a large group to one task. Here the ids of a group are spread over
+buckets by the first digits of their MD5 sum, numbered within each bucket, and shifted by
+the sizes of the buckets before.
 This needs no fixed partitioning, so a lost task may be computed again at any time.
 """
 
@@ -62,7 +63,8 @@ def id_batches(
         .withColumn("batch", F.explode(F.sequence(batch_of(F.col("first")), batch_of(F.col("last")))))
         .withColumn("from", F.greatest("first", F.col("batch") * size))
         .withColumn("to", F.least("last", (F.col("batch") + 1) * size - 1))
-        .select(group, "batch", F.struct("from", "id", (F.col("to") - F.col("from") + 1).cast("int").alias("n")).alias("piece"))
+        .withColumn("n", (F.col("to") - F.col("from") + 1).cast("int"))
+        .select(group, "batch", F.struct("from", "id", "n").alias("piece"))
     )
     ids = F.flatten(
         F.transform(F.array_sort(F.collect_list("piece")), lambda p: F.array_repeat(p["id"], p["n"]))

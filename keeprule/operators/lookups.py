@@ -68,9 +68,8 @@ def join_with_hot_keys(
     for key in keys:
         no_key = no_key | F.col(key).isNull()
     keyed = facts.where(~no_key)
-    hot_keys = F.broadcast(
-        keyed.groupBy(*keys).agg(F.count("*").alias("rows_of_key")).where(F.col("rows_of_key") > hot_key_rows).select(*keys)
-    )
+    rows_of_key = keyed.groupBy(*keys).agg(F.count("*").alias("rows_of_key"))
+    hot_keys = F.broadcast(rows_of_key.where(F.col("rows_of_key") > hot_key_rows).select(*keys))
     ordinary = keyed.join(hot_keys, keys, "left_anti").join(lookup, keys, how)
     hot_lookup = lookup.join(hot_keys, keys, "left_semi")
     if unique or fits_broadcast(*table_size(hot_lookup)):

@@ -135,6 +135,8 @@ POLICY_EXPORT = """policyId, name, coalesce(sourceType, '') AS sourceType, '' AS
 oracle("full_scan", "archive_metrics", "SELECT * FROM archive_metrics")
 oracle("field_export", "archive_metrics", """
 SELECT gcId, coalesce(processing_state, '') AS processing_state, '' AS channel FROM archive_metrics""")
+oracle("hit_export", "archive_metrics", """
+SELECT gcId, coalesce(processing_state, '') AS processing_state, '' AS other FROM archive_metrics WHERE src_file = 'f-1'""")
 oracle("open_states", "archive_metrics", """
 SELECT _id FROM archive_metrics WHERE processing_state IS NULL OR processing_state NOT IN
   ('Archived', 'Duplicate', 'Disposed', 'Obsolete', 'Unrecoverable', 'Rejected')""")

@@ -203,6 +203,18 @@ def field_export(a: Archive) -> DataFrame:
     return filters.project(a.archive_metrics, ["gcId", "processing_state", "channel"])
 
 
+@query
+def hit_export(a: Archive) -> DataFrame:
+    """Search hits written as JSON, of which one table's stored documents are exported."""
+    path = new_folder(a.spark, "hits")
+    hits = a.archive_metrics.select(
+        F.col("src_file").alias("_index"), F.struct("_id", "gcId", "processing_state").alias("_source")
+    )
+    writers.write_json(hits, path)
+    found = filters.tables_like(readers.read_records(a.spark, path), "f-1", "_index")
+    return filters.project(filters.unwrap_source(found), ["gcId", "processing_state", "other"])
+
+
 @query
 def open_states(a: Archive) -> DataFrame:
     return filters.open_records(a.archive_metrics).select("_id")
@@ -286,7 +298,8 @@ def id_documents(a: Archive) -> DataFrame:
 
 @query
 def sorted_ids(a: Archive) -> DataFrame:
-    return ids.sorted_ids(a.retention_policy_map.select(F.concat(F.lit(" "), "gcId", F.lit("\t")).alias("gcid")), "gcid")
+    padded = F.concat(F.lit(" "), "gcId", F.lit("\t")).alias("gcid")
+    return ids.sorted_ids(a.retention_policy_map.select(padded), "gcid")
 
 
 @query
@@ -428,7 +441,8 @@ def csv_capped_files(a: Archive) -> DataFrame:
 def csv_by_index(a: Archive) -> DataFrame:
     path = new_folder(a.spark, "index")
     rows = a.archive_metrics.withColumnRenamed("src_file", "index")
-    writers.write_csv_by_index(filters.project(rows, ["_id", "gcId", "index"]), path, ["_id", "gcId"], files_per_index=2)
+    shaped = filters.project(rows, ["_id", "gcId", "index"])
+    writers.write_csv_by_index(shaped, path, ["_id", "gcId"], files_per_index=2)
     return filters.tables_like(readers.read_csv(a.spark, path), "f-*")
 
 
@@ -461,7 +475,8 @@ def id_text_file(a: Archive) -> DataFrame:
 def document_files(a: Archive) -> DataFrame:
     """Id batches as JSON documents in text files, unpacked again."""
     path = new_folder(a.spark, "documents")
-    writers.write_documents(ids.as_json_documents(ids.id_batches(a.archive_metrics, "src_file", "_id")), path, "src_file")
+    batches = ids.id_batches(a.archive_metrics, "src_file", "_id")
+    writers.write_documents(ids.as_json_documents(batches), path, "src_file")
     document = F.from_json("value", "archiveMetricIds array<string>")
     return a.spark.read.text(path).select("src_file", F.explode(document["archiveMetricIds"]).alias("_id"))
 

@@ -9,7 +9,13 @@ from pyspark.sql import types as T
 
 from keeprule.operators.exports import remaining_units
 
-CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "emptyValue": "",
+}
 
 # Rows of one exported file, and the rows a spreadsheet takes.
 EXPORT_FILE_ROWS = 5_000
@@ -83,6 +89,8 @@ def write_lines(rows: DataFrame, path: str, column: str, mode: str = "errorifexi
     rows.select(F.col(column).cast("string").alias("value")).write.mode(mode).text(path)
 
 
-def write_documents(documents: DataFrame, path: str, group: str, column: str = "document", mode: str = "errorifexists") -> None:
+def write_documents(
+    documents: DataFrame, path: str, group: str, column: str = "document", mode: str = "errorifexists"
+) -> None:
     """JSON documents in a folder per group, one document per line."""
     documents.select(F.col(column).alias("value"), F.col(group)).write.mode(mode).partitionBy(group).text(path)

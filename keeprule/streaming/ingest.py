@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from time import monotonic, sleep
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,8 @@ class DropFolder:
 
 
 def _dropped_files(spark: SparkSession, drop: DropFolder) -> DataFrame:
-    reader = spark.readStream.schema(text_schema(drop.headers)).options(**csv_options()).option("pathGlobFilter", "*.csv")
+    reader = spark.readStream.schema(text_schema(drop.headers)).options(**csv_options())
+    reader = reader.option("pathGlobFilter", "*.csv")
     if drop.max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", drop.max_files_per_batch)
     if drop.archive:
@@ -57,14 +59,16 @@ def _dropped_files(spark: SparkSession, drop: DropFolder) -> DataFrame:
     return rename_headers(reader.csv(drop.folder), drop.names)
 
 
-def ingest_if_absent(spark: SparkSession, drop: DropFolder) -> None:
+def ingest_if_absent(spark: SparkSession, drop: DropFolder) -> int:
     """Take in the files that are new since the last run: keys already stored are kept as they are.
 
-    Within a batch the smallest record of a key is stored.
+    Within a batch the smallest record of a key is stored. Returns the number of batches.
     """
+    batches = []
 
     def take(batch: DataFrame, writer: str, batch_id: int) -> None:
         session = batch.sparkSession
+        batches.append(batch_id)
         batch = batch.persist()
         try:
             keyed = F.coalesce(strip(F.col(drop.key)), F.lit("")) != ""
@@ -75,3 +79,15 @@ def ingest_if_absent(spark: SparkSession, drop: DropFolder) -> None:
             batch.unpersist()
 
     run_available(_dropped_files(spark, drop), drop.checkpoint, take)
+    return len(batches)
+
+
+def ingest_until_idle(spark: SparkSession, drop: DropFolder, poll_seconds: float, idle_seconds: float) -> None:
+    """Look for new files again and again, until none came for ``idle_seconds``."""
+    last_file = monotonic()
+    while True:
+        if ingest_if_absent(spark, drop):
+            last_file = monotonic()
+        elif monotonic() - last_file >= idle_seconds:
+            return
+        sleep(poll_seconds)

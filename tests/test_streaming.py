@@ -9,7 +9,7 @@ from keeprule.operators.exports import remaining_units
 from keeprule.operators.flags import both_flags
 from keeprule.streaming import tables
 from keeprule.streaming.evaluate import Evaluation, evaluate_new_ids
-from keeprule.streaming.ingest import DropFolder, ingest_if_absent
+from keeprule.streaming.ingest import DropFolder, ingest_if_absent, ingest_until_idle
 
 
 def drop_folder(folder, **settings):
@@ -48,6 +48,21 @@ def test_first_record_stays(spark, folder):
     assert stored(spark, drop) == [("g1", "a"), ("g2", "b"), ("g3", "x"), ("g4", "y")]
 
 
+def test_polling_ends_when_no_file_comes(spark, folder, monkeypatch):
+    drop = drop_folder(folder)
+    put(drop, "a.csv", ("g1", "a"))
+    naps = []
+
+    def nap(seconds):
+        naps.append(seconds)
+        if len(naps) == 1:
+            put(drop, "b.csv", ("g2", "b"))
+
+    monkeypatch.setattr("keeprule.streaming.ingest.sleep", nap)
+    ingest_until_idle(spark, drop, poll_seconds=3, idle_seconds=0)
+    assert naps == [3, 3] and stored(spark, drop) == [("g1", "a"), ("g2", "b")]
+
+
 def test_file_by_file_gives_one_record_per_key(spark, folder):
     drop = drop_folder(folder, max_files_per_batch=1)
     for i in range(4):
