@@ -103,7 +103,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Data
     are left out and may have any name.
     """
     rows = _identified(docs)
-    found = rows.join(drop_bitmaps(docs, min_chars, min_docs), ["r1", "r2"], "left")
+    # A hash join streams the texts past the bitmaps; a merge join would sort the texts.
+    found = rows.join(drop_bitmaps(docs, min_chars, min_docs).hint("shuffle_hash"), ["r1", "r2"], "left")
     split = found.select("doc_id", "text", "words", F.size(_lines(F.col("text"))).alias("n_lines"))
     gone = split.select("*", F.when(F.col("words").isNotNull(), _positions(F.col("words"))).alias("gone"))
     kept = gone.select(
