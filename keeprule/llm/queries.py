@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keeprule.llm import line_dedup, quality_rules
-from keeprule.llm.common import table
+from keeprule.llm import language_id, line_dedup, quality_rules, secrets
+from keeprule.llm.common import id_remainder, table
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality_rules.ledger(table(spark, sf_dir, "documents"))
     base = F.lit(quality_rules.mask(quality_rules.POLICIES[1])).cast("long")
@@ -23,9 +27,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    trees = language_id.fit(documents, id_remainder(3) != 1)
+    found = language_id.identify(documents, trees)
+    return found.select("doc_id", (id_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE = {
