@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keeprule.llm import language_id, line_dedup, quality_rules, secrets
+from keeprule.llm import language_id, line_dedup, quality_rules, secrets, toxicity
 from keeprule.llm.common import id_remainder, table
 
 
@@ -14,6 +14,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    grammar = toxicity.fit(documents, table(spark, sf_dir, "labels"), id_remainder(4) != 2)
+    scored = toxicity.score(documents, grammar)
+    return scored.select("doc_id", (id_remainder(4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -36,6 +43,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_secret_scan": op6_secret_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
