@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keeprule.llm import language_id, line_dedup, quality_rules, secrets, toxicity
+from keeprule.llm import jaccard_join, language_id, line_dedup, quality_rules, secrets, toxicity
 from keeprule.llm.common import id_remainder, table
 
 
@@ -41,12 +41,17 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (id_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_secret_scan": op6_secret_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE = {

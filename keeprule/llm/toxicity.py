@@ -25,7 +25,7 @@ CLAUSE_END = re.compile(r"[.!?;:\n]+")
 STEM_LETTERS = (3, 14)
 #: A stem counts if so many toxic documents of the sample hold it, and this part of them.
 MIN_DOCS, MIN_PART = 4, 0.01
-MIN_WEIGHT, GAIN = 3.0, 1.0
+MIN_WEIGHT, GAIN = 4.0, 1.0
 #: How many of the words after a negation it covers.
 NEGATION_SCOPE = 3
 
