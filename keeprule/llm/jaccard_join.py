@@ -18,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -125,15 +124,12 @@ def _leaves(points: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[np.
     return corners, members, np.array([sizes[m].min() for m in members]), np.array([sizes[m].max() for m in members])
 
 
-def close_pairs(cell: pd.DataFrame) -> pd.DataFrame:
+def close_pairs(points, sizes, ids, component, block) -> list[tuple[int, int]]:
     """Pairs of a cell (or of two blocks of it) in different components whose summed minima allow a link."""
-    points = np.stack([np.frombuffer(p, np.uint8) for p in cell["point"]]).astype(np.int32)
-    sizes, ids = cell["n"].to_numpy(), cell["doc"].to_numpy()
-    component, block = cell["component"].to_numpy(), cell["block"].to_numpy()
-    two_blocks = cell["one"].iloc[0] != cell["two"].iloc[0]
+    two_blocks = len(np.unique(block)) > 1
     corners, members, least, largest = _leaves(points, sizes)
     found = []
-    for at in range(len(cell)):
+    for at in range(len(ids)):
         size = sizes[at]
         fits = (DENOMINATOR * largest >= NUMERATOR * size) & (NUMERATOR * least <= DENOMINATOR * size)
         nodes = np.flatnonzero(fits)
@@ -145,13 +141,45 @@ def close_pairs(cell: pd.DataFrame) -> pd.DataFrame:
         if two_blocks:
             other = other[block[other] != block[at]]
         other = other[np.minimum(points[other], points[at]).sum(1) >= needed(size, sizes[other])]
-        found += [(ids[at], ids[o]) for o in other]
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        found += [(int(ids[at]), int(o)) for o in ids[other]]
+    return found
+
+
+def _cell_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Close pairs of the cells of one partition, whose rows come sorted by cell."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        pairs, rest = _whole_cells(table, last=False)
+        yield pairs
+    if rest is not None:
+        yield _whole_cells(rest, last=True)[0]
+
+
+def _whole_cells(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+    """Close pairs of all cells of the rows but the last one, which may go on; and the rows of that one."""
+    cell = np.stack([table[name].to_numpy() for name in ("entry", "one", "two")])
+    edges = np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(0)) + 1
+    bounds = [0, *edges.tolist(), *([table.num_rows] if last else [])]
+    column = {name: table[name].to_numpy() for name in ("n", "doc", "component", "block")}
+    points = table["point"].to_pylist()
+    found = []
+    for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
+        if stop - start > 1:
+            at = np.stack([np.frombuffer(p, np.uint8) for p in points[start:stop]]).astype(np.int32)
+            found += close_pairs(at, *(column[name][start:stop] for name in ("n", "doc", "component", "block")))
+    a, b = zip(*found, strict=True) if found else ((), ())
+    pairs = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return pairs, table.slice(bounds[-1])
 
 
 def _tree_pairs(cells: DataFrame, index: DataFrame, labels: DataFrame) -> DataFrame:
-    """Close pairs of the cells whose members are not all in one component yet."""
-    labelled = cells.join(labels, cells["doc"] == labels["node"], "left").select(
+    """Close pairs of the cells whose members are not all in one component yet.
+
+    Pairs with a cell's head have been verified as stars, so only the other members are left.
+    """
+    labelled = cells.where("doc != head").join(labels, cells["doc"] == labels["node"], "left").select(
         "entry", "band", "doc", F.coalesce("component", "doc").alias("component")
     )
     labelled = stored(labelled, "cells")
@@ -164,11 +192,12 @@ def _tree_pairs(cells: DataFrame, index: DataFrame, labels: DataFrame) -> DataFr
     )
     points = index.select(F.col("doc_id").alias("doc"), "band", "n", "point")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    met = placed.join(points, ["doc", "band"]).select("*", other).select(
+    met = points.join(placed.hint("shuffle_hash"), ["doc", "band"]).select("*", other).select(
         "entry", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
         "block", "doc", "component", "n", "point",
     )
-    return met.groupBy("entry", "one", "two").applyInPandas(close_pairs, "a long, b long").distinct()
+    by_cell = met.repartition("entry", "one", "two").sortWithinPartitions("entry", "one", "two")
+    return by_cell.mapInArrow(_cell_batches, "a long, b long").distinct()
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -194,7 +223,7 @@ def linked(docs: DataFrame) -> DataFrame:
     stars = cells.where("doc != head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
     links = stored(verified(stored(stars, "pairs"), rows), "links")
     labels = components(links)
-    more = stored(_tree_pairs(cells.select("entry", "band", "doc"), index, labels), "pairs")
+    more = stored(_tree_pairs(cells, index, labels), "pairs")
     if not more.isEmpty():
         links = links.unionByName(verified(more, rows))
         labels = components(links)
