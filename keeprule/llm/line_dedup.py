@@ -93,29 +93,46 @@ def _positions(words: Column) -> Column:
     return F.flatten(F.transform(words, named))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """The rows of ``docs`` without the lines that many documents share.
-
-    A line's key is the line stripped of white space, A-Z in lower case. Keys of at least ``min_chars`` code points
-    that at least ``min_docs`` documents hold lose their lines in all documents but the one of the largest id.
-    Returns doc_id, n_lines, n_dropped and text. A null text is one empty line. Rows that repeat an id count as one
-    document; rows without an id never keep a shared line and don't count as documents. Other columns of ``docs``
-    are left out and may have any name.
-    """
-    rows = _identified(docs)
-    # A hash join streams the texts past the bitmaps; a merge join would sort the texts.
-    found = rows.join(drop_bitmaps(docs, min_chars, min_docs).hint("shuffle_hash"), ["r1", "r2"], "left")
-    split = found.select("doc_id", "text", "words", F.size(_lines(F.col("text"))).alias("n_lines"))
+def _shortened(found: DataFrame, *keep: str) -> DataFrame:
+    """``found`` (columns ``keep``, text, words) with n_lines, n_dropped and the text that is left."""
+    split = found.select(*keep, "text", "words", F.size(_lines(F.col("text"))).alias("n_lines"))
     gone = split.select("*", F.when(F.col("words").isNotNull(), _positions(F.col("words"))).alias("gone"))
     kept = gone.select(
         "*",
         F.when(F.col("gone").isNotNull(), _lines(F.col("text"))).alias("lines"),
-        F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("gone")).alias("kept"),
+        F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("gone")).alias("left"),
     )
-    shorter = F.array_join(F.transform("kept", lambda i: F.get(F.col("lines"), i)), "\n")
+    shorter = F.array_join(F.transform("left", lambda i: F.get(F.col("lines"), i)), "\n")
     return kept.select(
-        "doc_id",
+        *keep,
         F.col("n_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(shorter).alias("text"),
     )
+
+
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """The rows of ``docs`` without the lines that many documents share.
+
+    A line's key is the line stripped of white space, A-Z in lower case. Keys of at least ``min_chars`` code points
+    that at least ``min_docs`` documents hold lose their lines in all documents but the one of the largest id.
+    Returns doc_id, n_lines, n_dropped and text. A null text is one empty line. Rows that repeat an id count as one
+    document; rows without an id never keep a shared line and don't count as documents. Other columns of ``docs``
+    are left out and may have any name.
+    """
+    # A hash join streams the texts past the bitmaps; a merge join would sort the texts.
+    bitmaps = drop_bitmaps(docs, min_chars, min_docs).hint("shuffle_hash")
+    return _shortened(_identified(docs).join(bitmaps, ["r1", "r2"], "left"), "doc_id")
+
+
+def deduplicated(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """``docs`` with its columns and shorter texts; rows that had text and lose all their lines go."""
+    others = [c for c in docs.columns if c != "text"]
+    packed = docs.select(F.struct(*others).alias("other columns"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    one, two = row_keys("doc_id", "text")
+    rows = packed.select("other columns", "text", one.alias("r1"), two.alias("r2"))
+    bitmaps = drop_bitmaps(docs, min_chars, min_docs).hint("shuffle_hash")
+    left = _shortened(rows.join(bitmaps, ["r1", "r2"], "left"), "other columns")
+    kept = left.where(F.col("n_dropped") < F.col("n_lines"))
+    columns = [F.col("text") if c == "text" else F.col("other columns")[c].alias(c) for c in docs.columns]
+    return kept.select(*columns)

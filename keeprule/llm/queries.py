@@ -2,18 +2,52 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keeprule.llm import jaccard_join, language_id, line_dedup, quality_rules, secrets, toxicity
+from keeprule.llm import (
+    decontaminate,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    sentencepiece_codec,
+    toxicity,
+    training_order,
+)
 from keeprule.llm.common import id_remainder, table
 
+#: Folder of the public vocabulary files, their names, and the cutting pattern of the byte-level one.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+PIECES, RANKS = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+ORDER_KEY = 20240229
+
+
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = training_order.load_ranks(f"{TOKENIZERS}/{RANKS}")
+    rows = training_order.sequences(table(spark, sf_dir, "documents"), ranks, PATTERN)
+    return training_order.training_order(rows, ORDER_KEY)
+
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality_classifier.score(documents, quality_classifier.fit(documents)[1])
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     grammar = toxicity.fit(documents, table(spark, sf_dir, "labels"), id_remainder(4) != 2)
@@ -25,6 +59,13 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = sentencepiece_codec.Vocabulary.load(f"{TOKENIZERS}/{PIECES}")
+    coded = sentencepiece_codec.encode(table(spark, sf_dir, "documents"), vocabulary)
+    decoded = sentencepiece_codec.decode(coded, vocabulary)
+    return decoded.select("doc_id", "n_ids", "ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality_rules.ledger(table(spark, sf_dir, "documents"))
     base = F.lit(quality_rules.mask(quality_rules.POLICIES[1])).cast("long")
@@ -46,12 +87,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op2_line_dedup": op2_line_dedup,
-    "op5_toxicity": op5_toxicity,
-    "op6_secret_scan": op6_secret_scan,
-    "op8_quality_rules": op8_quality_rules,
-    "op9_language_id": op9_language_id,
-    "op10_jaccard_join": op10_jaccard_join,
+    query.__name__: query
+    for query in (
+        op1_training_order,
+        op2_line_dedup,
+        op3_quality_classifier,
+        op4_decontamination,
+        op5_toxicity,
+        op6_secret_scan,
+        op7_sentencepiece,
+        op8_quality_rules,
+        op9_language_id,
+        op10_jaccard_join,
+    )
 }
 
 ORACLE = {

@@ -26,6 +26,7 @@ from keeprule.llm.common import pieces, run_positions
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 AT_ONCE = 8_000_000
+KNOWN_WORDS = 1_000_000
 
 
 @dataclass
@@ -74,12 +75,15 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.follows: dict[tuple[str, str], bool] = {}
-        lengths: dict[str, set[int]] = {}
+        #: Words already encoded, so that later texts of a task need only their new words; at most KNOWN_WORDS.
+        self.known: dict[str, list[int]] = {}
+        one: dict[str, set[int]] = {}
+        two: dict[str, set[int]] = {}
         for piece in vocabulary.text:
-            lengths.setdefault(piece[-2:], set()).add(len(piece))
-        # Possible lengths of a piece by its last two characters, longest first.
-        self.lengths = {end: sorted(found, reverse=True) for end, found in lengths.items()}
-        self.longest = max(map(len, vocabulary.text), default=1)
+            (one if len(piece) == 1 else two).setdefault(piece[-2:], set()).add(len(piece))
+        # Possible lengths of a piece by its last two characters (or the only one), longest first.
+        self.lengths = {end: sorted(found | one.get(end[1], set()), reverse=True) for end, found in two.items()}
+        self.single = {end: [1] for end in one}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """BPE: join the neighbours whose piece has the best score, the leftmost first, until none can be joined."""
@@ -106,55 +110,67 @@ class Encoder:
 
     def encode(self, words: list[str]) -> list[list[int]]:
         """Ids of each word; ``words`` are sorted and not empty."""
-        step = self._bpe_step if self.v.bpe else self._unigram_step
-        text, out, before = self.v.text, [], ""
-        states: list = [(0.0, "")]  # of each prefix: score, last piece
-        for word in words:
-            shared = 0
-            for x, y in zip(word, before):
-                if x != y:
-                    break
-                shared += 1
-            del states[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                states.append(step(word, end, states))
+        states = self._bpe_states if self.v.bpe else self._unigram_states
+        text, out = self.v.text, []
+        for word, last in zip(words, states(words), strict=True):
             ids, end = [], len(word)
             while end:
-                piece = states[end][1]
+                piece = last[end]
                 found = text.get(piece)
                 ids.append(self.fallback(piece) if found is None else [found])
                 end -= len(piece)
             out.append([i for part in reversed(ids) for i in part])
-            before = word
         return out
 
-    def _lengths(self, word: str, end: int) -> list[int]:
-        if end < 2:
-            return self.lengths.get(word[0], [])
-        return self.lengths.get(word[end - 2 : end], []) + self.lengths.get(word[end - 1], [])
-
-    def _bpe_step(self, word, end, states):
-        text, follows = self.v.text, self.follows
-        for n in self._lengths(word, end):
-            if n <= end and (piece := word[end - n : end]) in text:
-                pair = states[end - n][1], piece
-                known = follows.get(pair)
-                if self.may_follow(*pair) if known is None else known:
-                    return 0.0, piece
-        return 0.0, word[end - 1]
-
-    def _unigram_step(self, word, end, states):
-        text, scores = self.v.text, self.v.scores
-        best = None
-        for n in self._lengths(word, end):
-            if n <= end and (found := text.get(word[end - n : end])) is not None:
-                score = states[end - n][0] + scores[found]
-                if best is None or score > best[0]:
-                    best = score, word[end - n : end]
-        if best is None or len(best[1]) > 1 and word[end - 1] not in text:
-            single = states[end - 1][0] + min(scores) - 10.0, word[end - 1]
-            best = single if best is None or single[0] > best[0] else best
-        return best
+    @staticmethod
+    def _shared(words: list[str]) -> Iterator[tuple[str, int]]:
+        """Each word with the length of the prefix it shares with the one before."""
+        before = ""
+        for word in words:
+            shared = 0
+            for x, y in zip(word, before):
+                if x != y:
+                    break
+                shared += 1
+            before = word
+            yield word, shared
+
+    def _bpe_states(self, words: list[str]) -> Iterator[list[str]]:
+        """For each word the last piece of every prefix."""
+        text, lengths, single, follows = self.v.text, self.lengths, self.single, self.follows
+        last = [""]
+        for word, shared in self._shared(words):
+            del last[shared + 1 :]
+            for end in range(shared + 1, len(word) + 1):
+                char = word[end - 1]
+                ends = word[end - 2 : end] if end > 1 else char
+                for n in lengths.get(ends) or single.get(char, ()):
+                    if n <= end and (piece := word[end - n : end]) in text:
+                        pair = last[end - n], piece
+                        known = follows.get(pair)
+                        if self.may_follow(*pair) if known is None else known:
+                            last.append(piece)
+                            break
+                else:
+                    last.append(char)
+            yield last
+
+    def _unigram_states(self, words: list[str]) -> Iterator[list[str]]:
+        """For each word the last piece of the best segmentation of every prefix."""
+        text, scores, lengths, single = self.v.text, self.v.scores, self.lengths, self.single
+        unknown = min(scores) - 10.0
+        last, best = [""], [0.0]
+        for word, shared in self._shared(words):
+            del last[shared + 1 :], best[shared + 1 :]
+            for end in range(shared + 1, len(word) + 1):
+                char = word[end - 1]
+                score, piece = best[end - 1] + (unknown if char not in text else scores[text[char]]), char
+                for n in lengths.get(word[end - 2 : end] if end > 1 else char) or single.get(char, ()):
+                    if n <= end and (found := text.get(word[end - n : end])) is not None and best[end - n] + scores[found] > score:
+                        score, piece = best[end - n] + scores[found], word[end - n : end]
+                last.append(piece)
+                best.append(score)
+            yield last
 
     def encode_texts(self, texts: list[str]) -> pa.ListArray:
         """Ids of each text."""
@@ -162,10 +178,11 @@ class Encoder:
         counts = np.fromiter(map(len, found), np.int64, len(found))
         coded = pa.array([w for words in found for w in words], pa.string()).dictionary_encode()
         words = coded.dictionary.to_pylist()
-        order = sorted(range(len(words)), key=words.__getitem__)
-        ids = [[]] * len(words)
-        for at, encoded in zip(order, self.encode([words[k] for k in order]), strict=True):
-            ids[at] = encoded
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.known = {}
+        new = sorted(word for word in words if word not in self.known)
+        self.known.update(zip(new, self.encode(new), strict=True))
+        ids = [self.known[word] for word in words]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum()))
         starts = np.cumsum(lengths) - lengths
@@ -186,15 +203,15 @@ def decode_ids(bytes_of: list[bytes], ids) -> str:
 def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
     """The columns doc_id and ``keep`` of every row of ``docs`` with ``ids`` and n_ids.
 
-    A null text has null ids and no n_ids of its own (0); an empty text has none. Repeated rows are encoded each for
+    A null text has null ids, an empty one an empty list; n_ids is 0 for both. Repeated rows are encoded each for
     itself. A mark (U+2581) in a text counts as a space.
     """
     kept = list(dict.fromkeys(["doc_id", *keep]))
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(vocabulary))
     schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*kept).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(**shared.value))
         for batch in batches:
             for part in pieces(batch, "coded text", AT_ONCE):
                 texts = part.column("coded text")
@@ -210,9 +227,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """The rows of ``coded`` with ``text`` decoded from ``ids``; null ids give a null text."""
+    """The rows of ``coded`` with ``text`` decoded from their ``ids``; null ids give a null text."""
     shared = coded.sparkSession.sparkContext.broadcast(vocabulary.bytes_of)
-    names = [c for c in coded.columns if c not in ("ids", "text")]
+    names = [c for c in coded.columns if c != "text"]
     schema = ", ".join(f"`{name}` {kind}" for name, kind in coded.select(*names).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,4 +238,4 @@ def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             texts = [None if ids.as_py() is None else decode_ids(bytes_of, ids.as_py()) for ids in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], [*names, "text"])
 
-    return coded.select(*names, "ids").mapInArrow(run, f"{schema + ', ' if names else ''}text string")
+    return coded.select(*names).mapInArrow(run, f"{schema}, text string")
