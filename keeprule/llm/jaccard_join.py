@@ -15,6 +15,7 @@ members are not all connected by verified links of that round go through the R-t
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +31,10 @@ from keeprule.llm.shingles import mix, overlap, shingle_sets
 NUMERATOR, DENOMINATOR = 80, 100
 #: Set sizes are dealt into bands whose limits grow by this factor; a band has a third of its upper limit as groups.
 BAND_FACTOR, FIRST_LIMIT = 4, 16
+BAND_MASK = 31
 AT_ONCE = 1_000_000
 #: Members of a cell that one task compares; larger cells are split into blocks that meet in pairs.
-BLOCK = 4096
+BLOCK = 2048
 LEAF = 32
 
 
@@ -45,6 +47,10 @@ def needed(size_a, size_b):
     return -(-NUMERATOR * (size_a + size_b) // (NUMERATOR + DENOMINATOR))
 
 
+def band_number(upper: int) -> int:
+    return (upper // FIRST_LIMIT).bit_length() // 2
+
+
 def bands(n: int) -> list[tuple[int, int]]:
     """(upper limit, differences) of each band a set of ``n`` shingles is entered in.
 
@@ -63,21 +69,26 @@ def bands(n: int) -> list[tuple[int, int]]:
     return found
 
 
-def index_entries(hashes: np.ndarray, upper: int, differences: int) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of a set in a band, and its point."""
+def index_entries(hashes: np.ndarray, upper: int, differences: int) -> tuple[np.ndarray, bytes]:
+    """Entries of a set in a band, and its point.
+
+    The low bits of an entry name the band. A point has ``upper`` groups, more than the set has members, so that the
+    summed minima of two points hardly exceed the overlap; as most counts are 0 or 1 it is kept compressed.
+    """
+    point = zlib.compress(np.bincount((hashes >> np.uint64(20)) % np.uint64(upper), minlength=upper).astype(np.uint8), 1)
+    if differences <= 0:
+        return np.zeros(0, np.int64), point  # only an equal set can be linked
     groups = upper // 3
     group = ((hashes >> np.uint64(20)) % np.uint64(groups)).astype(np.int64)
     counts = np.bincount(group, minlength=groups)
-    point = np.minimum(counts, 255).astype(np.uint8)
-    if differences <= 0:
-        return np.zeros(0, np.int64), point  # only an equal set can be linked
     content = np.zeros(groups, np.uint64)
     order = np.argsort(group, kind="stable")
     filled = np.flatnonzero(counts)
     content[filled] = np.add.reduceat(mix(hashes[order]), (np.cumsum(counts) - counts)[filled])
     entry = mix(content ^ mix((np.arange(groups, dtype=np.uint64) << np.uint64(24)) + np.uint64(upper)))
     chosen = np.lexsort((entry, -counts))[: differences + 1]
-    return entry[chosen].view(np.int64), point
+    number = np.uint64(band_number(upper))
+    return (entry[chosen] & ~np.uint64(BAND_MASK) | number).view(np.int64), point
 
 
 SET_COLUMNS = "n long, h1 long, h2 long, own boolean, band long, entries array<long>, point binary"
@@ -92,7 +103,7 @@ def _index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 h2 = int(mix(hashes ^ np.uint64(0x5555555555555555)).sum(dtype=np.uint64).view(np.int64))
                 for place, (upper, differences) in enumerate(bands(len(hashes))):
                     entries, point = index_entries(hashes, upper, differences)
-                    rows.append((len(hashes), h1, h2, place == 0, upper, entries, point.tobytes()))
+                    rows.append((len(hashes), h1, h2, place == 0, band_number(upper), entries, point))
                     ids.append(at)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
             columns = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
@@ -124,24 +135,24 @@ def _leaves(points: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[np.
     return corners, members, np.array([sizes[m].min() for m in members]), np.array([sizes[m].max() for m in members])
 
 
-def close_pairs(points, sizes, ids, component, block) -> list[tuple[int, int]]:
+def close_pairs(points, sizes, ids, component, block) -> set[tuple[int, int]]:
     """Pairs of a cell (or of two blocks of it) in different components whose summed minima allow a link."""
     two_blocks = len(np.unique(block)) > 1
     corners, members, least, largest = _leaves(points, sizes)
-    found = []
+    found = set()
     for at in range(len(ids)):
         size = sizes[at]
         fits = (DENOMINATOR * largest >= NUMERATOR * size) & (NUMERATOR * least <= DENOMINATOR * size)
         nodes = np.flatnonzero(fits)
-        nodes = nodes[np.minimum(corners[nodes], points[at]).sum(1) >= needed(size, np.minimum(least[nodes], size))]
+        nodes = nodes[np.minimum(corners[nodes], points[at]).sum(1, dtype=np.int64) >= needed(size, np.minimum(least[nodes], size))]
         if not len(nodes):
             continue
         other = np.concatenate([members[node] for node in nodes])
         other = other[(ids[other] > ids[at]) & (component[other] != component[at])]
         if two_blocks:
             other = other[block[other] != block[at]]
-        other = other[np.minimum(points[other], points[at]).sum(1) >= needed(size, sizes[other])]
-        found += [(int(ids[at]), int(o)) for o in ids[other]]
+        other = other[np.minimum(points[other], points[at]).sum(1, dtype=np.int64) >= needed(size, sizes[other])]
+        found |= {(int(ids[at]), int(o)) for o in ids[other]}
     return found
 
 
@@ -164,11 +175,11 @@ def _whole_cells(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]
     bounds = [0, *edges.tolist(), *([table.num_rows] if last else [])]
     column = {name: table[name].to_numpy() for name in ("n", "doc", "component", "block")}
     points = table["point"].to_pylist()
-    found = []
+    found: set[tuple[int, int]] = set()
     for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
         if stop - start > 1:
-            at = np.stack([np.frombuffer(p, np.uint8) for p in points[start:stop]]).astype(np.int32)
-            found += close_pairs(at, *(column[name][start:stop] for name in ("n", "doc", "component", "block")))
+            at = np.stack([np.frombuffer(zlib.decompress(p), np.uint8) for p in points[start:stop]])
+            found |= close_pairs(at, *(column[name][start:stop] for name in ("n", "doc", "component", "block")))
     a, b = zip(*found, strict=True) if found else ((), ())
     pairs = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     return pairs, table.slice(bounds[-1])
@@ -180,7 +191,7 @@ def _tree_pairs(cells: DataFrame, index: DataFrame, labels: DataFrame) -> DataFr
     Pairs with a cell's head have been verified as stars, so only the other members are left.
     """
     labelled = cells.where("doc != head").join(labels, cells["doc"] == labels["node"], "left").select(
-        "entry", "band", "doc", F.coalesce("component", "doc").alias("component")
+        "entry", "doc", F.coalesce("component", "doc").alias("component")
     )
     labelled = stored(labelled, "cells")
     open_cells = labelled.groupBy("entry").agg(
@@ -188,7 +199,7 @@ def _tree_pairs(cells: DataFrame, index: DataFrame, labels: DataFrame) -> DataFr
     ).where(F.col("low") != F.col("high"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("long")
     placed = labelled.join(open_cells, "entry").select(
-        "entry", "band", "doc", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("doc"), blocks).alias("block")
+        "entry", F.col("entry").bitwiseAND(F.lit(BAND_MASK).cast("long")).alias("band"), "doc", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("doc"), blocks).alias("block")
     )
     points = index.select(F.col("doc_id").alias("doc"), "band", "n", "point")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
@@ -216,9 +227,9 @@ def linked(docs: DataFrame) -> DataFrame:
 
     # Members of a cell are classes; the entry tells band, group and content.
     of_class = index.join(classes.select(F.col("class").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id", "left_semi")
-    entered = of_class.select(F.explode("entries").alias("entry"), "band", F.col("doc_id").alias("doc"))
+    entered = of_class.select(F.explode("entries").alias("entry"), F.col("doc_id").alias("doc"))
     heads = entered.groupBy("entry").agg(F.min("doc").alias("head"), F.max("doc").alias("tail")).where("head != tail")
-    cells = stored(entered.join(heads, "entry").select("entry", "band", "doc", "head"), "cells")
+    cells = stored(entered.join(heads, "entry").select("entry", "doc", "head"), "cells")
 
     stars = cells.where("doc != head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
     links = stored(verified(stored(stars, "pairs"), rows), "links")
