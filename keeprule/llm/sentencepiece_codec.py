@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from keeprule.llm.common import pieces, run_positions
 
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-AT_ONCE = 8_000_000
+AT_ONCE = 4_000_000
 KNOWN_WORDS = 1_000_000
 
 
@@ -75,15 +76,20 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.follows: dict[tuple[str, str], bool] = {}
-        #: Words already encoded, so that later texts of a task need only their new words; at most KNOWN_WORDS.
-        self.known: dict[str, list[int]] = {}
-        one: dict[str, set[int]] = {}
-        two: dict[str, set[int]] = {}
-        for piece in vocabulary.text:
-            (one if len(piece) == 1 else two).setdefault(piece[-2:], set()).add(len(piece))
-        # Possible lengths of a piece by its last two characters (or the only one), longest first.
-        self.lengths = {end: sorted(found | one.get(end[1], set()), reverse=True) for end, found in two.items()}
-        self.single = {end: [1] for end in one}
+        #: Row of each word already encoded in ``flat`` (its ids) and ``ends``; at most about KNOWN_WORDS.
+        self.known: dict[str, int] = {}
+        self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        text = vocabulary.text
+        long: dict[str, set[int]] = {}
+        for piece in text:
+            if len(piece) > 2:
+                long.setdefault(piece[-3:], set()).add(len(piece))
+        # Possible lengths of a piece by its last three characters, longest first; and by the last two or one.
+        self.two = {piece: [2, *([1] if piece[1] in text else [])] for piece in text if len(piece) == 2}
+        self.one = {piece: [1] for piece in text if len(piece) == 1}
+        self.lengths = {
+            end: sorted(found, reverse=True) + (self.two.get(end[1:]) or self.one.get(end[2], [])) for end, found in long.items()
+        }
 
     def merged(self, symbols: list[str]) -> list[str]:
         """BPE: join the neighbours whose piece has the best score, the leftmost first, until none can be joined."""
@@ -137,14 +143,14 @@ class Encoder:
 
     def _bpe_states(self, words: list[str]) -> Iterator[list[str]]:
         """For each word the last piece of every prefix."""
-        text, lengths, single, follows = self.v.text, self.lengths, self.single, self.follows
+        text, follows, lengths, two, one = self.v.text, self.follows, self.lengths, self.two, self.one
         last = [""]
         for word, shared in self._shared(words):
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
                 char = word[end - 1]
-                ends = word[end - 2 : end] if end > 1 else char
-                for n in lengths.get(ends) or single.get(char, ()):
+                three = word[end - 3 : end] if end > 2 else word[:end]
+                for n in lengths.get(three) or two.get(three[-2:]) or one.get(char, ()):
                     if n <= end and (piece := word[end - n : end]) in text:
                         pair = last[end - n], piece
                         known = follows.get(pair)
@@ -157,7 +163,7 @@ class Encoder:
 
     def _unigram_states(self, words: list[str]) -> Iterator[list[str]]:
         """For each word the last piece of the best segmentation of every prefix."""
-        text, scores, lengths, single = self.v.text, self.v.scores, self.lengths, self.single
+        text, scores, lengths, two, one = self.v.text, self.v.scores, self.lengths, self.two, self.one
         unknown = min(scores) - 10.0
         last, best = [""], [0.0]
         for word, shared in self._shared(words):
@@ -165,39 +171,63 @@ class Encoder:
             for end in range(shared + 1, len(word) + 1):
                 char = word[end - 1]
                 score, piece = best[end - 1] + (unknown if char not in text else scores[text[char]]), char
-                for n in lengths.get(word[end - 2 : end] if end > 1 else char) or single.get(char, ()):
+                three = word[end - 3 : end] if end > 2 else word[:end]
+                for n in lengths.get(three) or two.get(three[-2:]) or one.get(char, ()):
                     if n <= end and (found := text.get(word[end - n : end])) is not None and best[end - n] + scores[found] > score:
                         score, piece = best[end - n] + scores[found], word[end - n : end]
                 last.append(piece)
                 best.append(score)
             yield last
 
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Rows of ``words`` in the table of encoded words, to which new ones are added."""
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.known, self.flat, self.ends = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
+        new = sorted(word for word in words if word not in self.known)
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        ids = self.encode(new)
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) + self.ends[-1]
+        self.ends = np.concatenate([self.ends, ends])
+        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32)])
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
     def encode_texts(self, texts: list[str]) -> pa.ListArray:
         """Ids of each text."""
         found = [WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         counts = np.fromiter(map(len, found), np.int64, len(found))
         coded = pa.array([w for words in found for w in words], pa.string()).dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known = {}
-        new = sorted(word for word in words if word not in self.known)
-        self.known.update(zip(new, self.encode(new), strict=True))
-        ids = [self.known[word] for word in words]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum()))
-        starts = np.cumsum(lengths) - lengths
+        rows = self._rows(words)
+        lengths, starts = np.diff(self.ends)[rows], self.ends[rows]
         code = coded.indices.to_numpy()
         n = lengths[code]
-        gathered = flat[np.repeat(starts[code], n) + run_positions(n)] if len(code) else np.zeros(0, np.int32)
+        gathered = self.flat[np.repeat(starts[code], n) + run_positions(n)]
         ends = np.concatenate([[0], np.cumsum(n)])
         offsets = ends[np.concatenate([[0], np.cumsum(counts)])]
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(gathered, pa.int32()))
 
 
-def decode_ids(bytes_of: list[bytes], ids) -> str:
-    """The text of ids, without the leading mark."""
-    text = b"".join([bytes_of[i] for i in ids]).decode("utf-8", "replace")
-    return text[1:] if text[:1] == " " else text
+class Decoder:
+    """Turns ids into text, for many texts at once."""
+
+    def __init__(self, bytes_of: list[bytes]):
+        self.lengths = np.array([len(b) for b in bytes_of], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(bytes_of), np.uint8)
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The texts without their leading marks; null where the ids are null."""
+        values = ids.flatten().to_numpy()
+        n = self.lengths[values]
+        data = self.flat[np.repeat(self.starts[values], n) + run_positions(n)].tobytes()
+        counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(counts)].tolist()
+        texts, start = [], 0
+        for end, known in zip(ends, ids.is_valid().to_pylist(), strict=True):
+            text = data[start + (data[start : start + 1] == b" " and end > start) : end].decode("utf-8", "replace")
+            texts.append(text if known else None)
+            start = end
+        return pa.array(texts, pa.string())
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
@@ -233,9 +263,9 @@ def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     schema = ", ".join(f"`{name}` {kind}" for name, kind in coded.select(*names).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = shared.value
+        decoder = Decoder(shared.value)
         for batch in batches:
-            texts = [None if ids.as_py() is None else decode_ids(bytes_of, ids.as_py()) for ids in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], [*names, "text"])
+            columns = [batch.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays([*columns, decoder.decode(batch.column("ids"))], [*names, "text"])
 
     return coded.select(*names).mapInArrow(run, f"{schema}, text string")
