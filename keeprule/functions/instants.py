@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,12 +37,22 @@ def instant_as(instant: Column, time_type: T.DataType) -> Column:
 
 
 def parse_instant(text: Column) -> Column:
-    """ISO text to a UTC instant; text without a zone is read as UTC."""
+    """ISO text to a UTC instant; text without a zone is read as UTC, text that is no time gives NULL."""
     zoned = F.when(text.rlike(r"(?:[Zz]|[+-]\d{2}(?::?\d{2})?)$"), text).otherwise(F.concat(text, F.lit("Z")))
-    wall_time = F.to_timestamp(zoned).cast("timestamp_ntz")
+    wall_time = F.try_to_timestamp(zoned).cast("timestamp_ntz")
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), wall_time)
 
 
+def with_instant(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with a column of ISO text turned into UTC instants; blank or unreadable text becomes NULL.
+
+    Columns of a time type stay as they are.
+    """
+    if not isinstance(rows.schema[column].dataType, T.StringType):
+        return rows
+    return rows.withColumn(column, parse_instant(F.trim(column)))
+
+
 def period_unit(unit: Column) -> Column:
     return F.lower(F.trim(unit))
 

@@ -40,7 +40,7 @@ def split_format(name: str) -> tuple[str, str]:
 def load(spark: SparkSession, name: str) -> DataFrame:
     kind, path = split_format(name)
     if kind == "csv":
-        return readers.read_csv(spark, path)
+        return readers.read_csv(spark, path, keep_null=True)
     if kind == "json":
         return readers.read_records(spark, path)
     if kind == "text":

@@ -45,14 +45,19 @@ def _verdict(applies: Column, bad: Column, if_bad: str, otherwise: str) -> Colum
     return F.when(applies, F.when(bad, if_bad).otherwise(otherwise))
 
 
+def _holds(case_items: DataFrame) -> DataFrame:
+    """Message and hold flag of case items, nested as they are stored or from flat files, where the flag may be text."""
+    key = "documentKey.gcid" if "documentKey" in case_items.columns else "gcid"
+    held = F.coalesce(F.col("holdFlag").try_cast("boolean"), F.lit(False))
+    return case_items.select(F.col(key).alias(KEY), held.alias("held"))
+
+
 def _marks_per_id(assignments, thresholds, case_items=None, more_ids=()) -> DataFrame:
     rows = _assignment_marks(assignments, thresholds)
     for ids in more_ids:
         rows = rows.unionByName(ids.select(KEY, F.lit(True).alias("evaluated")), allowMissingColumns=True)
     if case_items is not None:
-        holds = case_items.select(
-            F.col("documentKey.gcid").alias(KEY), F.coalesce("holdFlag", F.lit(False)).alias("held")
-        )
+        holds = _holds(case_items)
         rows = rows.unionByName(holds, allowMissingColumns=True)
     else:
         rows = rows.withColumn("held", F.lit(None).cast("boolean"))
@@ -146,9 +151,8 @@ def supervision_flags(assignments, policies, instant, *more_ids) -> DataFrame:
 
 def case_holds(case_items: DataFrame) -> DataFrame:
     """``gcId, case_hold``: Y if any case item of the message has its hold flag set."""
-    held = F.coalesce("holdFlag", F.lit(False))
     return (
-        case_items.select(F.col("documentKey.gcid").alias(KEY), held.alias("held"))
+        _holds(case_items)
         .where(F.col(KEY).isNotNull())
         .groupBy(KEY)
         .agg(F.when(F.max("held"), "Y").otherwise("N").alias("case_hold"))

@@ -15,6 +15,7 @@ from keeprule.functions.instants import (
     period_unit,
     shift_back,
     shift_back_to_midnight,
+    with_instant,
 )
 from keeprule.operators.lookups import fits_broadcast, lookup_join
 
@@ -49,7 +50,8 @@ class Thresholds:
     latest: datetime | None
 
     def join_to(self, rows: DataFrame, how: str) -> DataFrame:
-        """Give each row the threshold of its policy, in the time type of ``startDate``."""
+        """Give each row the threshold of its policy, in the time type of ``startDate``; text becomes UTC instants."""
+        rows = with_instant(rows, "startDate")
         time_type = rows.schema["startDate"].dataType
         frame = self.frame.withColumn("threshold", instant_as(F.col("threshold"), time_type))
         return lookup_join(rows, frame, "policyId", how, self.small)
@@ -61,6 +63,7 @@ class Thresholds:
         """
         if self.latest is None:
             return self.join_to(rows, "inner")
+        rows = with_instant(rows, "startDate")
         latest = instant_as(instant_literal(self.latest), rows.schema["startDate"].dataType)
         early = rows.where(F.col("startDate") < latest)
         return self.join_to(early, "inner").where(F.col("startDate") < F.col("threshold"))

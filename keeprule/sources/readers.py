@@ -36,8 +36,9 @@ def read_csv(
     required: tuple[str, ...] = (),
     multiline: bool = False,
     with_file: str | None = None,
+    keep_null: bool = False,
 ) -> DataFrame:
-    """CSV with a header as text columns, blanks as empty text; a folder is read whole.
+    """CSV with a header as text columns; a folder is read whole. Blanks are empty text, or NULL with ``keep_null``.
 
     ``required`` columns must be present; ``with_file`` adds the name of the file.
     """
@@ -45,7 +46,8 @@ def read_csv(
     missing = [c for c in required if c not in rows.columns]
     if missing:
         raise ValueError(f"no column {', '.join(missing)} in {path}")
-    columns = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns]
+    blank = F.lit(None).cast("string") if keep_null else F.lit("")
+    columns = [F.coalesce(F.col(f"`{c}`"), blank).alias(c) for c in rows.columns]
     if with_file:
         columns.append(F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "").alias(with_file))
     return rows.select(*columns)

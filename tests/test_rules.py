@@ -326,3 +326,27 @@ def test_sort_is_total_over_equal_rows(spark):
     rows = spark.sql("SELECT IF(id % 3 = 0, 'hot', concat('k', id % 50)) AS k, 'v' AS v FROM range(3000)")
     result = [r["k"] for r in filters.sort_rows(rows, "k", "v").collect()]
     assert result == sorted(r["k"] for r in rows.collect())
+
+
+def test_text_starts_are_compared_as_instants(spark):
+    """Zones count, blanks and unreadable starts never keep a message alive."""
+    starts = [
+        ("late", "2001-06-14T11:00:00-05:00"),
+        ("early", "2001-06-14T13:00:00+02:00"),
+        ("utc", "2001-06-14T12:30:00Z"),
+        ("naive", "2001-06-14 12:29:59"),
+        ("blank", " "),
+        ("none", None),
+        ("odd", "soon"),
+    ]
+    rows = spark.createDataFrame([(g, "p", s) for g, s in starts], "gcId string, policyId string, startDate string")
+    policies = spark.createDataFrame([("p", 1, "day", None)], "policyId string, retentionPeriod int, unitOfPeriod string, sourceType string")
+    found = flags.retention_flags(rows, policies, "2001-06-15T12:30:00Z").collect()
+    verdicts = {r["gcId"]: r["ret_policies_expired"] for r in found}
+    assert {g for g, v in verdicts.items() if v == "N"} == {"late", "utc"}
+    assert set(verdicts) == {g for g, _ in starts}
+
+
+def test_case_items_of_flat_files(spark):
+    items = spark.createDataFrame([("a", "true"), ("a", None), ("b", "false"), ("c", None)], "gcid string, holdFlag string")
+    assert {tuple(r) for r in flags.case_holds(items).collect()} == {("a", "Y"), ("b", "N"), ("c", "N")}
