@@ -21,14 +21,18 @@ from keeprule.llm.common import pieces, text_bytes
 from keeprule.llm.shingles import word_hashes
 
 AT_ONCE = 2_000_000
-#: Labeller: measurement, bad from this value on, good up to this value.
+NEVER = -1.0
+#: Labeller: measurement, bad from this value on, good up to this value. Lack of one defect is no reason to call a text
+#: good; only the two that look at the whole text do.
 LABELLERS = (
-    ("capitals", 0.5, 0.2),
-    ("symbols", 0.1, 0.02),
-    ("exclamations", 0.2, 0.05),
-    ("repeats", 0.2, 0.05),
-    ("digits", 0.3, 0.1),
-    ("shortness", 0.2, 0.04),
+    ("capitals", 0.5, NEVER),
+    ("symbols", 0.1, NEVER),
+    ("exclamations", 0.2, NEVER),
+    ("repeats", 0.2, NEVER),
+    ("digits", 0.3, NEVER),
+    ("shortness", 0.2, NEVER),
+    ("odd characters", 0.06, 0.03),
+    ("worst part", 0.1, 0.06),
 )
 BUCKETS, LEVELS = 4096, 10
 SIZE = BUCKETS + LEVELS * len(LABELLERS)
@@ -50,7 +54,11 @@ def measurements(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = ends - words
     total = np.concatenate([[0], np.cumsum(same)])
     repeats = (total[ends] - total[np.minimum(starts + 1, ends)]) / np.maximum(1, words)
-    return np.stack([capitals, symbols, shouts, repeats, digits, 1 / np.maximum(1, words)], 1), hashes, words
+    usual = upper | lower | (data >= 128) | np.isin(data, np.frombuffer(b" \n.,", np.uint8))
+    odd = 1 - sums(usual) / np.maximum(1, np.diff(offsets))
+    worst = np.maximum(np.maximum(symbols, repeats), np.maximum(capitals, digits))
+    found = [capitals, symbols, shouts, repeats, digits, 1 / np.maximum(1, words), odd, worst]
+    return np.stack(found, 1), hashes, words
 
 
 def votes(measured: np.ndarray) -> np.ndarray:
@@ -63,32 +71,32 @@ def pattern_of(cast: np.ndarray) -> np.ndarray:
     return (cast + 1) @ 3 ** np.arange(len(LABELLERS))
 
 
+def _votes_of(patterns: np.ndarray) -> np.ndarray:
+    return patterns[:, None] // 3 ** np.arange(len(LABELLERS)) % 3 - 1
+
+
 @dataclass
 class LabelModel:
-    """Share of good texts; chance of each vote (-1, 0, 1) by labeller for bad and good texts."""
+    """Share of good texts, and how often each labeller is right when it votes."""
 
     share: float
-    chances: np.ndarray  # [labeller, quality, vote]
+    accuracy: np.ndarray
 
     @classmethod
     def fit(cls, patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> LabelModel:
-        """EM from the start that each labeller that votes is right four times of five."""
-        seen = patterns[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
-        model = cls(0.8, np.array([[[0.6, 0.25, 0.15], [0.15, 0.25, 0.6]]] * len(LABELLERS)))
+        """EM from the start that each labeller is right four times of five; votes not cast say nothing."""
+        cast = _votes_of(patterns)
+        model = cls(0.8, np.full(len(LABELLERS), 0.8))
         for _ in range(rounds):
-            good = model.posterior(patterns) * counts
-            bad = counts - good
-            chances = np.array(
-                [[[(w * (seen[:, k] == v)).sum() + 1.0 for v in range(3)] for w in (bad, good)] for k in range(len(LABELLERS))]
-            )
-            model = cls((good.sum() + 1) / (counts.sum() + 2), chances / chances.sum(2, keepdims=True))
+            good = model.posterior(patterns)
+            right = np.where(cast > 0, good[:, None], np.where(cast < 0, 1 - good[:, None], 0)) * counts[:, None]
+            accuracy = (right.sum(0) + 4) / (((cast != 0) * counts[:, None]).sum(0) + 5)
+            model = cls((float(good @ counts) + 4) / (counts.sum() + 5), np.clip(accuracy, 0.55, 0.99))
         return model
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
         """Probability that a text with these votes is good."""
-        seen = patterns[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
-        logs = np.log(self.chances)[np.arange(len(LABELLERS)), :, seen].sum(1)
-        odds = logs[:, 1] - logs[:, 0] + np.log(self.share) - np.log(1 - self.share)
+        odds = np.log(self.share / (1 - self.share)) + _votes_of(patterns) @ np.log(self.accuracy / (1 - self.accuracy))
         return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
 
