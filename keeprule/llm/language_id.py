@@ -113,7 +113,7 @@ class ContextTrees:
             shorter_names = names
             first += len(names)
         table = -np.log2(np.concatenate(blocks)).astype(np.float32)
-        return cls(langs, node_of, table.reshape(-1, len(langs)))
+        return cls(langs, node_of, table.reshape(len(table) * SIZE, len(langs)))
 
     def code_lengths(self, texts: pa.Array) -> np.ndarray:
         """Bits of every text in every language."""
@@ -174,5 +174,6 @@ def identify(docs: DataFrame, trees: ContextTrees, *keep: str) -> DataFrame:
 
 def identifiable(docs: DataFrame, trees: ContextTrees, min_score: float = 0.5) -> DataFrame:
     """The rows of ``docs``, with their columns, whose language is told with at least ``min_score``."""
-    found = identify(docs, trees, *docs.columns)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*docs.columns)
+    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    found = identify(packed, trees, "row")
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")
