@@ -44,7 +44,9 @@ def json_objects(text: Column, fields=None) -> Column:
     objects, or goes on after it.
     """
     item = T.MapType(T.StringType(), T.StringType()) if fields is None else text_struct(fields)
-    return F.when(F.rtrim(text).endswith("]"), F.from_json(text, T.ArrayType(item)))
+    # Read as the first of two arrays: text that goes on after its array gives a list of another length.
+    both = F.from_json(F.concat(F.lit("["), text, F.lit(",[]]")), T.ArrayType(T.ArrayType(item)))
+    return F.when(F.rtrim(text).endswith("]") & (F.size(both) == 2) & (F.size(both[1]) == 0), both[0])
 
 
 def unwrap_array(text: Column) -> Column:

@@ -91,7 +91,8 @@ def assignment_diff(spark, o):
         report = diff.assignment_diff_named(before, after, load(spark, o.policies))
     else:
         report = diff.assignment_diff(before, after)
-    save(report, o.out, ["gcId", "part", "before", "after", "net_new", "n_net_new"])
+    shown = ["gcId", "policyId", *(["name"] if o.policies else []), "n_before", "n_after", "n_new", "n_net_new"]
+    save(report, o.out, shown)
 
 
 @job("rows fields out", "ids key where max_rows")
@@ -101,9 +102,9 @@ def export(spark, o):
         rows = rows.where(o.where)
     if o.ids:
         wanted = readers.read_ids(spark, o.ids, o.key)
-        result, given, written = exports.observed_export(rows, wanted, o.key, fields)
+        result, written = exports.observed_export(rows, wanted, o.key, fields)
         save(result, o.out, fields, o.max_rows)
-        print({**given.get, **written.get})
+        print({"ids_given": wanted.count(), "rows_written": exports.rows_written(written)})
     else:
         save(filters.project(rows, fields), o.out, fields, o.max_rows)
 
@@ -127,7 +128,7 @@ def lookup(spark, o):
 @job("csv out", "size")
 def id_batches(spark, o):
     rows = readers.read_numbered_csv(spark, o.csv, required=("_id",))
-    batches = ids.id_batches_in_order(rows, "file", "_id", int(o.size or ids.BATCH_SIZE))
+    batches = ids.id_batches_in_order(rows, "path", "_id", int(o.size or ids.BATCH_SIZE), "file")
     writers.write_documents(ids.as_json_documents(batches), o.out, "file")
 
 
@@ -142,10 +143,10 @@ def dedup_rows(spark, o):
     save(rows.dropDuplicates(), o.out, rows.columns)
 
 
-@job("log origin tenant out")
+@job("log origin tenant out", "fields")
 def event_rows(spark, o):
     log = load(spark, o.log)
-    result = events.event_rows(log, o.origin, o.tenant)
+    result = events.event_rows(log, o.origin, o.tenant, names(o.fields) if o.fields else None)
     save(result, o.out, result.columns)
     print({"unreadable": events.unreadable_events(log).count()})
 

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from keeprule.operators.lookups import policy_names
 from keeprule.operators.policies import checked_thresholds
 
-IDS_PER_BLOCK = 10_000
-
 
 def active_tenants(tenancy: DataFrame) -> DataFrame:
     """Tenants whose reports may run: active, and with a tenant uuid."""
@@ -52,22 +50,10 @@ def expiry_report(assignments, policies, clusters, instant, midnight: bool = Tru
 
 
 def all_pairs(clusters: DataFrame, policies: DataFrame) -> DataFrame:
-    """Every known cluster with every known policy.
-
-    The cluster ids are packed in blocks of bounded length and each policy is sent to
-    every block, so the pairs come from an ordinary join and an explode.
-    """
+    """Every known cluster with every known policy: the cross product of two dimension tables is the result."""
     cluster_ids = clusters.select(F.col("_id").alias("clusterId")).where(F.col("clusterId").isNotNull()).distinct()
-    blocks = max(1, -(-cluster_ids.count() // IDS_PER_BLOCK))
-    packed = cluster_ids.groupBy(F.pmod(F.xxhash64("clusterId"), F.lit(blocks)).cast("int").alias("block")).agg(
-        F.collect_list("clusterId").alias("cluster_ids")
-    )
     policy_ids = policies.select("policyId").where(F.col("policyId").isNotNull()).distinct()
-    return (
-        policy_ids.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .join(packed, "block")
-        .select(F.explode("cluster_ids").alias("clusterId"), "policyId")
-    )
+    return cluster_ids.crossJoin(policy_ids)
 
 
 def expired_counts_dense(assignments, policies, clusters, instant, midnight: bool = True) -> DataFrame:

@@ -1,20 +1,18 @@
 """Which policy assignments are new in the state after, compared with the state before.
 
 Both states are stacked and counted per (message, policy), so a message with very many
-rows is reduced before the shuffle to at most one row per policy and task. Only these
-counts are gathered per message; there are never more of them than policies.
+rows is reduced before the shuffle to at most one row per policy and task. The report
+keeps that form, one row per message and policy; nothing is gathered per message.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keeprule.functions.text import or_empty
 from keeprule.operators.lookups import lookup_join, policy_names
 
-LIST_SIZE = 1_000_000
-
 
 def assignment_counts(before: DataFrame, after: DataFrame) -> DataFrame:
     """``gcId, policyId, n_before, n_after``: how often each pair occurs on either side."""
@@ -35,75 +33,37 @@ def assignment_counts(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def _changes(counts: DataFrame, shown: str) -> DataFrame:
-    new = F.when(F.col("n_before") == 0, F.col("n_after")).otherwise(F.lit(0).cast("long"))
-    entry = F.struct(F.col("policyId"), F.col(shown).alias("shown"), "n_before", "n_after", new.alias("n_new"))
-    return (
-        counts.groupBy("gcId")
-        .agg(
-            F.array_sort(F.collect_list(entry)).alias("entries"),
-            F.sum("n_before").alias("n_before"),
-            F.sum("n_after").alias("n_after"),
-            F.sum(new).alias("n_net_new"),
-        )
-        .where((F.col("n_before") > 0) & (F.col("n_net_new") > 0))
-    )
-
-
 def assignment_changes(before: DataFrame, after: DataFrame) -> DataFrame:
-    """The report in counted form: per message its policies with their copies on either side.
+    """``gcId, n_before, n_after, n_net_new``: totals of the messages that gained something.
 
     Messages that only occur after, or that gained nothing, are not reported.
     """
-    shown = ("policyId", "n_before", "n_after")
-    counted = F.transform("entries", lambda e: F.struct(*[e[name].alias(name) for name in shown]))
-    changes = _changes(assignment_counts(before, after), "policyId")
-    return changes.select("gcId", counted.alias("policies"), "n_net_new")
-
-
-def _listed(copies: str, list_size: int) -> Column:
-    """The entries written out, each as often as it occurs; for long lists only the current part."""
-    entries = F.filter("entries", lambda e: e[copies] > 0)
-    whole = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["shown"], e[copies].cast("int"))))
-    first = F.col("part") * F.lit(list_size).cast("long")
-
-    def overlap(entry: Column, position: Column) -> Column:
-        earlier = F.slice(entries, F.lit(1), position)
-        start = F.aggregate(earlier, F.lit(0).cast("long"), lambda total, e: total + e[copies])
-        end = F.least(start + entry[copies], first + F.lit(list_size))
-        size = F.greatest(end - F.greatest(start, first), F.lit(0))
-        return F.array_repeat(entry["shown"], size.cast("int"))
-
-    in_part = F.flatten(F.transform(entries, overlap))
-    return F.when(F.greatest("n_before", "n_after") <= list_size, whole).otherwise(in_part)
-
-
-def _report(changes: DataFrame, list_size: int) -> DataFrame:
-    longest = F.greatest("n_before", "n_after")
-    parts = F.ceil(longest / F.lit(list_size)).cast("int")
-    return changes.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select(
-        "gcId",
-        "part",
-        _listed("n_before", list_size).alias("before"),
-        _listed("n_after", list_size).alias("after"),
-        _listed("n_new", list_size).alias("net_new"),
-        "n_net_new",
+    return _gained(_with_new(assignment_counts(before, after)))
+
+
+def _with_new(counts: DataFrame) -> DataFrame:
+    new = F.when(F.col("n_before") == 0, F.col("n_after")).otherwise(F.lit(0).cast("long"))
+    return counts.withColumn("n_new", new)
+
+
+def _gained(counts: DataFrame) -> DataFrame:
+    totals = counts.groupBy("gcId").agg(
+        F.sum("n_before").alias("n_before"), F.sum("n_after").alias("n_after"), F.sum("n_new").alias("n_net_new")
     )
+    return totals.where((F.col("n_before") > 0) & (F.col("n_net_new") > 0))
 
 
-def assignment_diff(before: DataFrame, after: DataFrame, list_size: int = LIST_SIZE) -> DataFrame:
-    """``gcId, part, before, after, net_new, n_net_new``, driven by the messages of ``before``.
+def assignment_diff(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``gcId, policyId, n_before, n_after, n_new, n_net_new`` of the messages that gained something.
 
-    Lists are ordered by policy id and keep repeats. ``part`` is 0, except that a message
-    whose lists exceed ``list_size`` goes on in further rows, so that no row outgrows memory.
+    ``n_new`` are the copies of a policy that the message did not have before, ``n_net_new``
+    is their sum over the message.
     """
-    return _report(_changes(assignment_counts(before, after), "policyId"), list_size)
+    counts = _with_new(assignment_counts(before, after))
+    return counts.join(_gained(counts).select("gcId", "n_net_new"), "gcId")
 
 
-def assignment_diff_named(
-    before: DataFrame, after: DataFrame, policies: DataFrame, list_size: int = LIST_SIZE
-) -> DataFrame:
-    """As ``assignment_diff`` with names for ids where known; the order stays that of the ids."""
-    counts = lookup_join(assignment_counts(before, after), policy_names(policies), "policyId", "left")
-    counts = counts.withColumn("name", F.coalesce("name", "policyId"))
-    return _report(_changes(counts, "name"), list_size)
+def assignment_diff_named(before: DataFrame, after: DataFrame, policies: DataFrame) -> DataFrame:
+    """As ``assignment_diff`` with ``name``, which is the id where no name is known."""
+    report = lookup_join(assignment_diff(before, after), policy_names(policies), "policyId", "left")
+    return report.withColumn("name", F.coalesce("name", "policyId"))

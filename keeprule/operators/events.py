@@ -11,8 +11,6 @@ from keeprule.functions.text import json_objects, or_empty
 # Event fields that are not reported.
 UNREPORTED_FIELDS = ("tenantid", "ver")
 
-MAX_FIELDS = 10_000
-
 
 def explode_events(log: DataFrame, fields=None) -> DataFrame:
     """``_id, event``: one row per event, as a map, or as a struct of the given fields.
@@ -29,44 +27,35 @@ def unreadable_events(log: DataFrame) -> DataFrame:
     return log.where(F.col("events").isNotNull() & json_objects(F.col("events")).isNull())
 
 
-def event_fields(log: DataFrame) -> list[str]:
-    """All field names over all events, sorted, without the unreported ones.
-
-    These become columns, so the list has to come to the driver; text in which the
-    names are data rather than fields is refused.
-    """
-    names = (
+def event_fields(log: DataFrame) -> DataFrame:
+    """``name``: all field names over all events, once each, without the unreported ones."""
+    return (
         explode_events(log)
         .select(F.explode(F.map_keys("event")).alias("name"))
         .where(~F.col("name").isin(*UNREPORTED_FIELDS))
         .distinct()
     )
-    found = [row["name"] for row in names.limit(MAX_FIELDS + 1).collect()]
-    if len(found) > MAX_FIELDS:
-        raise ValueError(f"events have more than {MAX_FIELDS} different fields; name the wanted ones")
-    return sorted(found)
 
 
 def event_rows(log: DataFrame, origin: str, tenant: str, fields: list[str] | None = None) -> DataFrame:
     """The events of one origin and tenant as rows: ``_id``, ``_tm`` as text, then the fields.
 
-    Without ``fields`` the names are collected from all events first, before the filter.
-    A missing field is empty; a missing time is the epoch, an unreadable one is empty.
+    Named fields become columns, empty where an event lacks them. Without ``fields`` the
+    column ``event`` holds all reported fields of the event as a map. A missing time is the
+    epoch, an unreadable one is empty.
     """
-    if fields is None:
-        fields = event_fields(log)
-    shown = [name for name in fields if name not in ("_id", "_tm")]
+    shown = [name for name in fields or () if name not in ("_id", "_tm")]
     parsed = sorted({"origin", "tenantid", "_tm", *shown})
-    if len({name.lower() for name in parsed}) < len(parsed):
+    if fields is None or len({name.lower() for name in parsed}) < len(parsed):
         parsed = None  # names that differ only in case are told apart in a map, not in a struct
     event = F.col("event")
     time = or_empty(epoch_millis_text(F.coalesce(event["_tm"], F.lit("0"))))
+    if fields is None:
+        columns = [F.map_filter(event, lambda name, _: ~name.isin("_id", "_tm", *UNREPORTED_FIELDS)).alias("event")]
+    else:
+        columns = [or_empty(event[name]).alias(name) for name in shown]
     return (
         explode_events(log, parsed)
         .where((event["origin"] == origin) & (event["tenantid"] == tenant))
-        .select(
-            F.col("_id").cast("string").alias("_id"),
-            time.alias("_tm"),
-            *[or_empty(event[name]).alias(name) for name in shown],
-        )
+        .select(F.col("_id").cast("string").alias("_id"), time.alias("_tm"), *columns)
     )

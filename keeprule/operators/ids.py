@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from keeprule.functions.text import strip
 
 BATCH_SIZE = 1_000
-DOCUMENT_SIZE = 1_000_000
 BUCKET_DIGITS = 3
 
 
@@ -74,20 +73,23 @@ def id_batches(
     )
 
 
-def id_batches_in_order(rows: DataFrame, group: str, id_column: str, size: int = BATCH_SIZE) -> DataFrame:
-    """As ``id_batches`` for rows with a ``position`` in their group, in the order of positions."""
+def id_batches_in_order(rows: DataFrame, group: str, id_column: str, size: int = BATCH_SIZE, *shown: str) -> DataFrame:
+    """As ``id_batches`` for rows with a ``position`` in their group, in the order of positions.
+
+    ``shown`` are further columns that every group has one value of.
+    """
     placed = rows.select(
-        group, F.call_function("div", "position", F.lit(size)).alias("batch"), "position",
+        group, *shown, F.call_function("div", "position", F.lit(size)).alias("batch"), "position",
         strip(F.coalesce(id_column, F.lit(""))).alias("id"),
     )
     in_order = F.array_sort(F.collect_list(F.struct("position", "id")))
-    return placed.groupBy(group, "batch").agg(in_order["id"].alias("ids")).select(
-        group, (F.col("batch") + 1).alias("batch"), F.size("ids").cast("long").alias("n_ids"), "ids"
+    return placed.groupBy(group, *shown, "batch").agg(in_order["id"].alias("ids")).select(
+        group, *shown, (F.col("batch") + 1).alias("batch"), F.size("ids").cast("long").alias("n_ids"), "ids"
     )
 
 
-def id_documents(rows: DataFrame, group: str, id_column: str, size: int = DOCUMENT_SIZE) -> DataFrame:
-    """One array of ids per group; a group above ``size`` ids goes on in further documents."""
+def id_documents(rows: DataFrame, group: str, id_column: str, size: int) -> DataFrame:
+    """Arrays of at most ``size`` ids per group; a group above ``size`` ids goes on in further documents."""
     return id_batches(rows, group, id_column, size)
 
 

@@ -1,8 +1,7 @@
 """Joins of a large table with a table that has one row per key.
 
 A broadcast is used only when the lookup table was measured and found small.
-Otherwise rows are shuffled, and keys that hold very many rows are joined apart,
-so that no task receives all rows of a hot key.
+Otherwise the rows are joined as they are, and adaptive execution splits the rows of a hot key.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from keeprule.functions.sizes import row_bytes
 
 BROADCAST_ROWS = 5_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
-HOT_KEY_ROWS = 5_000_000
 
 
 def table_size(frame: DataFrame) -> tuple[int, int]:
@@ -33,7 +31,6 @@ def lookup_join(
     keys: str | list[str],
     how: str = "inner",
     small: bool | None = None,
-    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup``, which has one row per key; ``how`` is inner or left.
 
@@ -46,39 +43,7 @@ def lookup_join(
         small = fits_broadcast(*table_size(lookup))
     if small:
         return facts.join(F.broadcast(lookup), keys, how)
-    return join_with_hot_keys(facts, lookup, keys, how, hot_key_rows)
-
-
-def join_with_hot_keys(
-    facts: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    how: str,
-    hot_key_rows: int = HOT_KEY_ROWS,
-    unique: bool = True,
-) -> DataFrame:
-    """Shuffle join for ordinary keys, broadcast join for keys above ``hot_key_rows`` rows.
-
-    At most (rows of ``facts`` / ``hot_key_rows``) keys can be hot. With a ``unique``
-    lookup table that bounds what is broadcast; otherwise its rows for the hot keys are
-    measured first. Rows without a key match nothing, so a left join keeps them aside
-    instead of shuffling them to one task.
-    """
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    keyed = facts.where(~no_key)
-    rows_of_key = keyed.groupBy(*keys).agg(F.count("*").alias("rows_of_key"))
-    hot_keys = F.broadcast(rows_of_key.where(F.col("rows_of_key") > hot_key_rows).select(*keys))
-    ordinary = keyed.join(hot_keys, keys, "left_anti").join(lookup, keys, how)
-    hot_lookup = lookup.join(hot_keys, keys, "left_semi")
-    if unique or fits_broadcast(*table_size(hot_lookup)):
-        hot_lookup = F.broadcast(hot_lookup)
-    hot = keyed.join(hot_keys, keys, "left_semi").join(hot_lookup, keys, how)
-    joined = ordinary.unionByName(hot)
-    if how == "left":
-        joined = joined.unionByName(facts.where(no_key), allowMissingColumns=True)
-    return joined
+    return facts.join(lookup, keys, how)
 
 
 def rows_in_list(rows: DataFrame, ids: DataFrame, key: str, id_column: str | None = None) -> DataFrame:
@@ -91,19 +56,14 @@ def rows_in_list(rows: DataFrame, ids: DataFrame, key: str, id_column: str | Non
     return rows.join(wanted, key, "left_semi")
 
 
-def first_match(
-    wanted: DataFrame, rows: DataFrame, key: str, value: str, hot_key_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
+def first_match(wanted: DataFrame, rows: DataFrame, key: str, value: str) -> DataFrame:
     """For each wanted key the smallest non-null ``value`` among the matching rows.
 
     Repeats in ``wanted`` and its other columns stay; keys without a match are dropped.
     """
-    candidates = rows.where(F.col(value).isNotNull()).select(key, value)
-    small = fits_broadcast(*table_size(wanted.select(key)))
-    if small:
-        candidates = candidates.join(F.broadcast(wanted.select(key)), key, "left_semi")
+    candidates = rows.where(F.col(value).isNotNull()).select(key, value).join(wanted.select(key), key, "left_semi")
     matches = candidates.groupBy(key).agg(F.min(value).alias(value))
-    return lookup_join(wanted, matches, key, "inner", small, hot_key_rows)
+    return wanted.join(matches, key)
 
 
 def policy_names(policies: DataFrame) -> DataFrame:

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from keeprule.operators.lookups import fits_broadcast, join_with_hot_keys, table_size
+from keeprule.operators.lookups import fits_broadcast, table_size
 
 
 def _with_level(ranges: DataFrame, low: str, high: str) -> DataFrame:
@@ -32,18 +33,22 @@ def counts_in_ranges(
 ) -> DataFrame:
     """``range_id, n_rows`` and the sum of each column in ``sums``, for ranges that hold rows.
 
-    ``key``, ``low`` and ``high`` are whole numbers; ``small`` tells the size of ``ranges``
-    when it is known. Small ranges are broadcast and the rows are only counted. Otherwise
-    the rows are first added up per key, and heavy bins are joined apart.
+    ``key``, ``low`` and ``high`` must be of integral types. ``small`` tells that the bins of
+    ``ranges`` are known to fit a broadcast; else they are measured. Small ones are broadcast
+    and the rows are only counted. Otherwise the rows are first added up per key.
     """
+    for frame, column in ((rows, key), (ranges, low), (ranges, high)):
+        kind = frame.select(column).schema[0].dataType
+        if not isinstance(kind, T.IntegralType):
+            raise TypeError(f"ranges are of whole numbers; {column} is {kind.simpleString()}")
     ranges = ranges.select(*range_id, F.col(low).cast("long").alias("low"), F.col(high).cast("long").alias("high"))
-    if small is None:
-        small = fits_broadcast(*table_size(ranges))
     leveled = _with_level(ranges, "low", "high")
     levels = leveled.agg(F.collect_set("level").alias("levels"))
     bins = leveled.withColumn(
         "bin", F.explode(F.expr("sequence(shiftright(low, level), shiftright(high - 1, level))"))
     )
+    if small is None:
+        small = fits_broadcast(*table_size(bins))
 
     weighed = rows.where(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("key"), F.lit(1).cast("long").alias("n_rows"), *[F.col(c) for c in sums]
@@ -54,9 +59,6 @@ def counts_in_ranges(
     probes = weighed.withColumn("level", F.explode(levels.scalar())).withColumn("bin", F.expr("shiftright(key, level)"))
 
     keys = ["level", "bin"]
-    if small:
-        met = probes.join(F.broadcast(bins), keys)
-    else:
-        met = join_with_hot_keys(probes, bins, keys, "inner", unique=False)
+    met = probes.join(F.broadcast(bins) if small else bins, keys)
     inside = met.where((F.col("key") >= F.col("low")) & (F.col("key") < F.col("high")))
     return inside.groupBy(*range_id).agg(*totals)

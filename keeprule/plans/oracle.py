@@ -105,25 +105,15 @@ DIFF_STEPS = dict(
   FROM counts GROUP BY gcId HAVING sum(n_before) > 0 AND sum(CASE WHEN n_before = 0 THEN n_after ELSE 0 END) > 0""",
 )
 oracle("assignment_counts", DIFF_VIEWS, "SELECT * FROM counts", **DIFF_STEPS)
-oracle("assignment_changes", DIFF_VIEWS, "SELECT c.*, t.n_net_new FROM counts c JOIN totals t ON c.gcId = t.gcId", **DIFF_STEPS)
+oracle("assignment_changes", DIFF_VIEWS, """
+SELECT c.gcId, CAST(sum(c.n_before) AS BIGINT) AS n_before, CAST(sum(c.n_after) AS BIGINT) AS n_after, any_value(t.n_net_new) AS n_net_new
+FROM counts c JOIN totals t ON c.gcId = t.gcId GROUP BY c.gcId""", **DIFF_STEPS)
+DIFF_ROWS = """SELECT c.*, CASE WHEN c.n_before = 0 THEN c.n_after ELSE CAST(0 AS BIGINT) END AS n_new, t.n_net_new"""
 
 
-def diff_report(shown: str) -> str:
-    return f"""
-SELECT t.gcId, CAST(0 AS INTEGER) AS part, b.l AS before, a.l AS after, n.l AS net_new, t.n_net_new
-FROM totals t
-  JOIN (SELECT m.gcId, string_agg({shown}, ',' ORDER BY m.policyId) AS l FROM map_before m
-        LEFT JOIN retention_policies p ON m.policyId = p.policyId GROUP BY m.gcId) b ON b.gcId = t.gcId
-  JOIN (SELECT m.gcId, string_agg({shown}, ',' ORDER BY m.policyId) AS l FROM map_after m
-        LEFT JOIN retention_policies p ON m.policyId = p.policyId GROUP BY m.gcId) a ON a.gcId = t.gcId
-  JOIN (SELECT m.gcId, string_agg({shown}, ',' ORDER BY m.policyId) AS l FROM map_after m
-        LEFT JOIN retention_policies p ON m.policyId = p.policyId
-        WHERE NOT EXISTS (SELECT 1 FROM map_before x WHERE x.gcId = m.gcId AND x.policyId = m.policyId)
-        GROUP BY m.gcId) n ON n.gcId = t.gcId"""
-
-
-oracle("assignment_diff", DIFF_VIEWS, diff_report("m.policyId"), **DIFF_STEPS)
-oracle("assignment_diff_named", DIFF_VIEWS, diff_report("coalesce(p.name, m.policyId)"), **DIFF_STEPS)
+oracle("assignment_diff", DIFF_VIEWS, f"{DIFF_ROWS} FROM counts c JOIN totals t ON c.gcId = t.gcId", **DIFF_STEPS)
+oracle("assignment_diff_named", DIFF_VIEWS, f"""{DIFF_ROWS}, coalesce(p.name, c.policyId) AS name
+FROM counts c JOIN totals t ON c.gcId = t.gcId LEFT JOIN retention_policies p ON c.policyId = p.policyId""", **DIFF_STEPS)
 oracle("sorted_assignments", "retention_policy_map", """
 SELECT gcId, policyId, channel, clusterId, network FROM retention_policy_map
 ORDER BY gcId, policyId, channel, clusterId, network""")
@@ -165,9 +155,9 @@ oracle("id_batches", "archive_metrics", """
 SELECT src_file, CAST(floor(place / 1000.0) AS BIGINT) + 1 AS batch, count(*) AS n_ids, string_agg(_id, ',' ORDER BY place) AS ids
 FROM placed GROUP BY src_file, CAST(floor(place / 1000.0) AS BIGINT) + 1""", placed=PLACED)
 oracle("id_documents", "archive_metrics", """
-SELECT src_file, CAST(1 AS BIGINT) AS batch, count(*) AS n_ids,
+SELECT src_file, CAST(floor(place / 2500.0) AS BIGINT) + 1 AS batch, count(*) AS n_ids,
   '{"archiveMetricIds":["' || string_agg(_id, '","' ORDER BY place) || '"]}' AS document
-FROM placed GROUP BY src_file""", placed=PLACED)
+FROM placed GROUP BY src_file, CAST(floor(place / 2500.0) AS BIGINT) + 1""", placed=PLACED)
 oracle("file_id_batches", "archive_metrics", "SELECT _id, true AS full FROM archive_metrics")
 oracle("sorted_ids", "retention_policy_map", "SELECT DISTINCT gcId AS gcid FROM retention_policy_map ORDER BY 1")
 oracle("dedup_rows", "retention_policy_map", "SELECT DISTINCT gcId, channel, network FROM retention_policy_map")

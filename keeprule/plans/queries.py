@@ -168,20 +168,17 @@ def assignment_counts(a: Archive) -> DataFrame:
 
 @query
 def assignment_changes(a: Archive) -> DataFrame:
-    changes = diff.assignment_changes(a.map_before, a.map_after)
-    return changes.select("gcId", F.explode("policies").alias("p"), "n_net_new").select("gcId", "p.*", "n_net_new")
+    return diff.assignment_changes(a.map_before, a.map_after)
 
 
 @query
 def assignment_diff(a: Archive) -> DataFrame:
-    report = diff.assignment_diff(a.map_before, a.map_after)
-    return report.select("gcId", "part", listed("before"), listed("after"), listed("net_new"), "n_net_new")
+    return diff.assignment_diff(a.map_before, a.map_after)
 
 
 @query
 def assignment_diff_named(a: Archive) -> DataFrame:
-    report = diff.assignment_diff_named(a.map_before, a.map_after, a.retention_policies)
-    return report.select("gcId", "part", listed("before"), listed("after"), listed("net_new"), "n_net_new")
+    return diff.assignment_diff_named(a.map_before, a.map_after, a.retention_policies)
 
 
 @query
@@ -284,15 +281,15 @@ def file_id_batches(a: Archive) -> DataFrame:
     """Ids packed file by file; a batch is full unless it is the last of its file."""
     path = new_folder(a.spark, "id-files")
     writers.write_csv(a.archive_metrics.select("_id"), path, max_rows_per_file=4_321)
-    batches = ids.id_batches_in_order(readers.read_numbered_csv(a.spark, path, ("_id",)), "file", "_id")
-    last = F.max("batch").over(Window.partitionBy("file"))
+    batches = ids.id_batches_in_order(readers.read_numbered_csv(a.spark, path, ("_id",)), "path", "_id")
+    last = F.max("batch").over(Window.partitionBy("path"))
     full = (F.col("n_ids") == ids.BATCH_SIZE) | (F.col("batch") == last)
     return batches.withColumn("full", full).select(F.explode("ids").alias("_id"), "full")
 
 
 @query
 def id_documents(a: Archive) -> DataFrame:
-    documents = ids.id_documents(a.archive_metrics, "src_file", "_id")
+    documents = ids.id_documents(a.archive_metrics, "src_file", "_id", 2_500)
     return ids.as_json_documents(documents)
 
 
@@ -317,14 +314,14 @@ def union_slices(a: Archive) -> DataFrame:
 
 @query
 def event_failures(a: Archive) -> DataFrame:
-    return events.event_rows(a.event_log, "DISPOSITION", "t1")
+    return events.event_rows(a.event_log, "DISPOSITION", "t1", ["gcId", "id", "origin"])
 
 
 @query
 def unreadable_events(a: Archive) -> DataFrame:
     """Every log document followed by a broken copy of itself, counted as readable or not."""
     log = a.event_log
-    broken = log.select(F.concat(F.lit("bad-"), "_id").alias("_id"), F.concat("events", F.lit(" x")).alias("events"))
+    broken = log.select(F.concat(F.lit("bad-"), "_id").alias("_id"), F.concat("events", F.lit(" x]")).alias("events"))
     return events.unreadable_events(log.unionByName(broken)).select("_id")
 
 
@@ -528,8 +525,7 @@ def _evaluated(a: Archive) -> Evaluation:
     base = new_folder(a.spark, "evaluate")
     job = Evaluation(f"{base}/ids", f"{base}/flags", f"{base}/progress", f"{base}/checkpoint")
     first = flags.unique_ids(a.map_before)
-    later = upserts.absent_records(a.archive_metrics.select("gcId"), first, "gcId")
-    for wave in (first, later):
+    for wave in (first, a.archive_metrics.select("gcId")):  # with ids that were there before
         wave.write.mode("append").parquet(job.ids)
         evaluate_new_ids(a.spark, job, a.retention_policy_map, a.retention_policies, INSTANT)
     return job

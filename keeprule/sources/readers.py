@@ -54,7 +54,7 @@ def read_csv(
 
 
 def read_numbered_csv(spark: SparkSession, path: str | list[str], required: tuple[str, ...] = ()) -> DataFrame:
-    """CSV rows with ``file`` and ``position``, their place in the file from 0.
+    """CSV rows with ``path``, ``file`` and ``position``, their place in the file from 0.
 
     The rows stay where they are read. Only one row per split of a file is shuffled: its
     number of rows and its first row id, from which the place of every row follows.
@@ -75,7 +75,7 @@ def read_numbered_csv(spark: SparkSession, path: str | list[str], required: tupl
         .select("path", "block", "first_row", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
     )
     return numbered.join(splits, ["path", "block"]).select(
-        *columns, "file", (F.col("start") + F.col("row") - F.col("first_row")).alias("position")
+        *columns, "path", "file", (F.col("start") + F.col("row") - F.col("first_row")).alias("position")
     )
 
 
@@ -106,29 +106,29 @@ def read_shell_objects(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``file, object``: the flat ``{...}`` objects of dump files of any size.
 
     The text is read in pieces that end at ``}``, so that large files are split over many
-    tasks. An object begins at the first brace of its piece. The piece after the last ``}``
-    of a file has no end; it is recognised because the pieces, with one ``}`` each, then add
-    up to one byte more than the file has.
+    tasks. An object begins at the first brace of its piece. A file whose last ``{`` is never
+    closed ends in an unfinished object, which is left out; this is seen from pieces that begin
+    at ``{``, for packed files as for plain ones.
     """
-    piece = F.struct(
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
-    )
-    pieces = spark.read.text(path, lineSep="}").select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_size").alias("file_size"),
-        piece.alias("piece"),
-        "value",
-    )
+
+    def pieces(end: str) -> DataFrame:
+        place = F.struct(
+            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
+        )
+        return spark.read.text(path, lineSep=end).select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_name").alias("file"),
+            place.alias("piece"),
+            "value",
+        )
+
+    closed = pieces("{").groupBy("path").agg(F.max_by(F.col("value").contains("}"), "piece").alias("closed"))
     unfinished = (
-        pieces.groupBy("path", "file_size")
-        .agg(F.sum(F.octet_length("value") + 1).alias("bytes"), F.max("piece").alias("piece"))
-        .where(F.col("bytes") > F.col("file_size"))
-        .select("path", "piece")
+        pieces("}").groupBy("path").agg(F.max("piece").alias("piece")).join(closed.where(~F.col("closed")), "path", "left_semi")
     )
     body = F.regexp_extract("value", r"(?s)\{.+", 0)
     return (
-        pieces.join(unfinished, ["path", "piece"], "left_anti")
+        pieces("}").join(unfinished, ["path", "piece"], "left_anti")
         .select("file", body.alias("body"))
         .where(F.col("body") != "")
         .select("file", F.concat("body", F.lit("}")).alias("object"))

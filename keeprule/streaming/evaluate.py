@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from keeprule.operators.flags import both_flags, verdict_totals
 from keeprule.operators.lookups import fits_broadcast, table_size
-from keeprule.streaming.tables import batch_folder, read_rows, run_available, write_batch
+from keeprule.streaming.tables import batch_folder, read_rows, rows_before, run_available, write_batch
 
 FLAG_SCHEMA = "gcId string, ret_policies_expired string, sup_policies_expired string"
 PROGRESS_SCHEMA = "verdict string, evaluated long, expired long, active long"
@@ -49,11 +49,15 @@ def evaluate_new_ids(
     policies: DataFrame,
     instant: str | datetime,
 ) -> None:
-    """Evaluate the ids that arrived since the last run against the assignments and policies."""
+    """Evaluate the ids that arrived since the last run against the assignments and policies.
+
+    An id that has a verdict already keeps it and is not counted again.
+    """
 
     def evaluate(batch: DataFrame, writer: str, batch_id: int) -> None:
         session = batch.sparkSession
-        ids = batch.where(F.col("gcId").isNotNull())
+        known = rows_before(session, job.flags, T.StructType.fromDDL(FLAG_SCHEMA), writer, batch_id).select("gcId")
+        ids = batch.where(F.col("gcId").isNotNull()).distinct().join(known, "gcId", "left_anti")
         own = _assignments_of(assignments, ids)
         write_batch(both_flags(own, policies, instant, ids), job.flags, writer, batch_id)
         written = session.read.schema(FLAG_SCHEMA).parquet(batch_folder(job.flags, writer, batch_id))

@@ -1,5 +1,6 @@
 """Reading and writing files."""
 
+import gzip
 import csv
 from pathlib import Path
 
@@ -116,6 +117,11 @@ def test_objects_are_the_same_in_pieces_and_in_whole_texts(spark, folder, split_
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     whole = dumps.shell_objects(readers.read_texts(spark, folder))
+    packed = f"{folder}/packed"
+    for name, text in DUMPS.items():
+        Path(packed).mkdir(exist_ok=True)
+        Path(f"{packed}/{name}.gz").write_bytes(gzip.compress(text.encode()))
+    assert sorted((r["file"].removesuffix(".gz"), r["object"]) for r in readers.read_shell_objects(spark, packed).collect()) == pieces
     assert pieces == sorted(tuple(r) for r in whole.collect())
     assert len(pieces) == 6
 

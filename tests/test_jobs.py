@@ -66,7 +66,7 @@ def test_diff_of_csv_files(run, folder):
         "--policies", f"csv:{folder}/rules", "--out", f"csv:{folder}/out",
     )
     assert lines(f"{folder}/out", "*.csv") == [
-        "gcId,part,before,after,net_new,n_net_new", 'g,0,"[""p1""]","[""p1"",""two""]","[""two""]",1',
+        "gcId,policyId,name,n_before,n_after,n_new,n_net_new", "g,p1,p1,1,1,0,1", "g,p2,two,0,1,1,1",
     ]
 
 
@@ -117,7 +117,7 @@ def test_text_repair(run, folder, capsys):
     run("id-list", "--text", f"{folder}/list", "--out", f"json:{folder}/ids")
     assert lines(f"{folder}/ids", "*.json") == ['{"gcids":["a","b"]}']
     put(f"{folder}/log/a.json", '{"_id": "d", "events": "[{\\"origin\\": \\"D\\", \\"tenantid\\": \\"t\\"}]"}\n{"_id": "e", "events": "no"}\n')
-    run("event-rows", "--log", f"json:{folder}/log", "--origin", "D", "--tenant", "t", "--out", f"csv:{folder}/events")
+    run("event-rows", "--log", f"json:{folder}/log", "--origin", "D", "--tenant", "t", "--fields", "origin", "--out", f"csv:{folder}/events")
     assert lines(f"{folder}/events", "*.csv")[-1] == "d,1970-01-01 00:00:00,D"
     assert "{'unreadable': 1}" in capsys.readouterr().out
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from keeprule.functions.instants import epoch_millis_text, object_id_floor, object_id_month, parse_instant
 from keeprule.functions.text import json_objects, megabytes, strip
-from keeprule.operators import counts, diff, dumps, events, filters, flags, growth, ids, lookups, policies, purge, upserts
+from keeprule.operators import counts, diff, dumps, events, filters, flags, growth, ids, lookups, policies, purge, ranges, upserts
 
 POLICY = "policyId string, retentionPeriod int, unitOfPeriod string, sourceType string, name string"
 INSTANT = "2001-06-15 12:30:00"
@@ -116,8 +116,7 @@ def test_no_policies_at_all(spark):
     assert counts.expired_count_of(clustered, none, "c", "p", INSTANT).first()[0] == 0
 
 
-def test_every_pair_of_many_clusters(spark, monkeypatch):
-    monkeypatch.setattr(counts, "IDS_PER_BLOCK", 3)
+def test_every_pair_of_many_clusters(spark):
     clusters = spark.range(10).select(F.concat(F.lit("c"), "id").alias("_id"))
     rules = spark.range(4).select(F.concat(F.lit("p"), "id").alias("policyId"))
     pairs = [tuple(r) for r in counts.all_pairs(clusters, rules).collect()]
@@ -137,26 +136,24 @@ def diff_rows(spark, *rows):
 def test_diff_keeps_repeats_and_follows_the_before_side(spark):
     before = diff_rows(spark, ("a", "p1"), ("b", "p1"), ("b", "p2"), (None, "p1"))
     after = diff_rows(spark, ("a", "p2"), ("a", "p1"), ("a", "p2"), ("b", "p1"), ("c", "p1"), (None, "p3"))
-    report = diff.assignment_diff(before, after).collect()
-    assert [tuple(r) for r in report] == [("a", 0, ["p1"], ["p1", "p2", "p2"], ["p2", "p2"], 2)]
+    report = diff.assignment_diff(before, after).orderBy("policyId").collect()
+    assert [tuple(r) for r in report] == [("a", "p1", 1, 1, 0, 2), ("a", "p2", 0, 2, 2, 2)]
+    assert [tuple(r) for r in diff.assignment_changes(before, after).collect()] == [("a", 1, 3, 2)]
 
 
-def test_diff_names_keep_the_order_of_ids(spark):
+def test_diff_with_names(spark):
     before = diff_rows(spark, ("a", "p1"))
     after = diff_rows(spark, ("a", "p3"), ("a", "p2"), ("a", "p4"))
     names = spark.createDataFrame([("p2", "zebra"), ("p3", "ant"), ("p3", "bee")], "policyId string, name string")
-    report = diff.assignment_diff_named(before, after, names).first()
-    assert report["before"] == ["p1"] and report["net_new"] == ["zebra", "ant", "p4"]
+    report = diff.assignment_diff_named(before, after, names).orderBy("policyId").collect()
+    assert [(r["name"], r["n_new"]) for r in report] == [("p1", 0), ("zebra", 1), ("ant", 1), ("p4", 1)]
 
 
-def test_long_lists_go_on_in_further_rows(spark):
-    before = diff_rows(spark, ("a", "p1"), ("a", "p5"))
-    after = diff_rows(spark, *[("a", f"p{i % 4}") for i in range(23)], ("b", "x"))
-    whole = diff.assignment_diff(before, after).first()
-    parts = diff.assignment_diff(before, after, list_size=5).orderBy("part").collect()
-    assert len(parts) == 5 and all(len(p["after"]) <= 5 and p["n_net_new"] == whole["n_net_new"] for p in parts)
-    for column in ("before", "after", "net_new"):
-        assert [v for p in parts for v in p[column]] == whole[column]
+def test_ranges_refuse_keys_that_are_not_whole(spark):
+    rows = spark.sql("SELECT 5.2 AS k")
+    chunks = spark.sql("SELECT 1L AS id, 5L AS lo, 6L AS hi")
+    with pytest.raises(TypeError, match="whole numbers"):
+        ranges.counts_in_ranges(rows, "k", chunks, ["id"], "lo", "hi")
 
 
 def test_export_projection_and_headers(spark):
@@ -223,7 +220,10 @@ def test_event_rows(spark):
         '[{"origin":"D","tenantid":"t","x":null},{"origin":"D","tenantid":"u"}]',
         "[]",
     )
-    result = events.event_rows(rows, "D", "t")
+    assert {r["name"] for r in events.event_fields(rows).collect()} == {"_tm", "origin", "x", "only"}
+    whole = events.event_rows(rows, "D", "t").where("_id = 0").first()
+    assert whole["event"] == {"origin": "D", "x": '{"y":[1,2]}'}
+    result = events.event_rows(rows, "D", "t", ["only", "origin", "x"])
     assert result.columns == ["_id", "_tm", "only", "origin", "x"]
     assert {tuple(r) for r in result.collect()} == {
         ("0", "2017-09-29 20:36:53", "", "D", '{"y":[1,2]}'),
@@ -234,12 +234,12 @@ def test_event_rows(spark):
 
 def test_event_fields_that_differ_in_case(spark):
     rows = log(spark, '[{"origin":"D","tenantid":"t","id":"1","Id":"2"}]')
-    assert [tuple(r) for r in events.event_rows(rows, "D", "t").collect()] == [
+    assert [tuple(r) for r in events.event_rows(rows, "D", "t", ["Id", "id", "origin"]).collect()] == [
         ("0", "1970-01-01 00:00:00", "2", "1", "D")
     ]
 
 
-@pytest.mark.parametrize("text", ["not json", '[{"a":1},{bad', "[1,2]", '{"a":1}', '[{"a":1}] x'])
+@pytest.mark.parametrize("text", ["not json", '[{"a":1},{bad', "[1,2]", '{"a":1}', '[{"a":1}] x', '[{"a":1}] x]', '[{"a":1}],[]', '[{"a":1}]] x]', '[{"a":1}]} ]'])
 def test_broken_json_is_null(spark, text):
     assert one(spark, json_objects(F.lit(text))) is None
     assert one(spark, json_objects(F.lit(text), ["a"])) is None
