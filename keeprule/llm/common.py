@@ -49,7 +49,11 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def pieces(batch: pa.RecordBatch, column: str, most: int):
     """``batch`` cut into slices of at most ``most`` bytes of text, or of one row."""
-    sizes = text_bytes(batch.column(column))[1]
+    yield from slices(batch, text_bytes(batch.column(column))[1], most)
+
+
+def slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int):
+    """``batch`` cut by ``sizes``, the running sums of its rows' sizes from 0 on; a slice adds up to ``most`` or is one row."""
     start = 0
     while start < batch.num_rows:
         stop = int(np.searchsorted(sizes, sizes[start] + most, side="right")) - 1

@@ -61,9 +61,8 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = sentencepiece_codec.Vocabulary.load(f"{TOKENIZERS}/{PIECES}")
-    coded = sentencepiece_codec.encode(table(spark, sf_dir, "documents"), vocabulary)
-    decoded = sentencepiece_codec.decode(coded, vocabulary)
-    return decoded.select("doc_id", "n_ids", "ids", F.sha2("text", 256).alias("decoded_sha256"))
+    coded = sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary)
+    return coded.select("doc_id", "n_ids", "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

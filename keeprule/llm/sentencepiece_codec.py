@@ -22,12 +22,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keeprule.llm.common import pieces, run_positions
+from keeprule.llm.common import pieces, run_positions, slices
 
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-AT_ONCE = 4_000_000
-KNOWN_WORDS = 1_000_000
+#: Bytes of text, or ids, that are worked on at once.
+AT_ONCE, IDS_AT_ONCE = 1_000_000, 300_000
+#: Words and pairs of pieces that a task keeps at most, but for those of one text.
+KNOWN_WORDS, KNOWN_PAIRS = 400_000, 400_000
 
 
 @dataclass
@@ -181,6 +183,8 @@ class Encoder:
 
     def _rows(self, words: list[str]) -> np.ndarray:
         """Rows of ``words`` in the table of encoded words, to which new ones are added."""
+        if len(self.follows) > KNOWN_PAIRS:
+            self.follows.clear()
         if len(self.known) + len(words) > KNOWN_WORDS:
             self.known, self.flat, self.ends = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
         new = sorted(word for word in words if word not in self.known)
@@ -230,18 +234,14 @@ class Decoder:
         return pa.array(texts, pa.string())
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
-    """The columns doc_id and ``keep`` of every row of ``docs`` with ``ids`` and n_ids.
-
-    A null text has null ids, an empty one an empty list; n_ids is 0 for both. Repeated rows are encoded each for
-    itself. A mark (U+2581) in a text counts as a space.
-    """
+def _coded(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...], with_text: bool) -> DataFrame:
     kept = list(dict.fromkeys(["doc_id", *keep]))
     shared = docs.sparkSession.sparkContext.broadcast(vars(vocabulary))
     schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*kept).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(**shared.value))
+        decoder = Decoder(encoder.v.bytes_of)
         for batch in batches:
             for part in pieces(batch, "coded text", AT_ONCE):
                 texts = part.column("coded text")
@@ -249,11 +249,27 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
                 n = pa.array(np.diff(ids.offsets.to_numpy()).astype(np.int64))
                 if texts.null_count:
                     ids = pa.ListArray.from_arrays(ids.offsets, ids.values, mask=texts.is_null())
-                columns = [part.column(name) for name in kept]
-                yield pa.RecordBatch.from_arrays([*columns, n, ids], [*kept, "n_ids", "ids"])
+                columns, names = [*(part.column(name) for name in kept), n, ids], [*kept, "n_ids", "ids"]
+                if with_text:
+                    columns, names = [*columns, decoder.decode(ids)], [*names, "text"]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(*kept, F.col("text").alias("coded text"))
-    return rows.mapInArrow(run, f"{schema}, n_ids long, ids array<int>")
+    return rows.mapInArrow(run, f"{schema}, n_ids long, ids array<int>" + ", text string" * with_text)
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
+    """The columns doc_id and ``keep`` of every row of ``docs`` with ``ids`` and n_ids.
+
+    A null text has null ids, an empty one an empty list; n_ids is 0 for both. Repeated rows are encoded each for
+    itself. A mark (U+2581) in a text counts as a space.
+    """
+    return _coded(docs, vocabulary, keep, with_text=False)
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
+    """As ``encode``, with the text that the ids decode to as ``text``, in one pass; null where the text is null."""
+    return _coded(docs, vocabulary, keep, with_text=True)
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -265,7 +281,9 @@ def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(shared.value)
         for batch in batches:
-            columns = [batch.column(name) for name in names]
-            yield pa.RecordBatch.from_arrays([*columns, decoder.decode(batch.column("ids"))], [*names, "text"])
+            counts = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy()
+            for part in slices(batch, np.concatenate([[0], np.cumsum(counts)]), IDS_AT_ONCE):
+                columns = [part.column(name) for name in names]
+                yield pa.RecordBatch.from_arrays([*columns, decoder.decode(part.column("ids"))], [*names, "text"])
 
     return coded.select(*names).mapInArrow(run, f"{schema}, text string")

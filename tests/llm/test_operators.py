@@ -183,6 +183,18 @@ def test_pieces_are_those_of_the_library(vocabulary):
     assert sentencepiece_codec.Decoder(vocabulary.bytes_of).decode(ids).to_pylist() == [t.replace("▁", " ") for t in texts]
 
 
+def test_round_trip_is_encoding_and_decoding(spark, vocabulary, monkeypatch):
+    docs = docs_of(spark, [*ODD, "some words " * 400, None, ""])
+    apart = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, vocabulary), vocabulary)
+    at_once = sentencepiece_codec.round_trip(docs, vocabulary)
+    assert sorted(map(str, at_once.collect())) == sorted(map(str, apart.collect()))
+    texts = ["one two three", "", "two three four", "four five"]
+    monkeypatch.setattr(sentencepiece_codec, "KNOWN_PAIRS", 1)
+    monkeypatch.setattr(sentencepiece_codec, "KNOWN_WORDS", 2)
+    small, usual = sentencepiece_codec.Encoder(vocabulary), sentencepiece_codec.Encoder(vocabulary)
+    assert [small.encode_texts([t]).to_pylist()[0] for t in texts] == usual.encode_texts(texts).to_pylist()
+
+
 def test_unigram_takes_the_best_sum():
     text = {p: n for n, p in enumerate(["▁a", "b", "▁ab", "c", "bc"])}
     small = sentencepiece_codec.Vocabulary(text, [-1.0, -1.0, -5.0, -4.0, -3.0], [], [], 9, bpe=False)
