@@ -9,6 +9,9 @@ from keeprule.llm import decontaminate, jaccard_join, language_id, line_dedup, s
 from keeprule.llm.common import id_remainder, stored, table
 from keeprule.llm.queries import PIECES, TOKENIZERS
 
+#: Words a coding task keeps: fewer than by default, as tasks of the stages before leave their workers' memory behind.
+KNOWN_WORDS = 200_000
+
 
 def told_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; others (no letter, no text, no clear language) go."""
@@ -34,7 +37,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_ids and ids of each document, and whether the ids decode to its text."""
     vocabulary = sentencepiece_codec.Vocabulary.load(f"{TOKENIZERS}/{PIECES}")
     written = docs.withColumn("written", F.xxhash64("text"))
-    coded = sentencepiece_codec.round_trip(written, vocabulary, "lang", "source", "written")
+    coded = sentencepiece_codec.round_trip(written, vocabulary, "lang", "source", "written", known_words=KNOWN_WORDS)
     same = F.xxhash64("text") == F.col("written")
     return coded.select("doc_id", "lang", "source", "n_ids", "ids", same.alias("round_trip"))
 

@@ -27,9 +27,9 @@ from keeprule.llm.common import pieces, run_positions, slices
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Bytes of text, or ids, that are worked on at once.
-AT_ONCE, IDS_AT_ONCE = 1_000_000, 300_000
+AT_ONCE, IDS_AT_ONCE = 2_000_000, 600_000
 #: Words and pairs of pieces that a task keeps at most, but for those of one text.
-KNOWN_WORDS, KNOWN_PAIRS = 400_000, 400_000
+KNOWN_WORDS, KNOWN_PAIRS = 700_000, 400_000
 
 
 @dataclass
@@ -75,12 +75,13 @@ class Vocabulary:
 class Encoder:
     """Encodes sorted distinct words, sharing the states of common prefixes."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
+    def __init__(self, vocabulary: Vocabulary, known_words: int = KNOWN_WORDS):
+        self.v, self.known_words = vocabulary, known_words
         self.follows: dict[tuple[str, str], bool] = {}
-        #: Row of each word already encoded in ``flat`` (its ids) and ``ends``; at most about KNOWN_WORDS.
+        #: Row of each word already encoded in ``flat`` (its ids), ``ends`` and ``again`` (met in a later slice too).
         self.known: dict[str, int] = {}
         self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.again = np.zeros(0, bool)
         text = vocabulary.text
         long: dict[str, set[int]] = {}
         for piece in text:
@@ -181,19 +182,33 @@ class Encoder:
                 best.append(score)
             yield last
 
+    def _forget(self) -> None:
+        """Leave only the words that were met again since the last time, so that rare ones don't fill the table."""
+        kept = [word for word, row in self.known.items() if self.again[row]]
+        if 2 * len(kept) > self.known_words:
+            kept = []
+        rows = np.fromiter(map(self.known.__getitem__, kept), np.int64, len(kept))
+        n = np.diff(self.ends)[rows]
+        self.flat = self.flat[np.repeat(self.ends[rows], n) + run_positions(n)]
+        self.ends = np.concatenate([[0], np.cumsum(n)])
+        self.known, self.again = {word: row for row, word in enumerate(kept)}, np.zeros(len(kept), bool)
+
     def _rows(self, words: list[str]) -> np.ndarray:
         """Rows of ``words`` in the table of encoded words, to which new ones are added."""
         if len(self.follows) > KNOWN_PAIRS:
             self.follows.clear()
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known, self.flat, self.ends = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
-        new = sorted(word for word in words if word not in self.known)
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        if len(self.known) + len(words) > self.known_words:
+            self._forget()
+        new, before = sorted(word for word in words if word not in self.known), len(self.known)
+        self.known.update(zip(new, range(before, before + len(new)), strict=True))
         ids = self.encode(new)
         ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) + self.ends[-1]
         self.ends = np.concatenate([self.ends, ends])
         self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32)])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        self.again[rows[rows < before]] = True
+        return rows
 
     def encode_texts(self, texts: list[str]) -> pa.ListArray:
         """Ids of each text."""
@@ -234,13 +249,13 @@ class Decoder:
         return pa.array(texts, pa.string())
 
 
-def _coded(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...], with_text: bool) -> DataFrame:
+def _coded(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...], known_words: int, with_text: bool) -> DataFrame:
     kept = list(dict.fromkeys(["doc_id", *keep]))
     shared = docs.sparkSession.sparkContext.broadcast(vars(vocabulary))
     schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*kept).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(**shared.value))
+        encoder = Encoder(Vocabulary(**shared.value), known_words)
         decoder = Decoder(encoder.v.bytes_of)
         for batch in batches:
             for part in pieces(batch, "coded text", AT_ONCE):
@@ -258,18 +273,19 @@ def _coded(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...], with_
     return rows.mapInArrow(run, f"{schema}, n_ids long, ids array<int>" + ", text string" * with_text)
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: str, known_words: int = KNOWN_WORDS) -> DataFrame:
     """The columns doc_id and ``keep`` of every row of ``docs`` with ``ids`` and n_ids.
 
     A null text has null ids, an empty one an empty list; n_ids is 0 for both. Repeated rows are encoded each for
-    itself. A mark (U+2581) in a text counts as a space.
+    itself. A mark (U+2581) in a text counts as a space. A task keeps the ids of about ``known_words`` words, of some
+    250 bytes each: more of them save time, fewer memory; the result is the same.
     """
-    return _coded(docs, vocabulary, keep, with_text=False)
+    return _coded(docs, vocabulary, keep, known_words, with_text=False)
 
 
-def round_trip(docs: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, *keep: str, known_words: int = KNOWN_WORDS) -> DataFrame:
     """As ``encode``, with the text that the ids decode to as ``text``, in one pass; null where the text is null."""
-    return _coded(docs, vocabulary, keep, with_text=True)
+    return _coded(docs, vocabulary, keep, known_words, with_text=True)
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:

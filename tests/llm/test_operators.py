@@ -188,10 +188,9 @@ def test_round_trip_is_encoding_and_decoding(spark, vocabulary, monkeypatch):
     apart = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, vocabulary), vocabulary)
     at_once = sentencepiece_codec.round_trip(docs, vocabulary)
     assert sorted(map(str, at_once.collect())) == sorted(map(str, apart.collect()))
-    texts = ["one two three", "", "two three four", "four five"]
+    texts = ["one two three", "", "two three four", "four five", "two six", "three two one"]
     monkeypatch.setattr(sentencepiece_codec, "KNOWN_PAIRS", 1)
-    monkeypatch.setattr(sentencepiece_codec, "KNOWN_WORDS", 2)
-    small, usual = sentencepiece_codec.Encoder(vocabulary), sentencepiece_codec.Encoder(vocabulary)
+    small, usual = sentencepiece_codec.Encoder(vocabulary, known_words=6), sentencepiece_codec.Encoder(vocabulary)
     assert [small.encode_texts([t]).to_pylist()[0] for t in texts] == usual.encode_texts(texts).to_pylist()
 
 
