@@ -25,7 +25,7 @@ ORDER = 3
 #: Contexts of the longest order seen less often than this stay leaves of the next shorter one.
 MIN_SEEN = 12
 #: Bytes of text that are scored at once.
-AT_ONCE = 2_000_000
+AT_ONCE = 500_000
 UNKNOWN = "und"
 
 
