@@ -27,9 +27,9 @@ from keeprule.llm.common import pieces, run_positions, slices
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Bytes of text, or ids, that are worked on at once.
-AT_ONCE, IDS_AT_ONCE = 2_000_000, 600_000
+AT_ONCE, IDS_AT_ONCE = 4_000_000, 600_000
 #: Words and pairs of pieces that a task keeps at most, but for those of one text.
-KNOWN_WORDS, KNOWN_PAIRS = 700_000, 400_000
+KNOWN_WORDS, KNOWN_PAIRS = 1_500_000, 1_000_000
 
 
 @dataclass
