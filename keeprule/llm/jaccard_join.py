@@ -15,6 +15,7 @@ members are not all connected by verified links of that round go through the R-t
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -29,6 +30,7 @@ from keeprule.llm.shingles import mix, overlap, shingle_sets
 
 #: Similarity as a fraction.
 NUMERATOR, DENOMINATOR = 80, 100
+PERIOD = (NUMERATOR + DENOMINATOR) // math.gcd(NUMERATOR + DENOMINATOR, NUMERATOR)
 #: Set sizes are dealt into bands whose limits grow by this factor; a band has a third of its upper limit as groups.
 BAND_FACTOR, FIRST_LIMIT = 4, 16
 BAND_MASK = 31
@@ -55,17 +57,20 @@ def bands(n: int) -> list[tuple[int, int]]:
     """(upper limit, differences) of each band a set of ``n`` shingles is entered in.
 
     That is its own band, and the next one if a partner can be that large. Differences is the largest number of
-    shingles in only one of the two sets, for any partner in that band.
+    shingles in only one of the two sets, for any partner met in that band. As the needed overlap is rounded up, that
+    number is not monotone in the partner's size; it grows by one every NUMERATOR + DENOMINATOR over their common divisor
+    (nine sizes at 80 of 100), so the largest is among the last so many sizes.
     """
     limit = FIRST_LIMIT
     while n >= limit:
         limit *= BAND_FACTOR
-    most = n * DENOMINATOR // NUMERATOR
+    least, most = -(-n * NUMERATOR // DENOMINATOR), n * DENOMINATOR // NUMERATOR
     found = []
     for upper in (limit, limit * BAND_FACTOR):
-        partner = min(most, upper - 1)
         if upper == limit or most >= limit:
-            found.append((upper, n + partner - 2 * int(needed(n, partner))))
+            last = min(most, upper - 1)
+            first = max(least if upper == limit else limit, last - PERIOD + 1)
+            found.append((upper, max(n + m - 2 * int(needed(n, m)) for m in range(first, last + 1))))
     return found
 
 

@@ -139,6 +139,23 @@ def test_jaccard_join_is_exact(spark, seed):
     assert got == plain_links(texts)
 
 
+def test_linked_sizes_share_a_band_with_enough_entries():
+    """Every pair of sizes at exactly the threshold, and sets of the sizes whose smaller partner differs in more."""
+    for n in range(1, 1100):
+        for m in range(-(-80 * n // 100), n + 1):
+            differences = n + m - 2 * int(jaccard_join.needed(n, m))
+            one, two = dict(jaccard_join.bands(n)), dict(jaccard_join.bands(m))
+            shared = one.keys() & two.keys()
+            if n - m <= differences:  # the overlap needed is no more than the smaller set
+                assert shared and all(min(one[b], two[b]) >= differences and one[b] < b // 3 for b in shared), (n, m)
+    draw = np.random.default_rng(5)
+    for _ in range(500):
+        large = draw.integers(0, 1 << 63, 15).astype(np.uint64)
+        sets = [np.sort(large), np.sort(large[:12])]
+        entries = [jaccard_join.index_entries(s, 16, dict(jaccard_join.bands(len(s)))[16])[0] for s in sets]
+        assert set(entries[0].tolist()) & set(entries[1].tolist())
+
+
 def test_nested_secrets():
     secret = 'x password = "hunter2abc" '
     packed = base64.b64encode(gzip.compress(secret.encode())).decode()
