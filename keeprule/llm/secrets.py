@@ -139,7 +139,7 @@ def all_spans(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, st
                 place = origin(start, end)
                 to = lambda s, e, place=place: place
             else:
-                place = (0, 0)
+                place = origin(0, len(layer))
                 to = lambda s, e, starts=starts, up=origin: up(starts[s], max(starts[e], starts[s] + 1))
             mark = (hashlib.sha256(inner.encode("utf-8", "surrogatepass")).digest(), place)
             if mark in seen or inner == text:

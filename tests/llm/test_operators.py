@@ -167,6 +167,13 @@ def test_nested_secrets():
     assert [(kind, end - start) for start, kind, end in base] == [("assign", 16), ("access", 20), ("hex", 24)]
 
 
+def test_copies_of_a_doubly_encoded_secret_are_all_found():
+    packed = base64.b64encode(b"a line with %70assword=hunter2abc").decode().rstrip("=")
+    text = f"one {packed}\ntwo {packed}\nthree {packed}"
+    starts = [m.start() for m in re.finditer(re.escape(packed), text)]
+    assert secrets.all_spans(text)[1] == [(at, "assign", at + len(packed)) for at in starts]
+
+
 def test_myers_distance_is_edit_distance():
     draw = random.Random(3)
     for _ in range(200):
