@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import html
 import lzma
@@ -33,9 +34,11 @@ RANK = {kind: place for place, (kind, *_) in enumerate(KINDS)}
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
 ESCAPED = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|\w{2,8});")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")  # the shortest secret has 12 bytes
 #: A layer that unpacks to more than this is not searched; it is counted in n_too_large.
 MAX_LAYER = 64 << 20
+CHUNK = 1 << 20
+BROKEN = (zlib.error, OSError, lzma.LZMAError, EOFError)
 
 
 def plain_spans(text: str) -> list[tuple[int, str, int]]:
@@ -61,23 +64,63 @@ def _escape(run: str) -> str:
     return units.decode("utf-16-be", "replace")
 
 
-def _unpack(data: bytes) -> bytes | None:
-    """The content of compressed bytes; None if they are not compressed. Raises OverflowError beyond MAX_LAYER."""
+def _tool(data: bytes):
+    """A decompressor for bytes that begin like compressed ones."""
     if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-        tool = zlib.decompressobj(zlib.MAX_WBITS | 32)
-    elif data[:3] == b"BZh":
-        tool = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        tool = lzma.LZMADecompressor()
-    else:
-        return None
+        return zlib.decompressobj(zlib.MAX_WBITS | 32)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
+
+
+def _unpacked(data: bytes, source: Iterator[bytes] = iter(())) -> Iterator[bytes]:  # noqa: B008
+    """The content of all compressed members of ``data`` and what ``source`` adds to it, in bounded chunks.
+
+    Nothing if it is not compressed. Raises BROKEN if the first member is none; a later broken one ends the content.
+    What follows the members is content too, as far as it is text.
+    """
+    first = True
+    while True:
+        while len(data) < 6 and (more := next(source, None)) is not None:
+            data += more
+        tool = _tool(data)
+        if tool is None:
+            break
+        try:
+            while not tool.eof:
+                out = tool.decompress(data, CHUNK)
+                data = getattr(tool, "unconsumed_tail", b"")
+                if out:
+                    yield out
+                elif not tool.eof and not data and (data := next(source, None)) is None:
+                    return  # cut short
+        except BROKEN:
+            if first:
+                raise
+            return
+        data, first = tool.unused_data, False
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    while not first and data is not None:
+        try:
+            decoder.decode(data)
+        except UnicodeDecodeError:
+            return
+        yield data
+        data = next(source, None)
+
+
+def _whole(chunks: Iterator[bytes]) -> bytes | None:
+    """All chunks as one; None if they are not compressed. Raises OverflowError beyond MAX_LAYER."""
+    found, size = [], 0
     try:
-        out = tool.decompress(data, MAX_LAYER)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
+        for chunk in chunks:
+            found.append(chunk)
+            size += len(chunk)
+            if size > MAX_LAYER:
+                raise OverflowError
+    except BROKEN:
         return None  # it only begins like compressed bytes
-    if len(out) >= MAX_LAYER:
-        raise OverflowError
-    return out
+    return b"".join(found) or None
 
 
 def _from_base64(run: str) -> str | None:
@@ -85,14 +128,16 @@ def _from_base64(run: str) -> str | None:
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         return None
+    packed = False
     try:
         data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-        while (inner := _unpack(data)) is not None and inner != data:
-            data = inner
-        text = data.decode("utf-8")
+        while (inner := _whole(_unpacked(data))) is not None and inner != data:
+            data, packed = inner, True
+        # The last character of compressed bytes that were cut short may not be whole.
+        text = codecs.getincrementaldecoder("utf-8")().decode(data, not packed)
     except (binascii.Error, ValueError):
         return None
-    return text if text and text.replace("\n", "").replace("\r", "").replace("\t", "").isprintable() else None
+    return text or None
 
 
 def _children(text: str) -> Iterator[tuple[str, list[int] | None, int, int]]:

@@ -1,11 +1,14 @@
 """The corpus operators on small tables: edge cases, and comparison with plain versions."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import sys
+import zlib
 from pathlib import Path
 from urllib.parse import quote
 
@@ -174,6 +177,25 @@ def test_copies_of_a_doubly_encoded_secret_are_all_found():
     assert secrets.all_spans(text)[1] == [(at, "assign", at + len(packed)) for at in starts]
 
 
+SECRET = "the password = hunter2abc"
+
+
+@pytest.mark.parametrize(
+    "data",
+    [
+        *(b"token=abc123", b"secret: abc123", b"passwd=hunter2", b"api_key=Ab12cd"),
+        *((odd + SECRET).encode() for odd in ("\ufeff", "\xa0", "\u200b", "\u3000", "\f", "\0")),
+        *(pack(("\ufeff" + SECRET).encode()) for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress)),
+        *(pack(b"first ") + pack(SECRET.encode()) for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress)),
+        gzip.compress(gzip.compress(b"first ") + gzip.compress(SECRET.encode()) + b"\xff\xff"),
+        gzip.compress(b"first ") + SECRET.encode(),
+    ],
+)
+def test_short_odd_and_appended_secrets_are_found(data):
+    packed = base64.b64encode(data).decode()
+    assert secrets.all_spans(f"x {packed} y")[1] == [(2, "assign", 2 + len(packed))]
+
+
 def test_myers_distance_is_edit_distance():
     draw = random.Random(3)
     for _ in range(200):
