@@ -16,6 +16,7 @@ import hashlib
 import html
 import lzma
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -35,9 +36,13 @@ LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
 ESCAPED = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|\w{2,8});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")  # the shortest secret has 12 bytes
-#: A layer that unpacks to more than this is not searched; it is counted in n_too_large.
+#: A layer that unpacks to more bytes than this is searched as a stream, in windows cut where no pattern can match across.
+#: Where no such place comes within as many characters, windows overlap by OVERLAP; the layer is counted in n_too_large.
 MAX_LAYER = 64 << 20
-CHUNK = 1 << 20
+CHUNK = WINDOW = 1 << 20
+OVERLAP = 1 << 20
+#: All characters that a match of ESCAPED, BASE64 or a kind can hold.
+INSIDE = string.ascii_letters + string.digits + "+/_.=:\"' %&;#\\-"
 BROKEN = (zlib.error, OSError, lzma.LZMAError, EOFError)
 
 
@@ -73,7 +78,7 @@ def _tool(data: bytes):
     return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
 
 
-def _unpacked(data: bytes, source: Iterator[bytes] = iter(())) -> Iterator[bytes]:  # noqa: B008
+def _unpacked(data: bytes, source: Iterator[bytes]) -> Iterator[bytes]:
     """The content of all compressed members of ``data`` and what ``source`` adds to it, in bounded chunks.
 
     Nothing if it is not compressed. Raises BROKEN if the first member is none; a later broken one ends the content.
@@ -123,7 +128,49 @@ def _whole(chunks: Iterator[bytes]) -> bytes | None:
     return b"".join(found) or None
 
 
-def _from_base64(run: str) -> str | None:
+def _opened(data: bytes, source: Iterator[bytes]) -> Iterator[bytes]:
+    """``data`` and what ``source`` adds, through any compression, in chunks."""
+    while len(data) < CHUNK and (more := next(source, None)) is not None:
+        data += more
+    try:
+        packed = next(_unpacked(data, iter(())), None) is not None
+    except BROKEN:
+        packed = False  # it only begins like compressed bytes
+    if packed:
+        inner = _unpacked(data, source)
+        yield from _opened(next(inner), inner)
+    else:
+        yield data
+        yield from source
+
+
+class Large:
+    """A layer of more than MAX_LAYER bytes, which is never held as a whole."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def windows(self) -> Iterator[tuple[str, bool]]:
+        """The text in pieces, and whether nothing can match across the end of each; ends where it is no text."""
+        decoder, text = codecs.getincrementaldecoder("utf-8")(), ""
+        try:
+            for chunk in _opened(self.data, iter(())):
+                new = decoder.decode(chunk)
+                text, safe = text + new, len(text) + len(new.rstrip(INSIDE)) if new.strip(INSIDE) else 0
+                if safe and len(text) >= WINDOW:
+                    yield text[:safe], True
+                    text = text[safe:]
+                elif len(text) >= MAX_LAYER:
+                    text = re.sub(" {2,}", " ", text)  # any number of blanks matches like one
+                    if len(text) >= MAX_LAYER // 2:
+                        yield text, False
+                        text = text[-OVERLAP:]
+        except (UnicodeDecodeError, *BROKEN):
+            pass
+        yield text, True
+
+
+def _from_base64(run: str) -> str | Large | None:
     """The text inside a base64 stretch, through any compression; None if it holds no text."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
@@ -131,16 +178,18 @@ def _from_base64(run: str) -> str | None:
     packed = False
     try:
         data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-        while (inner := _whole(_unpacked(data))) is not None and inner != data:
+        while (inner := _whole(_unpacked(data, iter(())))) is not None and inner != data:
             data, packed = inner, True
         # The last character of compressed bytes that were cut short may not be whole.
         text = codecs.getincrementaldecoder("utf-8")().decode(data, not packed)
+    except OverflowError:
+        return Large(data)
     except (binascii.Error, ValueError):
         return None
     return text or None
 
 
-def _children(text: str) -> Iterator[tuple[str, list[int] | None, int, int]]:
+def _children(text: str) -> Iterator[tuple[str | Large, list[int] | None, int, int]]:
     """Layers inside a layer: text, the start in the parent of each character (None: all at start), start and end."""
     if "%" in text or "\\" in text or "&" in text:
         parts, starts, at, changed = [], [], 0, False
@@ -164,37 +213,47 @@ def _children(text: str) -> Iterator[tuple[str, list[int] | None, int, int]]:
 
 
 def all_spans(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]], int, int]:
-    """Spans of the text itself; spans of all layers; number of further layers; number of layers left as too large."""
+    """Spans of the text itself; spans of all layers; number of further layers; number of those in overlapping windows."""
     base = plain_spans(text)
     found, seen, layers, too_large = set(base), set(), 0, 0
-    work = [(text, lambda s, e: (s, e))]
-    while work:
-        layer, origin = work.pop()
-        children = _children(layer)
-        while True:
-            try:
-                child = next(children, None)
-            except OverflowError:
-                too_large += 1
-                break
-            if child is None:
-                break
-            inner, starts, start, end = child
-            if starts is None:
-                place = origin(start, end)
-                to = lambda s, e, place=place: place
-            else:
-                place = origin(0, len(layer))
-                to = lambda s, e, starts=starts, up=origin: up(starts[s], max(starts[e], starts[s] + 1))
-            mark = (hashlib.sha256(inner.encode("utf-8", "surrogatepass")).digest(), place)
-            if mark in seen or inner == text:
-                continue
-            seen.add(mark)
-            layers += 1
-            for s, kind, e in plain_spans(inner):
-                first, last = to(s, e)
-                found.add((first, kind, last))
-            work.append((inner, to))
+
+    def note(layer, to):
+        for s, kind, e in plain_spans(layer):
+            first, last = to(s, e)
+            found.add((first, kind, last))
+
+    def search(layer, origin):
+        """All layers inside ``layer``; those inside a window of a large one before the next window."""
+        nonlocal layers, too_large
+        work = [(layer, origin)]
+        while work:
+            layer, origin = work.pop()
+            for inner, starts, start, end in _children(layer):
+                if starts is None:
+                    place = origin(start, end)
+                    to = lambda s, e, place=place: place
+                else:
+                    place = origin(0, len(layer))
+                    to = lambda s, e, starts=starts, up=origin: up(starts[s], max(starts[e], starts[s] + 1))
+                large = isinstance(inner, Large)
+                content = inner.data if large else inner.encode("utf-8", "surrogatepass")
+                mark = (hashlib.sha256(content).digest(), place, large)
+                if mark in seen or inner == text:
+                    continue
+                seen.add(mark)
+                layers += 1
+                if not large:
+                    note(inner, to)
+                    work.append((inner, to))
+                    continue
+                whole = True
+                for window, safe in inner.windows():
+                    whole = whole and safe
+                    note(window, to)
+                    search(window, to)
+                too_large += not whole
+
+    search(text, lambda s, e: (s, e))
     return base, sorted(found, key=lambda x: (x[0], RANK[x[1]], x[2])), layers, too_large
 
 

@@ -196,6 +196,28 @@ def test_short_odd_and_appended_secrets_are_found(data):
     assert secrets.all_spans(f"x {packed} y")[1] == [(2, "assign", 2 + len(packed))]
 
 
+def test_secrets_in_and_after_a_large_layer_are_found(monkeypatch):
+    encoded = base64.b64encode(SECRET.encode()).decode()
+    bomb = lambda *parts: base64.b64encode(gzip.compress("".join(parts).encode())).decode()
+    large = bomb("z" * (70 << 20))
+    text = f"{large} {encoded} {encoded}"
+    at = len(large) + 1
+    want = [(at, "assign", at + len(encoded)), (at + 1 + len(encoded), "assign", len(text))]
+    assert secrets.all_spans(text)[1:] == (want, 3, 1)  # no place to cut: overlapping windows, counted
+    monkeypatch.setattr(secrets, "MAX_LAYER", 4000)
+    monkeypatch.setattr(secrets, "CHUNK", 512)
+    monkeypatch.setattr(secrets, "WINDOW", 512)
+    monkeypatch.setattr(secrets, "OVERLAP", 256)
+    for filler in ("many words, ", "z", " ", "x\0"):
+        for hidden in (SECRET, encoded, "%70assword=hunter2abc", "token" + " " * 9000 + "= abc123"):
+            for before in (0, 1, 480, 3990, 20_011):
+                text = bomb((filler * 20_000)[:before], "!", hidden, "!", filler * 20_000)
+                assert (0, "assign", len(text)) in secrets.all_spans(text)[1], (filler, hidden, before)
+    inner = gzip.compress(b"many words, " * 2000) + gzip.compress(SECRET.encode())
+    assert secrets.all_spans(base64.b64encode(gzip.compress(inner)).decode())[1]
+    assert secrets.all_spans(bomb("many words, " * 2000, SECRET))[2:] == (1, 0)
+
+
 def test_myers_distance_is_edit_distance():
     draw = random.Random(3)
     for _ in range(200):
