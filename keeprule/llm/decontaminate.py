@@ -88,7 +88,8 @@ class Searcher:
                 low, high = max(0, begin - budget), begin + len(item) + budget
                 runs = windows.setdefault(number, [])
                 if runs and low <= runs[-1][1]:
-                    runs[-1][1] = max(high, runs[-1][1])
+                    # A piece that the item repeats gives its later starts first.
+                    runs[-1] = [min(low, runs[-1][0]), max(high, runs[-1][1])]
                 else:
                     runs.append([low, high])
         found = []

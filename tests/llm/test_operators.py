@@ -241,6 +241,20 @@ def test_benchmark_items_with_edits_are_found(spark):
     assert {r["doc_id"] for r in decontaminate.without_contamination(docs, benchmark).collect()} == {2, 3}
 
 
+def test_items_that_repeat_a_piece_are_found_from_their_start():
+    draw, lost = random.Random(4), []
+    for n in (4, 8, 11):  # pieces of 11 characters
+        for first in range(n - 1):
+            parts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=11)) for _ in range(n - 1)]
+            item = "".join([*parts, parts[first]])
+            assert [p for _, p in decontaminate.pieces_of(item)] == [*parts, parts[first]]
+            edited = "".join("-" + p[1:] for p in parts) + parts[first]  # within budget: all pieces but the last
+            found = decontaminate.Searcher([(1, item)]).find(f"before {edited} behind")
+            if found != [(1, n - 1, 7 + len(item))]:
+                lost.append((n, first))
+    assert not lost
+
+
 def test_pieces_are_those_of_the_library(vocabulary):
     import sentencepiece
 
