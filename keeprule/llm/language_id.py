@@ -5,8 +5,8 @@ costs that context's escape probability, and the next shorter context decides. A
 the sum over its bytes; the language with the shortest code wins. Bytes are those of the text in lower case; ASCII
 bytes that are no letters count as one separator.
 
-The trees are fitted on a bounded sample of the learning documents (``sample_bytes`` of text for each language, chosen
-by a hash of the id) and sent to every task as one table of code lengths, indexed by context node and byte.
+The trees are fitted on a bounded sample of the learning documents (``sample_bytes`` of text for each language, in pieces
+chosen by a hash of the document and the piece's number, so that long documents are drawn in part) and sent to every task as one table of code lengths, indexed by context node and byte.
 """
 
 from __future__ import annotations
@@ -26,6 +26,10 @@ ORDER = 3
 MIN_SEEN = 12
 #: Bytes of text that are scored at once.
 AT_ONCE = 500_000
+#: Bytes of text that the learning sample is drawn by.
+PIECE = 4096
+#: The numbers that a piece's hash is drawn from.
+DRAWS = 1 << 40
 UNKNOWN = "und"
 
 
@@ -67,15 +71,37 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 )
 
 
+def _drawn_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, text) of the pieces of each text whose numbers are in ``drawn``, cut at whole characters."""
+    for batch in batches:
+        for at, (lang, drawn) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("drawn").to_pylist(), strict=True)):
+            data = memoryview(batch.column("text")[at].as_buffer())
+            texts = [bytes(data[p * PIECE : (p + 1) * PIECE]).decode("utf-8", "ignore") for p in drawn]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(texts), pa.string()), pa.array(texts, pa.string())], ["lang", "text"])
+
+
+def sample(docs: DataFrame, learn: Column, sample_bytes: int) -> DataFrame:
+    """(lang, text): pieces of the texts of each language, about ``sample_bytes`` together but one piece at least."""
+    rows = docs.where(learn & F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select("doc_id", "lang", "text")
+    last = F.floor((F.octet_length("text") - 1) / PIECE).cast("long")
+    rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("seed"), F.sequence(F.lit(0).cast("long"), last).alias("numbers"))
+    lot = lambda p: F.pmod(F.xxhash64("seed", p), F.lit(DRAWS))
+    of_lang = rows.groupBy("lang").agg(
+        F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.min(F.array_min(F.transform("numbers", lot))).alias("first")
+    ).collect()  # languages
+    if not of_lang:
+        return docs.sparkSession.createDataFrame([], "lang string, text string")
+    parts = ((r, min(1.0, sample_bytes / r["bytes"])) for r in of_lang)
+    below = F.create_map(*[F.lit(v) for r, part in parts for v in (r["lang"], max(int(part * DRAWS), r["first"] + 1))])
+    drawn = rows.withColumn("below", below[F.col("lang")]).select(
+        "lang", "text", F.filter("numbers", lambda p: lot(p) < F.col("below")).alias("drawn")
+    )
+    return drawn.where(F.size("drawn") > 0).mapInArrow(_drawn_pieces, "lang string, text string")
+
+
 def gram_counts(docs: DataFrame, learn: Column, sample_bytes: int) -> DataFrame:
     """Counts (lang, gram, n) of byte sequences over a sample of about ``sample_bytes`` for each language."""
-    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")).collect()  # languages
-    if not sizes:
-        return docs.sparkSession.createDataFrame([], "lang string, gram long, n long")
-    part = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1.0, sample_bytes / max(1, r["bytes"])))])
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < part[F.col("lang")] * (1 << 20)
-    counted = rows.where(draw).select("lang", "text").mapInArrow(_count_batches, "lang string, gram long, n long")
+    counted = sample(docs, learn, sample_bytes).mapInArrow(_count_batches, "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 

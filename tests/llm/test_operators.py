@@ -330,6 +330,23 @@ def accuracy(spark, name, label):
     return QUERIES[name](spark, "/root/testdata/sf0.1").join(known, "doc_id").where(label)
 
 
+def test_languages_of_few_long_documents_are_learned(spark):
+    draw = random.Random(6)
+    rows = []
+    for number in range(12):
+        letters = "".join(draw.sample("abcdefghijklmnopqrstuvwxyzäöüßéèñçåø", 12))
+        words = ["".join(draw.choices(letters, k=draw.randint(2, 7))) for _ in range(300)]
+        rows += [(number * 2 + k, f"l{number}", " ".join(draw.choices(words, k=30_000))) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    trees = language_id.fit(docs, F.lit(True), sample_bytes=40_000)
+    assert trees.langs == sorted({lang for _, lang, _ in rows})
+    found = language_id.identify(docs, trees, "lang").where("lang <> lang_pred").count()
+    assert found == 0
+    sizes = language_id.sample(docs, F.lit(True), 40_000).groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    assert len(sizes) == 12 and all(8_000 < r["n"] < 100_000 for r in sizes)
+    assert language_id.sample(docs, F.lit(True), 1).select("lang").distinct().count() == 12
+
+
 def test_held_out_languages(spark):
     held = accuracy(spark, "op9_language_id", "held_out")
     assert held.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.99
