@@ -13,20 +13,25 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from keeprule.llm.common import pieces, run_positions, stored
 from keeprule.llm.shingles import mix
+from keeprule.session import new_folder
 
 UNITS = re.compile(r"\s*\S+|\s+")
 AT_ONCE = 8_000_000
 KNOWN_UNITS = 1_000_000
 ROUNDS = 4
 ID_BYTES = 2
+#: Tasks that read shards at most.
+READERS = 2000
 
 
 def permute(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -117,8 +122,8 @@ def sequences(docs: DataFrame, ranks: dict[bytes, int], pattern: str, length: in
     return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, part long, tokens binary")
 
 
-def training_order(rows: DataFrame, key: int, per_shard: int = 8192) -> DataFrame:
-    """The sequences with slot, shard and byte_offset, range-partitioned and sorted by slot."""
+def dealt_slots(rows: DataFrame, key: int, per_shard: int = 8192) -> DataFrame:
+    """The sequences with slot, shard and byte_offset, in no order."""
     kept = stored(rows, "sequences")
     placed = kept.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     files = placed.groupBy("file").agg(F.count("*").alias("rows"))  # one row for each task that wrote
@@ -135,19 +140,29 @@ def training_order(rows: DataFrame, key: int, per_shard: int = 8192) -> DataFram
     dealt = numbered.mapInArrow(deal, f"slot long, doc_id {dict(rows.dtypes)['doc_id']}, part long, tokens binary")
     shard = F.expr(f"slot div {per_shard}")
     offset = F.col("slot") % per_shard * F.octet_length("tokens")
-    ordered = dealt.select("slot", shard.alias("shard"), offset.alias("byte_offset"), "doc_id", "part", "tokens")
-    return ordered.repartitionByRange("slot").sortWithinPartitions("slot")
+    return dealt.select("slot", shard.alias("shard"), offset.alias("byte_offset"), "doc_id", "part", "tokens")
 
 
-def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
-    """Write each shard as one file of fixed stride to ``folder``, which all executors reach as a path.
+def training_order(rows: DataFrame, key: int, per_shard: int = 8192) -> DataFrame:
+    """The sequences with slot, shard and byte_offset, range-partitioned and sorted by slot."""
+    return dealt_slots(rows, key, per_shard).repartitionByRange("slot").sortWithinPartitions("slot")
 
-    A file is written aside and renamed when whole, and a task that runs again writes the same bytes, so a reader sees
-    whole shards only. Returns the manifest: shard, n_sequences and sha256 of each file.
-    """
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared one, as a path for open()."""
+    found = urlparse(new_folder(spark, name))
+    if found.scheme not in ("", "file"):
+        raise ValueError(f"shards are written by path; {found.scheme}: is none")
+    return found.path
+
+
+def _write(placed: DataFrame, folder: str) -> DataFrame:
+    """Write the shards; their rows without tokens, and a row without a slot for each shard: n_sequences and sha256."""
+    names = ["slot", "shard", "byte_offset", "doc_id", "part"]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, now, file, digest, n = [], None, None, None, 0
+        os.makedirs(folder, exist_ok=True)
 
         def close():
             if file is not None:
@@ -156,20 +171,76 @@ def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
                 done.append((now, n, digest.hexdigest()))
 
         for batch in batches:
-            for shard, tokens in zip(batch.column("shard").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
-                if shard != now:
+            shards = batch.column("shard").to_numpy()
+            tokens = batch.column("tokens").cast(pa.large_binary())
+            ends = np.frombuffer(tokens.buffers()[1], np.int64)[tokens.offset : tokens.offset + len(tokens) + 1]
+            cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+            for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+                if first == last:
+                    continue
+                if shards[first] != now:
                     close()
-                    now, digest, n = shard, hashlib.sha256(), 0
-                    file = open(f"{folder}/.shard-{shard:08d}-{os.getpid()}.part", "wb")  # noqa: SIM115
-                file.write(tokens)
-                digest.update(tokens)
-                n += 1
+                    now, digest, n = int(shards[first]), hashlib.sha256(), 0
+                    file = open(f"{folder}/.shard-{now:08d}-{os.getpid()}.part", "wb")  # noqa: SIM115
+                run = memoryview(tokens.buffers()[2])[ends[first] : ends[last]]
+                file.write(run)
+                digest.update(run)
+                n += last - first
+            none = [pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.string())]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), *none], [*names, "n_sequences", "sha256"])
         close()
         shard, n, sha = zip(*done, strict=True) if done else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string())], ["shard", "n_sequences", "sha256"])
+        columns = [pa.nulls(len(done), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), owner, pa.int64())]
+        columns[1] = pa.array(shard, pa.int64())
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(sha, pa.string())], [*names, "n_sequences", "sha256"])
 
-    whole = ordered.repartitionByRange("shard").sortWithinPartitions("slot").select("shard", "tokens")
-    return stored(whole.mapInArrow(write, "shard long, n_sequences long, sha256 string"), "manifest")
+    owner = to_arrow_type(placed.schema["doc_id"].dataType)
+    kinds = f"slot long, shard long, byte_offset long, doc_id {dict(placed.dtypes)['doc_id']}, part long, n_sequences long, sha256 string"
+    whole = placed.repartitionByRange("shard").sortWithinPartitions("slot").select(*names, "tokens")
+    return stored(whole.mapInArrow(write, kinds), "slots")
+
+
+def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
+    """Write each shard as one file of fixed stride to ``folder``, which all executors reach as a path.
+
+    A file is written aside and renamed when whole, and a task that runs again writes the same bytes, so a reader sees
+    whole shards only. Returns the manifest: shard, n_sequences and sha256 of each file.
+    """
+    return _write(ordered, folder).where("slot is null").select("shard", "n_sequences", "sha256")
+
+
+def written_order(rows: DataFrame, key: int, per_shard: int = 8192, length: int = 512) -> DataFrame:
+    """As ``training_order``, with the shards written to the shared folder and the tokens read from them."""
+    folder, stride = shared_path(rows.sparkSession, "shards"), length * ID_BYTES
+    written = _write(dealt_slots(rows, key, per_shard), folder)
+    n = written.where("slot is null").count()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, file = None, None
+        for batch in batches:
+            shards, offsets = batch.column("shard").to_pylist(), batch.column("byte_offset").to_pylist()
+            tokens = []
+            for shard, offset in zip(shards, offsets, strict=True):
+                if shard != now:
+                    if file is not None:
+                        file.close()
+                    now, file = shard, open(f"{folder}/shard-{shard:08d}.bin", "rb")  # noqa: SIM115
+                if file.tell() != offset:
+                    file.seek(offset)
+                tokens.append(file.read(stride))
+                if len(tokens[-1]) != stride:
+                    raise ValueError(f"shard {shard} ends before byte {offset + stride}")
+            columns = [*map(batch.column, names), pa.array(tokens, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "tokens"])
+        if file is not None:
+            file.close()
+
+    names = ["slot", "shard", "byte_offset", "doc_id", "part"]
+    slots = written.where("slot is not null").select(*names)
+    # A number of partitions is given, as these rows are small but stand for all tokens.
+    ordered = slots.repartitionByRange(max(1, min(n, READERS)), "shard").sortWithinPartitions("slot")
+    kinds = f"slot long, shard long, byte_offset long, doc_id {dict(rows.dtypes)['doc_id']}, part long, tokens binary"
+    return ordered.mapInArrow(read, kinds)
 
 
 def read_shard(path: str, length: int, first: int = 0) -> Iterator[np.ndarray]:

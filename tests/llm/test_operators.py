@@ -32,6 +32,7 @@ from keeprule.llm import (
     training_order,
 )
 from keeprule.llm.queries import ORACLE, PATTERN, PIECES, QUERIES, RANKS, TOKENIZERS
+from keeprule.session import shared_folder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, row string, h1 int"
 ODD = [None, "", " \n\t ", "word", "É!", "a b c d e", "a b c d e", "x" * 300_000, "line " * 40_000, "▁   漢字 🙂"]
@@ -310,6 +311,20 @@ def test_shards_are_read_from_any_place(spark, tmp_path):
     assert sum(m["n_sequences"] for m in manifest) == rows.count()
 
 
+def test_registered_training_order_is_what_its_shards_hold(spark):
+    rows = QUERIES["op1_training_order"](spark, "/root/testdata/sf0.001").collect()
+    folders = Path(shared_folder(spark).removeprefix("file:")).glob("keeprule/shards-*")
+    written = {f.name: f.read_bytes() for f in max(folders, key=lambda f: f.stat().st_mtime).iterdir()}
+    assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
+    assert sum(map(len, written.values())) == sum(len(r["tokens"]) for r in rows) > 0
+    for r in rows:
+        assert written[f"shard-{r['shard']:08d}.bin"][r["byte_offset"] :][: len(r["tokens"])] == bytes(r["tokens"])
+    ranks = training_order.load_ranks(f"{TOKENIZERS}/{RANKS}")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plain = training_order.sequences(docs, ranks, PATTERN).collect()
+    assert sorted((r["doc_id"], r["part"], bytes(r["tokens"])) for r in rows) == sorted((a, b, bytes(c)) for a, b, c in plain)
+
+
 def test_ablations_count_rows_that_one_rule_alone_rejects(spark):
     entries = quality_rules.ledger(docs_of(spark, ["good words of a text that is long enough to be kept by all rules", "short", "! $ $ $"]))
     found = {r["rule"]: (r["n_failed"], r["n_regained"]) for r in quality_rules.ablations(entries, 2).collect()}
