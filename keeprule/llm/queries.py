@@ -16,6 +16,7 @@ from keeprule.llm import (
     quality_rules,
     secrets,
     sentencepiece_codec,
+    sharding,
     toxicity,
     training_order,
 )
@@ -85,6 +86,71 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(table(spark, sf_dir, "documents"))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.ledger(table(spark, sf_dir, "documents"))
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return dealt.select("doc_id", "size", "text_crc32", "law", "shard", "slot", grown)
+
+
+def _sharding_sql() -> str:
+    """Numbers by a window, then one half round of the network a step until a pass ends inside; the checksum by hand."""
+    keys = ", ".join(
+        f"({2 * i}, {m}, {u}), ({2 * i + 1}, {m}, {v})" for i, (m, u, v) in enumerate(sharding.round_keys(sharding.KEY))
+    )
+    halves, prime = 2 * sharding.ROUNDS, sharding.PRIME
+
+    def scrambled(value: str) -> str:
+        mixed = f"({value} % {prime} * m + o) % {prime}"
+        return f"(({mixed}) * ({mixed}) % {prime} * m + o) % {prime}"
+
+    # The checksum is linear: every bit of a text adds a value that follows from its distance to the end.
+    weights = ", ".join(f"max(c) FILTER (j = {j}) AS b{j}" for j in range(8))
+    bits = "0"
+    for j in range(8):
+        bits = f"xor({bits}, ((x >> {j}) & 1) * b{j})"
+    return f"""
+WITH RECURSIVE crc_steps AS (
+  SELECT v AS entry, v AS c, 0 AS step FROM (SELECT unnest(range(256)) AS v)
+  UNION ALL
+  SELECT entry, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM crc_steps WHERE step < 8),
+crc_table AS MATERIALIZED (SELECT list(c ORDER BY entry) AS t FROM crc_steps WHERE step = 8),
+coded AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, octet_length(encode(coalesce(text, ''))) AS len,
+    regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS bytes
+  FROM documents),
+longest AS MATERIALIZED (SELECT max(len) AS most FROM coded),
+shifted AS MATERIALIZED (
+  SELECT j, 0 AS k, CASE WHEN j = 8 THEN 4294967295 ELSE t[(1 << j) + 1] END AS c FROM (SELECT CAST(unnest(range(9)) AS INTEGER) AS j), crc_table
+  UNION ALL
+  SELECT j, k + 1, xor(c >> 8, t[(c & 255) + 1]) FROM shifted, crc_table, longest WHERE k < most),
+weights AS (SELECT k, {weights}, max(c) FILTER (j = 8) AS start FROM shifted GROUP BY k),
+placed AS (
+  SELECT rid, CAST('0x' || unnest(bytes) AS BIGINT) AS x, len - 1 - unnest(range(len)) AS k FROM coded),
+sums AS (SELECT rid, bit_xor({bits}) AS c FROM placed JOIN weights USING (k) GROUP BY rid),
+texts AS (
+  SELECT doc_id, len + 8 AS size, xor(xor(coalesce(c, 0), start), 4294967295) AS text_crc32
+  FROM coded JOIN weights ON k = len LEFT JOIN sums USING (rid)),
+numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS number FROM texts),
+root AS (SELECT CAST(floor(sqrt(greatest(count(*), 1))) AS BIGINT) AS s, count(*) AS n FROM texts),
+sides AS MATERIALIZED (
+  SELECT a, (n + a - 1) // a AS b, n
+  FROM (SELECT unnest(range(s, least(s + {sharding.PAIRS}, 2 * s + 1))) AS a, n FROM root)
+  ORDER BY a * ((n + a - 1) // a), a LIMIT 1),
+keys AS MATERIALIZED (SELECT * FROM (VALUES {keys}) AS v(i, m, o)),
+walk AS (
+  SELECT number, number // b AS l, number % b AS r, 0 AS step FROM numbered, sides
+  UNION ALL
+  SELECT number, CASE step % 2 WHEN 0 THEN (l + {scrambled("r")}) % a ELSE l END,
+    CASE step % 2 WHEN 1 THEN (r + {scrambled("l")}) % b ELSE r END, step + 1
+  FROM walk, sides, keys
+  WHERE i = step % {halves} AND NOT (step > 0 AND step % {halves} = 0 AND l * b + r < n))
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST((l * b + r) % {sharding.SHARDS} AS INTEGER) AS shard,
+  (l * b + r) // {sharding.SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM walk JOIN numbered USING (number), sides
+WHERE step > 0 AND step % {halves} = 0 AND l * b + r < sides.n"""
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -98,10 +164,12 @@ QUERIES = {
         op8_quality_rules,
         op9_language_id,
         op10_jaccard_join,
+        op13_sharding,
     )
 }
 
 ORACLE = {
+    "op13_sharding": _sharding_sql(),
     "op2_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, t.pos, t.line,
