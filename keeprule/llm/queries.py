@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keeprule.llm import (
+    collocations,
     decontaminate,
     jaccard_join,
     language_id,
@@ -86,6 +87,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.ledger(table(spark, sf_dir, "documents"))
     grown = F.lit(None).cast("int").alias("grown_shard")
@@ -164,11 +169,45 @@ QUERIES = {
         op8_quality_rules,
         op9_language_id,
         op10_jaccard_join,
+        op11_collocations,
         op13_sharding,
     )
 }
 
 ORACLE = {
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS MATERIALIZED (
+  SELECT lang, w FROM (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM pieces)
+  WHERE len(w) > 0),
+counts AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, k, array_to_string(list_slice(w, i + 1, i + k), ' ') AS phrase FROM (
+      SELECT lang, w, k, unnest(range(len(w) - k + 1)) AS i FROM worded, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k))
+  GROUP BY lang, k, phrase HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w)) AS n FROM worded GROUP BY lang),
+candidates AS (SELECT lang, phrase, k AS size, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') AS head, array_to_string(list_slice(w, k + 1, size), ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)),
+scores AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, t.n, c.k,
+    (1000 * CAST(c.a AS HUGEINT) * t.n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail
+    JOIN totals t ON t.lang = c.lang),
+lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS pick FROM scores) WHERE pick = 1),
+inner_phrases AS (
+  SELECT DISTINCT lang, a, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, size - m + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS m FROM candidates))),
+kept AS (
+  SELECT * FROM lowest s WHERE NOT EXISTS (
+    SELECT 1 FROM inner_phrases p WHERE p.lang = s.lang AND p.phrase = s.phrase AND 100 * p.a >= 100 * s.a))
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000""",
     "op13_sharding": _sharding_sql(),
     "op2_line_dedup": r"""
 WITH lines AS (
