@@ -15,6 +15,7 @@ from keeprule.llm import (
     line_dedup,
     quality_classifier,
     quality_rules,
+    ranked_search,
     secrets,
     sentencepiece_codec,
     sharding,
@@ -91,6 +92,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.ledger(table(spark, sf_dir, "documents"))
     grown = F.lit(None).cast("int").alias("grown_shard")
@@ -170,6 +175,7 @@ QUERIES = {
         op9_language_id,
         op10_jaccard_join,
         op11_collocations,
+        op12_ranked_search,
         op13_sharding,
     )
 }
@@ -208,6 +214,32 @@ kept AS (
 SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
   CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
 FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000""",
+    "op12_ranked_search": r"""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+counts AS MATERIALIZED (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM texts) GROUP BY rid, term),
+lengths AS (SELECT rid, doc_id, len(terms) AS n FROM texts WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS docs, sum(n) AS words FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals),
+asked AS (
+  SELECT item, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item, item_id, term),
+scores AS (
+  SELECT item, item_id, rid, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))) AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (rid), totals
+  GROUP BY item, item_id, rid, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10""",
     "op13_sharding": _sharding_sql(),
     "op2_line_dedup": r"""
 WITH lines AS (
