@@ -13,12 +13,15 @@ from keeprule.functions.text import megabytes
 from keeprule.operators.ranges import counts_in_ranges
 
 
-def chunk_inventory(rows: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
+def chunk_inventory(rows: DataFrame, chunks: DataFrame, key: str | list[str]) -> DataFrame:
     """Each chunk ``shard, chunk_id, min_key, max_key`` with ``n_rows, n_bytes, size_text``.
 
-    Chunks without rows are listed with zeros.
+    The key is of any ordered type, or a list of columns; the bounds of a compound key are structs of such columns. A
+    NULL bound is open. Chunks without rows are listed with zeros.
     """
     sized = rows.withColumn("n_bytes", row_bytes(rows))
+    if not isinstance(key, str):
+        key = F.struct(*key)
     counts = counts_in_ranges(sized, key, chunks, ["shard", "chunk_id"], "min_key", "max_key", ["n_bytes"])
     listed = chunks.select("shard", "chunk_id", "min_key", "max_key").join(counts, ["shard", "chunk_id"], "left")
     return listed.withColumns(

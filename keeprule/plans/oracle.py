@@ -193,18 +193,31 @@ oracle("growth_by_month", "", f"{MONTHS} GROUP BY 1 ORDER BY 1")
 oracle("growth_in_range", "", f"""
 {MONTHS} WHERE o_orderdate >= TIMESTAMP '1994-03-01' AND o_orderdate <= TIMESTAMP '1997-06-01' GROUP BY 1 ORDER BY 1""")
 
-def chunk_steps(chunks: str) -> dict[str, str]:
+IN_CHUNK = "m.shard_key >= c.min_key AND m.shard_key < c.max_key"
+
+
+def chunk_steps(chunks: str, shown: str = "c.min_key, c.max_key", inside: str = IN_CHUNK) -> dict[str, str]:
     return dict(
-        inventory=f"""SELECT c.shard, c.chunk_id, c.min_key, c.max_key, count(m.shard_key) AS n_rows,
+        inventory=f"""SELECT c.shard, c.chunk_id, {shown}, count(m.shard_key) AS n_rows,
   CAST(coalesce(sum(CASE WHEN m.shard_key IS NULL THEN 0 ELSE 8 + length(gcId) + length(policyId) + length(clusterId) + 4
     + CASE WHEN startDate IS NULL THEN 0 ELSE 8 END END), 0) AS BIGINT) AS n_bytes
-  FROM {chunks} c LEFT JOIN keyed_map m ON m.shard_key >= c.min_key AND m.shard_key < c.max_key GROUP BY ALL"""
+  FROM {chunks} c LEFT JOIN keyed_map m ON {inside} GROUP BY ALL"""
     )
 
 
 SIZE = "printf('%.2f MB', n_bytes / 1048576.0)"
 for name, chunks in (("chunk_inventory", "chunks"), ("fine_chunk_inventory", "customer_chunks")):
     oracle(name, f"{chunks} keyed_map", f"SELECT *, {SIZE} AS size_text FROM inventory", **chunk_steps(chunks))
+oracle("text_chunk_inventory", "text_chunks keyed_map", f"SELECT *, {SIZE} AS size_text FROM inventory", **chunk_steps(
+    "text_chunks", inside="(c.min_key IS NULL OR m.gcId >= c.min_key) AND (c.max_key IS NULL OR m.gcId < c.max_key)"))
+oracle("time_chunk_inventory", "time_chunks keyed_map", f"SELECT *, {SIZE} AS size_text FROM inventory", **chunk_steps(
+    "time_chunks", "CAST(c.min_key AS VARCHAR) AS min_key, CAST(c.max_key AS VARCHAR) AS max_key",
+    "m.startDate >= c.min_key AND m.startDate < c.max_key"))
+oracle("compound_chunk_inventory", "compound_chunks keyed_map", f"SELECT *, {SIZE} AS size_text FROM inventory", **chunk_steps(
+    "compound_chunks",
+    "c.low_cluster || '/' || c.low_seq AS min_key, c.high_cluster || '/' || c.high_seq AS max_key",
+    """(m.clusterId > c.low_cluster OR m.clusterId = c.low_cluster AND m.seq >= c.low_seq)
+    AND (m.clusterId < c.high_cluster OR m.clusterId = c.high_cluster AND m.seq < c.high_seq)"""))
 oracle("chunk_totals", "chunks keyed_map", f"""
 SELECT shard, n_chunks, n_rows, n_bytes, {SIZE} AS size_text FROM (
   SELECT coalesce(shard, '(all)') AS shard, count(*) AS n_chunks, CAST(sum(n_rows) AS BIGINT) AS n_rows,

@@ -376,6 +376,27 @@ def fine_chunk_inventory(a: Archive) -> DataFrame:
     return purge.chunk_inventory(a.keyed_map, a.customer_chunks, "shard_key")
 
 
+@query
+def text_chunk_inventory(a: Archive) -> DataFrame:
+    """Chunks of text keys, which overlap; one has no lower and one no upper bound."""
+    return purge.chunk_inventory(a.keyed_map, a.text_chunks, "gcId")
+
+
+@query
+def time_chunk_inventory(a: Archive) -> DataFrame:
+    bounds = {c: F.col(c).cast("timestamp_ntz") for c in ("min_key", "max_key")}
+    found = purge.chunk_inventory(a.keyed_map, a.time_chunks.withColumns(bounds), "startDate")
+    return found.withColumns({c: F.col(c).cast("date").cast("string") for c in bounds})
+
+
+@query
+def compound_chunk_inventory(a: Archive) -> DataFrame:
+    """Chunks of a key of two columns."""
+    bounds = {f"{end}_key": F.struct(F.col(f"{side}_cluster").alias("clusterId"), F.col(f"{side}_seq").cast("int").alias("seq")) for end, side in (("min", "low"), ("max", "high"))}
+    found = purge.chunk_inventory(a.keyed_map.withColumn("seq", F.col("seq").cast("int")), a.compound_chunks.withColumns(bounds), ["clusterId", "seq"])
+    return found.withColumns({c: F.concat_ws("/", f"{c}.clusterId", F.col(f"{c}.seq").cast("string")) for c in bounds})
+
+
 @query
 def chunk_totals(a: Archive) -> DataFrame:
     return purge.chunk_totals(purge.chunk_inventory(a.keyed_map, a.chunks, "shard_key"))

@@ -68,6 +68,18 @@ FROM {nation}""",
     "customer_chunks": """
 SELECT 'sh-' || c_nationkey AS shard, c_custkey AS chunk_id, c_custkey * 8 AS min_key, c_custkey * 8 + 8 AS max_key
 FROM {customer}""",
+    "text_chunks": """
+SELECT 'sh-' || c_nationkey AS shard, c_custkey AS chunk_id, CASE WHEN c_custkey = 1 THEN NULL ELSE 'gc-' || c_custkey END AS min_key,
+  CASE WHEN c_custkey = 2 THEN NULL ELSE 'gc-' || c_custkey || CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN '5' ELSE '~' END END AS max_key
+FROM {customer}""",
+    "time_chunks": """
+SELECT 'sh-' || n_regionkey AS shard, n_nationkey AS chunk_id, make_date(1991 + n_nationkey % 8, 1 + n_nationkey % 12, 9) AS min_key,
+  make_date(1992 + n_nationkey % 8, 1 + n_nationkey % 11, 9) AS max_key
+FROM {nation}""",
+    "compound_chunks": """
+SELECT 'sh-' || n_regionkey AS shard, n_nationkey AS chunk_id, 'cl-' || (n_nationkey % 6) AS low_cluster, 1 + n_nationkey % 4 AS low_seq,
+  'cl-' || (n_nationkey % 6 + n_nationkey % 3) AS high_cluster, 2 + n_nationkey % 5 AS high_seq
+FROM {nation}""",
     "event_rows": """
 SELECT event_id AS id, 'ev-' || user_id || '-' || CAST(floor(event_id / 100.0) AS BIGINT) AS doc_id,
   CASE WHEN event_type IN ('purchase', 'signup') THEN 'DISPOSITION' ELSE 'INGEST' END AS origin,
