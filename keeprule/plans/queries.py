@@ -29,6 +29,7 @@ from keeprule.plans.views import INSTANT, Archive
 from keeprule.session import new_folder
 from keeprule.sources import readers, writers
 from keeprule.streaming.evaluate import Evaluation, evaluate_new_ids
+from keeprule.streaming.keyed import BucketedRows
 from keeprule.streaming.ingest import DropFolder, ingest_if_absent
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -541,14 +542,19 @@ def ingest_rejects(a: Archive) -> DataFrame:
     )
 
 
-def _evaluated(a: Archive) -> Evaluation:
+def _evaluated(a: Archive, bucketed: bool = False) -> Evaluation:
     """Ids arriving in two waves, each evaluated by a run of its own."""
     base = new_folder(a.spark, "evaluate")
+    assignments = a.retention_policy_map
+    if bucketed:
+        stored = BucketedRows(f"{base}/assignments", assignments.schema, "gcId", buckets=16)
+        stored.write(assignments)
+        assignments = stored
     job = Evaluation(f"{base}/ids", f"{base}/flags", f"{base}/progress", f"{base}/checkpoint")
     first = flags.unique_ids(a.map_before)
     for wave in (first, a.archive_metrics.select("gcId")):  # with ids that were there before
         wave.write.mode("append").parquet(job.ids)
-        evaluate_new_ids(a.spark, job, a.retention_policy_map, a.retention_policies, INSTANT)
+        evaluate_new_ids(a.spark, job, assignments, a.retention_policies, INSTANT)
     return job
 
 
@@ -559,7 +565,8 @@ def incremental_flags(a: Archive) -> DataFrame:
 
 @query
 def incremental_totals(a: Archive) -> DataFrame:
-    return _evaluated(a).totals(a.spark)
+    """Assignments stored in buckets by message, of which a wave reads those of its ids."""
+    return _evaluated(a, bucketed=True).totals(a.spark)
 
 
 @query

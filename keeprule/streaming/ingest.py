@@ -13,7 +13,8 @@ from keeprule.functions.text import strip
 from keeprule.operators.filters import rename_headers
 from keeprule.operators.upserts import absent_records
 from keeprule.sources.readers import csv_options, text_schema
-from keeprule.streaming.tables import read_rows, rows_before, run_available, write_batch
+from keeprule.streaming.keyed import KeyedTable
+from keeprule.streaming.tables import run_available, write_batch
 
 # Headers of dropped files and the names they are stored under.
 HEADER_NAMES = {"gcid": "gcId"}
@@ -37,14 +38,21 @@ class DropFolder:
     archive: str | None = None
     delete: bool = False
     max_files_per_batch: int | None = None
+    #: Buckets of the table, and after how many batches they are brought up to date.
+    buckets: int = 64
+    fold_after: int = 8
 
     @property
     def schema(self) -> T.StructType:
         return text_schema([self.names.get(h, h) for h in self.headers])
 
+    @property
+    def keyed(self) -> KeyedTable:
+        return KeyedTable(self.table, self.schema, self.key, self.buckets, self.fold_after)
+
     def rows(self, spark: SparkSession) -> DataFrame:
         """The table as it is now."""
-        return read_rows(spark, self.table, self.schema)
+        return self.keyed.rows(spark)
 
 
 def _dropped_files(spark: SparkSession, drop: DropFolder) -> DataFrame:
@@ -62,7 +70,8 @@ def _dropped_files(spark: SparkSession, drop: DropFolder) -> DataFrame:
 def ingest_if_absent(spark: SparkSession, drop: DropFolder) -> int:
     """Take in the files that are new since the last run: keys already stored are kept as they are.
 
-    Within a batch the smallest record of a key is stored. Returns the number of batches.
+    Within a batch the smallest record of a key is stored. A batch is compared with the buckets of its own keys.
+    Returns the number of batches.
     """
     batches = []
 
@@ -73,8 +82,9 @@ def ingest_if_absent(spark: SparkSession, drop: DropFolder) -> int:
         try:
             keyed = F.coalesce(strip(F.col(drop.key)), F.lit("")) != ""
             write_batch(batch.where(~keyed), drop.rejects, writer, batch_id)
-            stored = rows_before(session, drop.table, drop.schema, writer, batch_id)
-            write_batch(absent_records(batch.where(keyed), stored, drop.key), drop.table, writer, batch_id)
+            drop.keyed.fold_before(session, writer, batch_id)
+            stored = drop.keyed.rows_before(session, batch.where(keyed), writer, batch_id)
+            write_batch(absent_records(batch.where(keyed), stored, drop.key, small=False), drop.table, writer, batch_id)
         finally:
             batch.unpersist()
 
