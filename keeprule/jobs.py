@@ -1,7 +1,7 @@
 """The jobs as commands: ``spark-submit keeprule/jobs.py JOB --option value ...``.
 
 Tables are named by format and path, as ``parquet:/data/map`` or ``csv:/data/map``;
-the formats are parquet (the default), csv, json and text.
+the formats are parquet (the default), csv, json (a record per line), array (JSON arrays) and text.
 """
 
 from __future__ import annotations
@@ -9,16 +9,16 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keeprule.operators import counts, diff, dumps, events, exports, filters, flags, growth, ids, lookups, purge
 from keeprule.session import build_session
-from keeprule.sources import readers, writers
+from keeprule.sources import objects, readers, writers
 from keeprule.streaming.evaluate import Evaluation, evaluate_new_ids
 from keeprule.streaming.ingest import DropFolder, ingest_if_absent, ingest_until_idle
 
-FORMATS = ("parquet", "csv", "json", "text")
+FORMATS = ("parquet", "csv", "json", "array", "text")
 JOBS: dict[str, tuple[Callable, list[str], list[str]]] = {}
 
 
@@ -43,6 +43,8 @@ def load(spark: SparkSession, name: str) -> DataFrame:
         return readers.read_csv(spark, path, keep_null=True)
     if kind == "json":
         return readers.read_records(spark, path)
+    if kind == "array":
+        return objects.read_array(spark, path)
     if kind == "text":
         return readers.read_texts(spark, path)
     return readers.read_table(spark, path)
@@ -55,7 +57,7 @@ def save(rows: DataFrame, name: str, columns: list[str] | None = None, max_rows:
         nested = {c for c, t in rows.dtypes if t.startswith(("array", "struct", "map"))}
         flat = rows.select(*[F.to_json(c).alias(c) if c in nested else F.col(f"`{c}`") for c in rows.columns])
         writers.write_csv(flat, path, columns, int(max_rows) if max_rows else None)
-    elif kind == "json":
+    elif kind in ("json", "array"):
         writers.write_json(rows, path)
     elif kind == "text":
         writers.write_lines(rows, path, rows.columns[0])
@@ -145,8 +147,9 @@ def dedup_rows(spark, o):
 
 @job("log origin tenant out", "fields")
 def event_rows(spark, o):
+    """Without ``fields`` there is a column for every field found in the log."""
     log = load(spark, o.log)
-    result = events.event_rows(log, o.origin, o.tenant, names(o.fields) if o.fields else None)
+    result = events.event_rows(log, o.origin, o.tenant, names(o.fields) if o.fields else events.found_fields(log))
     save(result, o.out, result.columns)
     print({"unreadable": events.unreadable_events(log).count()})
 
@@ -159,19 +162,36 @@ def shell_dump(spark, o):
     print({"unreadable": dumps.unreadable_objects(objects, fields).count()})
 
 
-@job("text fields out")
+def save_objects(spark, rows: DataFrame, out: str, columns: list[str], unreadable: Observation) -> None:
+    """Save, and tell how many objects were no JSON, counted in the same pass."""
+    save(rows.select(*columns), out, columns)
+    print({"unreadable": unreadable.get["n"]})
+
+
+@job("text fields out", "time_field")
 def array_rows(spark, o):
-    fields = names(o.fields)
-    texts = readers.read_texts(spark, o.text)
-    save(dumps.array_rows(texts, fields).select(*fields), o.out, fields)
-    print({"unreadable": dumps.unreadable_arrays(texts).count()})
+    """Objects of JSON arrays in files of any size."""
+    fields, unreadable = names(o.fields), Observation("unreadable objects")
+    found = objects.parsed_objects(objects.read_objects(spark, o.text), fields)
+    counted = found.observe(unreadable, F.count("unreadable").alias("n"))
+    save_objects(spark, dumps.item_rows(counted, fields, o.time_field or "StartDate"), o.out, fields, unreadable)
 
 
 @job("text out")
 def id_list(spark, o):
+    """One array of ids per file, of files that fit a task."""
     save(dumps.id_list(readers.read_texts(spark, o.text)).select("gcids"), o.out)
 
 
+@job("text out")
+def id_rows(spark, o):
+    """One id per row, of lists in files of any size."""
+    unreadable = Observation("unreadable objects")
+    found = objects.parsed_objects(objects.read_objects(spark, o.text, quote="'"), ["gcid"])
+    counted = found.observe(unreadable, F.count("unreadable").alias("n"))
+    save_objects(spark, dumps.item_ids(counted), o.out, ["gcid"], unreadable)
+
+
 @job("rows start end out")
 def month_growth(spark, o):
     save(growth.growth_by_month(load(spark, o.rows), o.start, o.end), o.out)

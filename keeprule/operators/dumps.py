@@ -74,6 +74,21 @@ def array_rows(texts: DataFrame, fields: list[str], column: str = "value", time_
     )
 
 
+def item_rows(parsed: DataFrame, fields: list[str], time_field: str = "StartDate") -> DataFrame:
+    """The fields of parsed objects (``sources.objects``) as text; what is no JSON gives no row."""
+    others = [c for c in parsed.columns if c not in ("item", "unreadable")]
+    item = F.col("item")
+    shown = [(epoch_millis_text(item[f]) if f == time_field else item[f], f) for f in fields]
+    return parsed.where(F.col("unreadable").isNull()).select(*others, *[or_empty(c).alias(f) for c, f in shown])
+
+
+def item_ids(parsed: DataFrame, field: str = "gcid") -> DataFrame:
+    """One row per parsed object that has an id."""
+    others = [c for c in parsed.columns if c not in ("item", "unreadable")]
+    ids = parsed.where(F.col("unreadable").isNull()).select(*others, F.col("item")[field].alias(field))
+    return ids.where(F.col(field).isNotNull())
+
+
 def unreadable_arrays(texts: DataFrame, column: str = "value") -> DataFrame:
     """The texts that give no rows because they are no array of objects even when unwrapped."""
     return texts.where(F.col(column).isNotNull() & json_objects(unwrap_array(F.col(column))).isNull())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keeprule.functions.instants import epoch_millis_text
 from keeprule.functions.text import json_objects, or_empty
@@ -37,6 +38,20 @@ def event_fields(log: DataFrame) -> DataFrame:
     )
 
 
+def found_fields(log: DataFrame) -> list[str]:
+    """The names of all reported fields, sorted, from one aggregation that merges the schemas of all events."""
+    merged = explode_events(log).agg(F.schema_of_variant_agg(F.to_variant_object("event"))).first()[0]
+    if not merged or not merged.startswith("OBJECT<"):
+        return []
+    names = T.DataType.fromDDL(merged.replace("OBJECT<", "STRUCT<", 1)).names
+    return sorted(set(names) - {"_id", "_tm", *UNREPORTED_FIELDS})
+
+
+def event_table(log: DataFrame, origin: str, tenant: str) -> DataFrame:
+    """As ``event_rows`` with a column for every reported field that any event of the log has."""
+    return event_rows(log, origin, tenant, found_fields(log))
+
+
 def event_rows(log: DataFrame, origin: str, tenant: str, fields: list[str] | None = None) -> DataFrame:
     """The events of one origin and tenant as rows: ``_id``, ``_tm`` as text, then the fields.
 

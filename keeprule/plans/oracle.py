@@ -166,6 +166,10 @@ oracle("union_slices", "map_before map_after", "SELECT * FROM map_before UNION A
 oracle("event_failures", "event_rows", """
 SELECT doc_id AS _id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS _tm, gcId, CAST(id AS VARCHAR) AS id, origin
 FROM event_rows WHERE origin = 'DISPOSITION' AND tenantid = 't1'""")
+oracle("event_columns", "event_rows", """
+SELECT doc_id AS _id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS _tm, CASE WHEN id % 7 = 0 THEN '{"code":' || id || '}' ELSE '' END AS "Detail",
+  CASE WHEN id % 5 = 0 THEN 'n ' || id ELSE '' END AS "a note", gcId, CAST(id AS VARCHAR) AS id, origin
+FROM event_rows WHERE origin = 'DISPOSITION' AND tenantid = 't1'""")
 oracle("unreadable_events", "event_rows", "SELECT DISTINCT 'bad-' || doc_id AS _id FROM event_rows")
 
 
@@ -188,6 +192,15 @@ oracle("gcid_list", "", "SELECT o_orderkey AS doc, 'gc-' || o_orderkey || ',am-'
 oracle("gcid_rows", "", """
 SELECT o_orderkey AS doc, 'gc-' || o_orderkey AS gcid FROM orders
 UNION ALL SELECT o_orderkey, 'am-' || o_orderkey FROM orders""")
+oracle("array_file_rows", "", """
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS StartDate, 'x' || event_id AS id, 'a } " { [ ' || event_id AS note,
+  '{"n":[' || event_id || ']}' AS "in"
+FROM events WHERE event_id % 40 <> 0""")
+oracle("array_file_rejects", "", """
+SELECT count(*) AS n_objects, count(*) FILTER (event_id % 40 = 0) AS n_unreadable FROM events""")
+oracle("gcid_file_rows", "", """
+SELECT 'gc-' || o_orderkey AS gcid FROM orders UNION ALL SELECT 'am-' || o_orderkey FROM orders""")
+oracle("array_records", "archive_metrics", "SELECT _id, gcId, processing_state, src_file FROM archive_metrics")
 MONTHS = "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS doc_count FROM orders"
 oracle("growth_by_month", "", f"{MONTHS} GROUP BY 1 ORDER BY 1")
 oracle("growth_in_range", "", f"""

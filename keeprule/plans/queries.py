@@ -27,7 +27,7 @@ from keeprule.operators import (
 )
 from keeprule.plans.views import INSTANT, Archive
 from keeprule.session import new_folder
-from keeprule.sources import readers, writers
+from keeprule.sources import objects, readers, writers
 from keeprule.streaming.evaluate import Evaluation, evaluate_new_ids
 from keeprule.streaming.keyed import BucketedRows
 from keeprule.streaming.ingest import DropFolder, ingest_if_absent
@@ -318,6 +318,12 @@ def event_failures(a: Archive) -> DataFrame:
     return events.event_rows(a.event_log, "DISPOSITION", "t1", ["gcId", "id", "origin"])
 
 
+@query
+def event_columns(a: Archive) -> DataFrame:
+    """Events with a column for every field that any of them has."""
+    return events.event_table(a.varied_log, "DISPOSITION", "t1")
+
+
 @query
 def unreadable_events(a: Archive) -> DataFrame:
     """Every log document followed by a broken copy of itself, counted as readable or not."""
@@ -344,6 +350,41 @@ def repair_array(a: Archive) -> DataFrame:
     return dumps.array_rows(a.wrapped_arrays, ["StartDate", "id"])
 
 
+def _listed_objects(a: Archive) -> DataFrame:
+    path = new_folder(a.spark, "objects")
+    writers.write_lines(a.listed_objects, path, "value")
+    return objects.parsed_objects(objects.read_objects(a.spark, path), ["StartDate", "id", "note", "in"])
+
+
+@query
+def array_file_rows(a: Archive) -> DataFrame:
+    """Objects out of text files, with braces and quotes inside strings, broken ones between them."""
+    return dumps.item_rows(_listed_objects(a), ["StartDate", "id", "note", "in"]).drop("file")
+
+
+@query
+def array_file_rejects(a: Archive) -> DataFrame:
+    return _listed_objects(a).agg(F.count("*").alias("n_objects"), F.count("unreadable").alias("n_unreadable"))
+
+
+@query
+def gcid_file_rows(a: Archive) -> DataFrame:
+    """Ids out of single-quoted lists in text files."""
+    path = new_folder(a.spark, "id-lists")
+    writers.write_lines(a.id_objects, path, "value")
+    parsed = objects.parsed_objects(objects.read_objects(a.spark, path, quote="'"), ["gcid"])
+    return dumps.item_ids(parsed).drop("file")
+
+
+@query
+def array_records(a: Archive) -> DataFrame:
+    """Records of JSON arrays, their columns found in the data."""
+    path = new_folder(a.spark, "arrays")
+    record = F.to_json(F.struct("_id", "gcId", "processing_state", "src_file"))
+    writers.write_lines(a.archive_metrics.select(F.concat(record, F.lit(",")).alias("value")), path, "value")
+    return objects.read_array(a.spark, path).select("_id", "gcId", "processing_state", "src_file")
+
+
 @query
 def gcid_list(a: Archive) -> DataFrame:
     return dumps.id_list(a.id_objects).select("doc", listed("gcids"))

@@ -138,6 +138,28 @@ class Archive:
             F.to_json(F.collect_list(event)).alias("events")
         )
 
+    @cached_property
+    def varied_log(self) -> DataFrame:
+        """As ``event_log``, with fields that only some events have."""
+        event = F.struct(
+            "id", "origin", "tenantid", "gcId", epoch_millis(F.col("ts")).alias("_tm"), F.lit("1").alias("ver"),
+            F.when(F.col("id") % 5 == 0, F.concat(F.lit("n "), "id")).alias("a note"),
+            F.when(F.col("id") % 7 == 0, F.struct(F.col("id").alias("code"))).alias("Detail"),
+        )
+        return self.event_rows.groupBy(F.col("doc_id").alias("_id")).agg(
+            F.to_json(F.collect_list(event)).alias("events")
+        )
+
+    @cached_property
+    def listed_objects(self) -> DataFrame:
+        """``value``: per event an object with braces and quotes in a string, each 40th of them broken."""
+        text = F.format_string(
+            '{"StartDate": "%d", "id": "x%d", "note": "a } \\" { [ %d", "in": {"n": [%d]}},',
+            epoch_millis(F.col("ts")), F.col("event_id"), F.col("event_id"), F.col("event_id"),
+        )
+        broken = F.replace(text, F.lit('"id": '), F.lit('"id" '))
+        return self.table("events").select(F.when(F.col("event_id") % 40 == 0, broken).otherwise(text).alias("value"))
+
     @cached_property
     def docs_by_oid(self) -> DataFrame:
         """``_id``: 24 hexadecimal digits that begin with the order's second."""
