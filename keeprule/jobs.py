@@ -134,6 +134,15 @@ def id_batches(spark, o):
     writers.write_documents(ids.as_json_documents(batches), o.out, "file")
 
 
+@job("csv out", "size")
+def id_documents(spark, o):
+    """One JSON document per file with all its ids in order, as files that are read one behind the other."""
+    rows = readers.read_numbered_csv(spark, o.csv, required=("_id",))
+    batches = ids.id_batches_in_order(rows, "path", "_id", int(o.size or ids.BATCH_SIZE), "file")
+    fragments = ids.document_fragments(batches.drop("path"), "file")
+    writers.write_fragments(fragments, o.out, "file")
+
+
 @job("csv column out")
 def sorted_ids(spark, o):
     save(ids.sorted_ids(readers.read_csv(spark, o.csv), o.column), o.out)

@@ -2,21 +2,21 @@
 
 Rows that were numbered when their file was read (``readers.read_numbered_csv``) are packed
 in the order of the file. For any other table, numbering the ids of a group with one window
-over the group would send a large group to one task. Here the ids of a group are spread over
-buckets by the first digits of their MD5 sum, numbered within each bucket, and shifted by
-the sizes of the buckets before.
-This needs no fixed partitioning, so a lost task may be computed again at any time.
+over the group would send a large group to one task. Here groups and ids are put in one order
+over ranges (``positions``), so that a large group is spread over many; the order within a
+group begins with the first digits of the id's MD5 sum.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keeprule.functions.text import strip
+from keeprule.operators.positions import positions
 
 BATCH_SIZE = 1_000
-BUCKET_DIGITS = 3
+DIGEST_DIGITS = 3
 
 
 def sorted_ids(rows: DataFrame, column: str) -> DataFrame:
@@ -24,53 +24,29 @@ def sorted_ids(rows: DataFrame, column: str) -> DataFrame:
     return rows.select(strip(F.col(column)).alias(column)).where(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
-def _placed(rows: DataFrame, group: str, id_column: str, digits: int) -> DataFrame:
-    """``group, id, first, copies``: the place of each distinct id in its group, from 0."""
-    ids = rows.select(F.col(group), strip(F.coalesce(id_column, F.lit(""))).alias("id"))
-    bucket = F.substring(F.md5("id"), 1, digits).alias("bucket")
-    counted = ids.groupBy(group, "id").agg(F.count("*").alias("copies")).select(group, "id", bucket, "copies")
-    in_bucket = Window.partitionBy(group, "bucket").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = counted.withColumn("after_id", F.sum("copies").over(in_bucket))
-    earlier = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        counted.groupBy(group, "bucket")
-        .agg(F.sum("copies").alias("in_bucket"))
-        .select(group, "bucket", F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0)).alias("start"))
-        .withColumnsRenamed({group: "start_group", "bucket": "start_bucket"})
-    )
-    same = F.col(group).eqNullSafe(F.col("start_group")) & (F.col("bucket") == F.col("start_bucket"))
-    return numbered.join(starts, same).select(
-        group, "id", (F.col("start") + F.col("after_id") - F.col("copies")).alias("first"), "copies"
+def _packed(placed: DataFrame, group: list[str], size: int) -> DataFrame:
+    """Ids with a ``place`` in their group, in arrays of ``size``."""
+    batch = F.call_function("div", "place", F.lit(size)).alias("batch")
+    in_order = F.array_sort(F.collect_list(F.struct("place", "id")))
+    return placed.select(*group, "place", "id", batch).groupBy(*group, "batch").agg(in_order["id"].alias("ids")).select(
+        *group, (F.col("batch") + 1).alias("batch"), F.size("ids").cast("long").alias("n_ids"), "ids"
     )
 
 
-def id_batches(
-    rows: DataFrame, group: str, id_column: str, size: int = BATCH_SIZE, digits: int = BUCKET_DIGITS
-) -> DataFrame:
+def id_batches(rows: DataFrame, group: str, id_column: str, size: int = BATCH_SIZE) -> DataFrame:
     """``group, batch, n_ids, ids``: every id of each group, in arrays of ``size``, repeats kept.
 
-    Only the last batch of a group is shorter. Batches count from 1.
+    Only the last batch of a group is shorter. Batches count from 1. The ids are ordered when this is called.
     """
-    placed = _placed(rows, group, id_column, digits)
-    last = F.col("first") + F.col("copies") - 1
-
-    def batch_of(place):
-        return F.call_function("div", place, F.lit(size))
-
-    pieces = (
-        placed.withColumn("last", last)
-        .withColumn("batch", F.explode(F.sequence(batch_of(F.col("first")), batch_of(F.col("last")))))
-        .withColumn("from", F.greatest("first", F.col("batch") * size))
-        .withColumn("to", F.least("last", (F.col("batch") + 1) * size - 1))
-        .withColumn("n", (F.col("to") - F.col("from") + 1).cast("int"))
-        .select(group, "batch", F.struct("from", "id", "n").alias("piece"))
-    )
-    ids = F.flatten(
-        F.transform(F.array_sort(F.collect_list("piece")), lambda p: F.array_repeat(p["id"], p["n"]))
-    )
-    return pieces.groupBy(group, "batch").agg(ids.alias("ids")).select(
-        group, (F.col("batch") + 1).alias("batch"), F.size("ids").cast("long").alias("n_ids"), "ids"
+    ids = rows.select(F.col(group).alias("group"), strip(F.coalesce(id_column, F.lit(""))).alias("id"))
+    counted = ids.groupBy("group", "id").agg(F.count("*").alias("copies"))
+    digest = F.substring(F.md5("id"), 1, DIGEST_DIGITS)
+    ordered = positions(counted.withColumn("digest", digest), ["group", "digest", "id"], "position", copies="copies")
+    starts = ordered.groupBy("group").agg(F.min("position").alias("start")).withColumnRenamed("group", "start of")
+    placed = ordered.join(starts, F.col("group").eqNullSafe(F.col("start of"))).select(
+        "group", "id", (F.col("position") - F.col("start")).alias("place")
     )
+    return _packed(placed, ["group"], size).withColumnRenamed("group", group)
 
 
 def id_batches_in_order(rows: DataFrame, group: str, id_column: str, size: int = BATCH_SIZE, *shown: str) -> DataFrame:
@@ -78,14 +54,22 @@ def id_batches_in_order(rows: DataFrame, group: str, id_column: str, size: int =
 
     ``shown`` are further columns that every group has one value of.
     """
-    placed = rows.select(
-        group, *shown, F.call_function("div", "position", F.lit(size)).alias("batch"), "position",
-        strip(F.coalesce(id_column, F.lit(""))).alias("id"),
-    )
-    in_order = F.array_sort(F.collect_list(F.struct("position", "id")))
-    return placed.groupBy(group, *shown, "batch").agg(in_order["id"].alias("ids")).select(
-        group, *shown, (F.col("batch") + 1).alias("batch"), F.size("ids").cast("long").alias("n_ids"), "ids"
-    )
+    ids = rows.select(group, *shown, F.col("position").alias("place"), strip(F.coalesce(id_column, F.lit(""))).alias("id"))
+    return _packed(ids, [group, *shown], size)
+
+
+def document_fragments(batches: DataFrame, group: str, field: str = "archiveMetricIds") -> DataFrame:
+    """``group, batch, fragment``: one JSON document per group, in parts that give the document behind each other.
+
+    No row holds the ids of a whole group, however many there are.
+    """
+    last = batches.groupBy(group).agg(F.max("batch").alias("last")).withColumnRenamed(group, "last of")
+    listed = F.to_json("ids")
+    inner = F.substr(listed, F.lit(2), F.length(listed) - 2)
+    begin = F.when(F.col("batch") == 1, F.concat(F.lit("{"), F.to_json(F.array(F.lit(field))).substr(2, len(field) + 2), F.lit(":["))).otherwise(",")
+    end = F.when(F.col("batch") == F.col("last"), "]}").otherwise("")
+    met = batches.join(last, F.col(group).eqNullSafe(F.col("last of")))
+    return met.select(group, "batch", F.concat(begin, inner, end).alias("fragment"))
 
 
 def id_documents(rows: DataFrame, group: str, id_column: str, size: int) -> DataFrame:

@@ -159,6 +159,7 @@ SELECT src_file, CAST(floor(place / 2500.0) AS BIGINT) + 1 AS batch, count(*) AS
   '{"archiveMetricIds":["' || string_agg(_id, '","' ORDER BY place) || '"]}' AS document
 FROM placed GROUP BY src_file, CAST(floor(place / 2500.0) AS BIGINT) + 1""", placed=PLACED)
 oracle("file_id_batches", "archive_metrics", "SELECT _id, true AS full FROM archive_metrics")
+oracle("file_documents", "archive_metrics", "SELECT _id, true AS whole, true AS in_order FROM archive_metrics")
 oracle("sorted_ids", "retention_policy_map", "SELECT DISTINCT gcId AS gcid FROM retention_policy_map ORDER BY 1")
 oracle("dedup_rows", "retention_policy_map", "SELECT DISTINCT gcId, channel, network FROM retention_policy_map")
 oracle("union_slices", "map_before map_after", "SELECT * FROM map_before UNION ALL SELECT * FROM map_after")

@@ -288,6 +288,23 @@ def file_id_batches(a: Archive) -> DataFrame:
     return batches.withColumn("full", full).select(F.explode("ids").alias("_id"), "full")
 
 
+@query
+def file_documents(a: Archive) -> DataFrame:
+    """One document per file, written in fragments and read again; files hold their ids in ascending order."""
+    path, written = new_folder(a.spark, "id-files"), new_folder(a.spark, "file-documents")
+    writers.write_csv(a.archive_metrics.select("_id").orderBy("_id"), path)
+    batches = ids.id_batches_in_order(readers.read_numbered_csv(a.spark, path, ("_id",)), "path", "_id", 700, "file")
+    writers.write_fragments(ids.document_fragments(batches.drop("path"), "file"), written, "file")
+    part = F.struct(F.col("_metadata.file_name").alias("name"), F.monotonically_increasing_id().alias("line"))
+    fragments = a.spark.read.text(written).select("file", part.alias("part"), "value")
+    before, last = Window.partitionBy("file").orderBy("part"), Window.partitionBy("file")
+    opened = F.col("value").startswith('{"archiveMetricIds":[') == (F.row_number().over(before) == 1)
+    closed = F.col("value").endswith("]}") == (F.col("part") == F.max("part").over(last))
+    checked = fragments.withColumn("whole", opened & closed)
+    listed = F.regexp_extract_all("value", F.lit('"(am-[^"]*)"'), F.lit(1))
+    return checked.select(F.explode(listed).alias("_id"), "whole", (F.array_sort(listed) == listed).alias("in_order"))
+
+
 @query
 def id_documents(a: Archive) -> DataFrame:
     documents = ids.id_documents(a.archive_metrics, "src_file", "_id", 2_500)

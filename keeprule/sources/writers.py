@@ -17,9 +17,8 @@ CSV = {
     "emptyValue": "",
 }
 
-# Rows of one exported file, and the rows a spreadsheet takes.
+# Rows of one exported file.
 EXPORT_FILE_ROWS = 5_000
-SPREADSHEET_ROWS = 1_048_566
 
 
 def write_csv(
@@ -94,3 +93,12 @@ def write_documents(
 ) -> None:
     """JSON documents in a folder per group, one document per line."""
     documents.select(F.col(column).alias("value"), F.col(group)).write.mode(mode).partitionBy(group).text(path)
+
+
+def write_fragments(fragments: DataFrame, path: str, group: str, mode: str = "errorifexists") -> None:
+    """A folder per group whose files, one behind the other by name, are one JSON document.
+
+    The fragments of a large group are written by several tasks, each a range of them in order.
+    """
+    ordered = fragments.repartitionByRange(group, "batch").sortWithinPartitions(group, "batch")
+    ordered.select(F.col("fragment").alias("value"), F.col(group)).write.mode(mode).partitionBy(group).text(path)

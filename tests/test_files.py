@@ -2,6 +2,7 @@
 
 import gzip
 import csv
+import json
 from pathlib import Path
 
 import pytest
@@ -153,3 +154,35 @@ def test_documents_in_a_folder_per_group(spark, folder):
     writers.write_documents(documents, f"{folder}/out", "f")
     lines = [t for f in Path(f"{folder}/out/f=f1").glob("*.txt") for t in f.read_text().split()]
     assert sorted(lines) == ['{"n":1}', '{"n":3}']
+
+
+def test_one_document_per_file_in_fragments(spark, folder):
+    put = {"a": [f"i{n:03}" for n in range(57, 0, -1)], "b": ["only"], "c": ['q"u', "é", "q\"u"]}
+    for name, ids_ in put.items():
+        quoted = ['"' + i.replace('"', '""') + '"' for i in ids_]
+        Path(f"{folder}/in").mkdir(exist_ok=True)
+        Path(f"{folder}/in/{name}.csv").write_text("_id\n" + "\n".join(quoted) + "\n")
+    rows = readers.read_numbered_csv(spark, f"{folder}/in", ("_id",))
+    batches = ids.id_batches_in_order(rows, "path", "_id", 10, "file").drop("path")
+    writers.write_fragments(ids.document_fragments(batches, "file"), f"{folder}/out", "file")
+    for name, expected in put.items():
+        files = sorted(Path(f"{folder}/out/file={name}").glob("part-*"))
+        document = json.loads("".join(f.read_text() for f in files))
+        assert document == {"archiveMetricIds": expected}
+
+
+@pytest.mark.parametrize("repeats", [1, 2_500])
+def test_batches_of_a_large_group(spark, repeats):
+    """One group has most rows, one id of it is repeated very often; every batch is full but the last."""
+    rows = spark.range(6_000).select(
+        F.when(F.col("id") % 10 > 0, "big").when(F.col("id") % 20 > 0, "small").alias("g"),
+        F.when(F.col("id") < repeats, "same").otherwise(F.concat(F.lit("i"), "id")).alias("i"),
+    )
+    found = ids.id_batches(rows, "g", "i", 250).collect()
+    for group, n in (("big", 5_400), ("small", 300), (None, 300)):
+        mine = sorted((r for r in found if r["g"] == group), key=lambda r: r["batch"])
+        assert [r["batch"] for r in mine] == list(range(1, -(-n // 250) + 1))
+        assert [r["n_ids"] for r in mine[:-1]] == [250] * (len(mine) - 1) and sum(r["n_ids"] for r in mine) == n
+    packed = sorted(i for r in found for i in r["ids"])
+    assert packed == sorted(r["i"] for r in rows.collect())
+    assert ids.id_batches(rows.limit(0), "g", "i").count() == 0

@@ -116,9 +116,16 @@ def test_text_repair(run, folder, capsys):
     put(f"{folder}/list/a.txt", "{'gcid': 'a'},\n{'gcid': 'b'},\n")
     run("id-list", "--text", f"{folder}/list", "--out", f"json:{folder}/ids")
     assert lines(f"{folder}/ids", "*.json") == ['{"gcids":["a","b"]}']
+    run("id-rows", "--text", f"{folder}/list", "--out", f"csv:{folder}/id-rows")
+    assert lines(f"{folder}/id-rows", "*.csv") == ["gcid", "a", "b"]
+    put(f"{folder}/records/a.json", '[{"a": 2, "b": "x"},\n{"a": 1}]')
+    run("dedup-rows", "--rows", f"array:{folder}/records", "--out", f"csv:{folder}/records-out")
+    assert set(lines(f"{folder}/records-out", "*.csv")) == {"a,b", "2,x", "1,"}
     put(f"{folder}/log/a.json", '{"_id": "d", "events": "[{\\"origin\\": \\"D\\", \\"tenantid\\": \\"t\\"}]"}\n{"_id": "e", "events": "no"}\n')
     run("event-rows", "--log", f"json:{folder}/log", "--origin", "D", "--tenant", "t", "--fields", "origin", "--out", f"csv:{folder}/events")
     assert lines(f"{folder}/events", "*.csv")[-1] == "d,1970-01-01 00:00:00,D"
+    run("event-rows", "--log", f"json:{folder}/log", "--origin", "D", "--tenant", "t", "--out", f"csv:{folder}/all-events")
+    assert lines(f"{folder}/all-events", "*.csv") == ["_id,_tm,origin", "d,1970-01-01 00:00:00,D"]
     assert "{'unreadable': 1}" in capsys.readouterr().out
 
 
