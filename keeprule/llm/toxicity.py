@@ -128,7 +128,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, sample_ro
     sizes = {r["toxic"]: r["count"] for r in known.where(learn).groupBy("toxic").count().collect()}  # two labels
     part = F.when(F.col("toxic") == 1, sample_rows / max(1, sizes.get(1, 0))).otherwise(sample_rows / max(1, sizes.get(0, 0)))
     drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < part * (1 << 20))
-    return rows.join(drawn, "doc_id").groupBy("text").agg(F.max("toxic").cast("int").alias("toxic"))
+    # About sample_rows ids of each label: without a broadcast all texts would be shuffled to find their documents.
+    return rows.join(F.broadcast(drawn), "doc_id").groupBy("text").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
 def choose_stems(counts, n_toxic: int, n_clean: int) -> dict[str, float]:
