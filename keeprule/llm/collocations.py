@@ -5,8 +5,9 @@ passages give equal chunks wherever they stand. It overlaps the words that follo
 an n-gram is counted in the chunk that owns its first word, hence once. N-grams are counted in distinct chunks only,
 each with its chunk's frequency.
 
-A phrase is as frequent as asked only if its words and its word pairs are. Bitmaps of fixed length hold the hashes of
-those; collisions let more through to the exact count, never less. What is left is counted as text.
+A phrase is as frequent as asked only if its words and its word pairs are. Both are first counted by hash, and bitmaps
+of fixed length keep the hashes that are frequent; collisions let more through to the exact count, never less. What is
+left is counted as text.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keeprule.llm.common import pieces, stored, text_bytes
+from keeprule.llm.common import slices, stored, text_bytes
 from keeprule.llm.shingles import BASE, INVERSE, mix
 from keeprule.session import new_folder
 
@@ -28,7 +29,7 @@ MOST_WORDS = 5
 #: One word in so many is a trigger; a chunk without one is cut after LONGEST own words.
 TRIGGER, LONGEST = 16, 256
 #: Bytes of text that are worked on at a time, and rows of counts that a task holds before it hands them on.
-AT_ONCE, HELD = 4_000_000, 600_000
+AT_ONCE, HELD = 1_000_000, 300_000
 #: The bitmaps of frequent words and pairs have 2 ** FILTER_BITS bits.
 FILTER_BITS = 26
 #: The ranking of a language is prepared in so many parts.
@@ -43,8 +44,17 @@ BYTES[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = BREAK
 IS_WORD = ~np.isin(BYTES, [SPACE, BREAK])
 
 
+POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    return np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)
+    """The first ``n`` powers of ``base`` from the first on, kept for the next batch unless they are very many."""
+    if len(POWERS.get(base, ())) >= n:
+        return POWERS[base][:n]
+    powers = np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)
+    if n <= 2 * AT_ONCE:
+        POWERS[base] = powers
+    return powers
 
 
 class Words:
@@ -59,7 +69,7 @@ class Words:
             change = np.concatenate([[0], change])
         starts, ends = change[0::2], change[1::2]
         data = BYTES[data]
-        self.text = np.searchsorted(offsets, starts, side="right") - 1
+        self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
         breaks = np.cumsum(data == BREAK, dtype=np.int32)
         #: Whether the next word stands in the same piece of the same text.
         self.goes_on = np.zeros(len(starts), bool)
@@ -80,6 +90,14 @@ class Words:
         np.cumsum((self.line + np.uint64(1)) * _powers(BASE, len(self.line)), dtype=np.uint64, out=sums[1:])
         return mix((sums[self.at + self.lengths] - sums[self.at]) * _powers(INVERSE, len(self.line) + 1)[self.at])
 
+    def each(self) -> pa.Array:
+        """The text of every word."""
+        inside = np.ones(len(self.line), bool)
+        inside[self.at + self.lengths] = False
+        offsets = np.zeros(len(self) + 1, np.int64)
+        np.cumsum(self.lengths, out=offsets[1:])
+        return pa.Array.from_buffers(pa.large_string(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(self.line[inside])])
+
     def slices(self, first: np.ndarray, last: np.ndarray) -> pa.Array:
         """The text from word ``first`` to word ``last`` of each pair."""
         begin, sizes = self.at[first], self.at[last] + self.lengths[last] - self.at[first]
@@ -90,41 +108,42 @@ class Words:
 
 
 def _slices_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches put together and cut to about AT_ONCE bytes of text, or one row."""
-    held, size = [], 0
-
-    def cut() -> Iterator[pa.RecordBatch]:
-        for batch in pa.Table.from_batches(held).combine_chunks().to_batches():
-            yield from pieces(batch, column, AT_ONCE)
-
+    """Batches cut to about AT_ONCE bytes of text, or one row."""
     for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            size += batch.column(column).nbytes
-        if size >= AT_ONCE:
-            yield from cut()
-            held, size = [], 0
-    if held:
-        yield from cut()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        yield from slices(batch, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), AT_ONCE)
 
 
 def _totals(tables: Iterator[pa.Table], schema: pa.Schema, count: str) -> Iterator[pa.RecordBatch]:
-    """Sums of ``count`` by the other columns, as far as a task can add up within HELD rows."""
+    """Sums of ``count`` by the other columns. What does not fit HELD rows is handed on, the smallest sums first."""
     keys = [c for c in schema.names if c != count]
-    held = None
+    held, rows = [], 0
 
-    def added(table: pa.Table) -> pa.Table:
-        sums = table.group_by(keys).aggregate([(count, "sum")])
+    def added() -> pa.Table:
+        sums = pa.concat_tables(held).group_by(keys).aggregate([(count, "sum")])
         return sums.rename_columns([count if c == f"{count}_sum" else c for c in sums.column_names]).select(schema.names)
 
     for table in tables:
-        table = added(table.select(schema.names).cast(schema))
-        held = table if held is None else added(pa.concat_tables([held, table]))
-        if held.num_rows > HELD:
-            yield from held.cast(schema).to_batches(max_chunksize=50_000)
-            held = None
-    if held is not None:
-        yield from held.cast(schema).to_batches(max_chunksize=50_000)
+        held.append(table.select(schema.names).cast(schema))
+        rows += table.num_rows
+        if rows > HELD:
+            sums = added()
+            if 2 * sums.num_rows > HELD:
+                order = np.argsort(sums[count].to_numpy())
+                yield from sums.take(order[: -HELD // 4]).cast(schema).to_batches(max_chunksize=50_000)
+                sums = sums.take(order[-HELD // 4 :])
+            held, rows = [sums], sums.num_rows
+    if held:
+        yield from added().cast(schema).to_batches(max_chunksize=50_000)
+
+
+def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, the sum of each, and the place where each occurs."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), ordered[1:] != ordered[:-1]]))
+    sums = np.add.reduceat(counts[order], first) if len(first) else np.zeros(0, np.int64)
+    return ordered[first], sums, order[first]
 
 
 def _schema(**kinds: pa.DataType) -> pa.Schema:
@@ -132,8 +151,7 @@ def _schema(**kinds: pa.DataType) -> pa.Schema:
 
 
 CHUNKS = _schema(lang=pa.large_string(), chunk=pa.large_string(), own=pa.int32(), freq=pa.int64())
-WORDS = _schema(lang=pa.large_string(), part=pa.large_string(), hash=pa.int64(), f=pa.int64())
-PAIRS = _schema(hash=pa.int64(), f=pa.int64())
+HASHES = _schema(n_words=pa.int32(), hash=pa.int64(), f=pa.int64())
 PHRASES = _schema(lang=pa.large_string(), part=pa.large_string(), n_words=pa.int32(), f=pa.int64())
 
 
@@ -180,22 +198,26 @@ def chunk_dictionary(docs: DataFrame) -> DataFrame:
 
 
 class Owned:
-    """The words of a batch of chunks, with language, frequency, hash, and whether their chunk owns them."""
+    """The words of a batch of chunks: code and hash of each in its language, its chunk's frequency, and whether that owns it."""
 
     def __init__(self, batch: pa.RecordBatch):
         self.words = Words(batch.column("chunk"))
-        row = self.words.text
+        n, row = len(self.words), self.words.text
         per_row = np.bincount(row, minlength=batch.num_rows)
-        place = np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
+        place = np.arange(n) - np.repeat(np.cumsum(per_row) - per_row, per_row)
         self.own = place < batch.column("own").to_numpy()[row]
         self.freq = batch.column("freq").to_numpy()[row]
         self.langs = batch.column("lang")
-        coded = self.langs.dictionary_encode()
-        seeds = [int.from_bytes(hashlib.blake2b(v.encode(), digest_size=8).digest(), "little") for v in coded.dictionary.to_pylist()]
-        self.hash = self.words.hashes() ^ np.array(seeds, np.uint64)[coded.indices.to_numpy()][row]
-
-    def lang(self, which: np.ndarray) -> pa.Array:
-        return self.langs.take(pa.array(self.words.text[which]))
+        langs = self.langs.dictionary_encode()
+        lang = langs.indices.to_numpy()[row].astype(np.int64)
+        coded = self.words.each().dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64)
+        known = Words(coded.dictionary).hashes()
+        seeds = [int.from_bytes(hashlib.blake2b(v.encode(), digest_size=8).digest(), "little") for v in langs.dictionary.to_pylist()]
+        self.hash = known[code] ^ np.array(seeds, np.uint64)[lang] if n else np.zeros(0, np.uint64)
+        #: Equal for equal words of a language, and below n_codes.
+        self.code = code * max(1, len(langs.dictionary)) + lang
+        self.n_codes = max(1, len(coded.dictionary) * len(langs.dictionary))
 
     def pairs(self) -> np.ndarray:
         """The hash of each word with the one behind it."""
@@ -219,51 +241,48 @@ class Bitmap:
         return (self.bits.value[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _frequent_words(chunks: DataFrame, least: int) -> DataFrame:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found() -> Iterator[pa.Table]:
-            for batch in _slices_of(batches, "chunk"):
-                c = Owned(batch)
-                which = np.flatnonzero(c.own)
-                yield pa.table({"lang": c.lang(which), "part": c.words.slices(which, which), "hash": c.hash[which].view(np.int64), "f": c.freq[which]})
-
-        return _narrow(_totals(found(), WORDS, "f"))
-
-    counted = chunks.mapInArrow(count, "lang string, part string, hash long, f long")
-    return counted.groupBy("lang", "part", "hash").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-
-
-def _frequent_pairs(chunks: DataFrame, words: Bitmap, least: int) -> DataFrame:
-    """Hashes that stand for at least ``least`` pairs: those of all frequent pairs, and perhaps others."""
+def _frequent_hashes(chunks: DataFrame, least: int) -> DataFrame:
+    """n_words (1 or 2) and hash of all words and pairs that are frequent, and perhaps of others."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[pa.Table]:
             for batch in _slices_of(batches, "chunk"):
                 c = Owned(batch)
-                known = words.holds(c.hash)
-                which = np.flatnonzero((c.own & c.words.goes_on & known)[:-1] & known[1:])
-                yield pa.table({"hash": c.pairs()[which].view(np.int64), "f": c.freq[which]})
+                paired = np.flatnonzero((c.own & c.words.goes_on)[:-1])
+                owned = np.flatnonzero(c.own)
+                for n, hashes, freq in ((1, c.hash[owned], c.freq[owned]), (2, c.pairs()[paired], c.freq[paired])):
+                    keys, sums, _ = _sums(hashes.view(np.int64), freq)
+                    yield pa.table({"n_words": np.full(len(keys), n, np.int32), "hash": keys, "f": sums})
 
-        return _totals(found(), PAIRS, "f")
+        return _totals(found(), HASHES, "f")
 
-    return chunks.mapInArrow(count, "hash long, f long").groupBy("hash").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    counted = chunks.mapInArrow(count, "n_words int, hash long, f long")
+    return counted.groupBy("n_words", "hash").agg(F.sum("f").alias("f")).where(F.col("f") >= least).drop("f")
 
 
 def _frequent_phrases(chunks: DataFrame, words: Bitmap, pairs: Bitmap, least: int) -> DataFrame:
+    """lang, part, n_words and f of the frequent words and phrases."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[pa.Table]:
             for batch in _slices_of(batches, "chunk"):
                 c = Owned(batch)
-                known = words.holds(c.hash)
-                linked = c.words.goes_on[:-1] & known[:-1] & known[1:]
-                linked[linked] = pairs.holds(c.pairs()[linked])
-                which = np.flatnonzero(c.own[:-1] & linked)
-                for n in range(2, MOST_WORDS + 1):
-                    if n > 2:
-                        which = which[which + n - 2 < len(linked)]
-                        which = which[linked[which + n - 2]]
-                    size = np.full(len(which), n, np.int32)
-                    yield pa.table({"lang": c.lang(which), "part": c.words.slices(which, which + n - 1), "n_words": size, "f": c.freq[which]})
+                linked = c.words.goes_on.copy()
+                linked[:-1] &= words.holds(c.hash[:-1]) & words.holds(c.hash[1:])
+                linked[linked] = pairs.holds(c.pairs()[linked[:-1]])
+                which, key = np.flatnonzero(c.own & words.holds(c.hash)), c.code
+                for n in range(1, MOST_WORDS + 1):
+                    if n > 1:
+                        which = which[linked[which + n - 2]]  # words n - 1 and n of the phrase are a frequent pair
+                    # The key of a phrase is made of the key of all but its last word and the code of that: both exact.
+                    keys = key[which] * c.n_codes + c.code[which + n - 1] if n > 1 else c.code[which]
+                    distinct, sums, at = _sums(keys, c.freq[which])
+                    first = which[at]
+                    key = np.zeros(len(c.code), np.int64)
+                    key[which] = np.searchsorted(distinct, keys)
+                    lang = c.langs.take(pa.array(c.words.text[first]))
+                    size = np.full(len(first), n, np.int32)
+                    yield pa.table({"lang": lang, "part": c.words.slices(first, first + n - 1), "n_words": size, "f": sums})
 
         return _narrow(_totals(found(), PHRASES, "f"))
 
@@ -275,9 +294,9 @@ def _part(first: Column, n: Column) -> Column:
     return F.array_join(F.slice("words", first, n), " ")
 
 
-def _scored(phrases: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:
+def _scored(parts: DataFrame, totals: DataFrame) -> DataFrame:
     """The lowest score of each phrase over its cuts; parts of a frequent phrase are frequent, so they are all known."""
-    parts = words.select("lang", "part", "f").unionByName(phrases.select("lang", "part", "f"))
+    phrases = parts.where("n_words > 1")
     k = F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)).alias("k")
     cuts = phrases.select("lang", "part", "n_words", "f", F.split("part", " ").alias("words"), k)
     both = cuts.select(
@@ -295,9 +314,9 @@ def _scored(phrases: DataFrame, words: DataFrame, totals: DataFrame) -> DataFram
     return best.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
-def _inner_phrases(phrases: DataFrame) -> DataFrame:
+def _inner_phrases(parts: DataFrame) -> DataFrame:
     """Each shorter phrase inside a phrase, with the largest frequency of one that holds it."""
-    longer = phrases.where("n_words > 2").select("lang", "n_words", "f", F.split("part", " ").alias("words"))
+    longer = parts.where("n_words > 2").select("lang", "n_words", "f", F.split("part", " ").alias("words"))
     inner = F.flatten(
         F.transform(
             F.sequence(F.lit(2), F.col("n_words") - 1),
@@ -319,12 +338,11 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000) -> DataFram
     spark = docs.sparkSession
     chunks = chunk_dictionary(docs)
     totals = chunks.groupBy("lang").agg(F.sum(F.col("own") * F.col("freq")).alias("n"))
-    words = stored(_frequent_words(chunks, least), "words")
-    known = Bitmap(spark, words)
-    pairs = Bitmap(spark, _frequent_pairs(chunks, known, least))
-    phrases = stored(_frequent_phrases(chunks, known, pairs, least), "phrases")
+    hashes = stored(_frequent_hashes(chunks, least), "hashes")
+    words, pairs = (Bitmap(spark, hashes.where(F.col("n_words") == n)) for n in (1, 2))
+    parts = stored(_frequent_phrases(chunks, words, pairs, least), "phrases")
 
-    scored = _scored(phrases, words, totals).join(_inner_phrases(phrases), ["lang", "phrase"], "left")
+    scored = _scored(parts, totals).join(_inner_phrases(parts), ["lang", "phrase"], "left")
     kept = scored.where(F.col("longer").isNull() | (F.col("longer") < F.col("a")))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
     # A language's ranking is cut down in parts first, so that one task only sees the best of each part.
