@@ -111,13 +111,13 @@ def export(spark, o):
         save(filters.project(rows, fields), o.out, fields, o.max_rows)
 
 
-@job("rows pattern fields finished out", "files_per_index")
+@job("rows pattern fields finished out", "files_per_index rows_per_file")
 def export_indices(spark, o):
     rows = filters.tables_like(load(spark, o.rows), o.pattern)
     fields = names(o.fields)
     shaped = filters.project(rows, [*fields, "index"])
-    files = int(o.files_per_index) if o.files_per_index else None
-    writers.export_remaining_indices(shaped, o.out, o.finished, fields, files_per_index=files)
+    sizes = {name: int(value) for name in ("files_per_index", "rows_per_file") if (value := getattr(o, name))}
+    writers.export_remaining_indices(shaped, o.out, o.finished, fields, **sizes)
 
 
 @job("ids rows key value out")

@@ -251,6 +251,9 @@ SELECT {MAP_EXPORT}, 'gcId,policyId,clusterId,channel,network,startDate' AS head
 oracle("csv_capped_files", "retention_policy_map", "SELECT count(*) AS n_rows, true AS within_cap FROM retention_policy_map")
 oracle("csv_by_index", "archive_metrics", "SELECT _id, gcId, src_file AS index FROM archive_metrics")
 oracle("resumed_index_export", "archive_metrics", "SELECT _id, src_file AS index FROM archive_metrics")
+oracle("resumed_index_runs", "archive_metrics", """
+SELECT src_file AS index, CASE WHEN src_file < 'f-2' THEN '0' ELSE '1' END AS run, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_noted
+FROM archive_metrics GROUP BY src_file""")
 oracle("json_records", "archive_metrics", "SELECT * FROM archive_metrics")
 oracle("id_text_file", "listed_ids", "SELECT gcId FROM listed_ids")
 oracle("document_files", "archive_metrics", "SELECT src_file, _id FROM archive_metrics")

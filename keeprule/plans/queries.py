@@ -519,18 +519,31 @@ def csv_by_index(a: Archive) -> DataFrame:
     path = new_folder(a.spark, "index")
     rows = a.archive_metrics.withColumnRenamed("src_file", "index")
     shaped = filters.project(rows, ["_id", "gcId", "index"])
-    writers.write_csv_by_index(shaped, path, ["_id", "gcId"], files_per_index=2)
+    writers.write_csv_by_index(shaped, path, ["_id", "gcId"], rows_per_file=2_000)
     return filters.tables_like(readers.read_csv(a.spark, path), "f-*")
 
 
-@query
-def resumed_index_export(a: Archive) -> DataFrame:
+def _resumed(a: Archive) -> tuple[str, str]:
     """An export whose first run only had two of the indices, and whose last run had nothing to do."""
     path, finished = new_folder(a.spark, "resumed"), new_folder(a.spark, "finished")
-    rows = a.archive_metrics.select("_id", F.col("src_file").alias("index"))
-    for part in (rows.where(F.col("index") < "f-2"), rows, rows):
-        writers.export_remaining_indices(part, path, finished, ["_id"])
-    return readers.read_csv(a.spark, path)
+    rows = a.archive_metrics.select("_id", F.col("src_file").alias("index"), F.lit(1).alias("run"))
+    for run, part in enumerate((rows.where(F.col("index") < "f-2"), rows, rows)):
+        writers.export_remaining_indices(part.withColumn("run", F.lit(run)), path, finished, ["_id", "run"])
+    return path, finished
+
+
+@query
+def resumed_index_export(a: Archive) -> DataFrame:
+    return readers.read_csv(a.spark, _resumed(a)[0]).drop("run")
+
+
+@query
+def resumed_index_runs(a: Archive) -> DataFrame:
+    """Which run wrote each index, and how often it is noted as finished."""
+    path, finished = _resumed(a)
+    noted = a.spark.read.parquet(finished).groupBy("index").agg(F.count("*").alias("n_noted"))
+    written = readers.read_csv(a.spark, path).groupBy("index", "run").agg(F.count("*").alias("n_rows"))
+    return written.join(noted, "index", "full")
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keeprule.operators.exports import remaining_units
+from keeprule.session import new_folder
 
 CSV = {
     "header": True,
@@ -41,18 +42,26 @@ def write_csv_by_index(
     columns: list[str],
     index: str = "index",
     files_per_index: int | None = None,
+    rows_per_file: int | None = None,
     mode: str = "errorifexists",
 ) -> None:
     """A folder of CSV files per value of ``index``; overwriting replaces only the folders written.
 
-    ``files_per_index`` gathers the slices of an index in about so many files, at the price
-    of a shuffle; choose it by the largest index, since each file is written by one task.
+    ``files_per_index`` gathers the slices of an index in about so many files, ``rows_per_file`` in as many as its rows
+    ask for, none longer, at the price of a shuffle. Rows go to files by their place in what was read, so that equal rows spread
+    too; ``rows`` should be read from files, whose order a task that runs again finds unchanged.
     """
     chosen = rows.select(*columns, index)
-    if files_per_index:
-        slot = F.pmod(F.xxhash64(*columns), F.lit(files_per_index))
-        chosen = chosen.withColumn("slot", slot).repartition(index, "slot").drop("slot")
+    if files_per_index or rows_per_file:
+        placed, files = chosen.withColumn("place", F.monotonically_increasing_id()), F.lit(files_per_index)
+        if rows_per_file:
+            sizes = rows.groupBy(F.col(index).alias("sized")).agg(F.ceil(F.count("*") / rows_per_file).alias("files"))
+            placed, files = placed.join(sizes, F.col(index).eqNullSafe(F.col("sized"))), F.col("files")
+        slot = F.pmod(F.xxhash64("place"), files)
+        chosen = placed.withColumn("slot", slot).repartition(index, "slot").select(*columns, index)
     writer = chosen.write.mode(mode).partitionBy(index).options(**CSV)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)  # small slots may be joined in one task
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.csv(path)
@@ -63,7 +72,8 @@ def export_remaining_indices(
 ) -> None:
     """Write the indices that an earlier run did not finish, then note them as finished.
 
-    A run that was cut off left folders which are not noted; they are replaced as a whole.
+    The run settles first which indices those are, on disk; it writes and notes these and no others, whatever appears
+    in the meantime. A run that was cut off left folders which are not noted; they are replaced as a whole.
     """
     spark = rows.sparkSession
     schema = T.StructType([T.StructField(index, T.StringType())])
@@ -73,9 +83,11 @@ def export_remaining_indices(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         done = spark.createDataFrame([], schema)
-    left = rows.join(done, index, "left_anti")
-    write_csv_by_index(left, path, columns, index, mode="overwrite", **settings)
-    remaining_units(rows, done, index).write.mode("append").parquet(finished)
+    settled = new_folder(spark, "indices")
+    remaining_units(rows, done, index).write.parquet(settled)
+    units = spark.read.schema(schema).parquet(settled)
+    write_csv_by_index(rows.join(units, index, "left_semi"), path, columns, index, mode="overwrite", **settings)
+    units.write.mode("append").parquet(finished)
 
 
 def write_json(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -186,3 +186,42 @@ def test_batches_of_a_large_group(spark, repeats):
     packed = sorted(i for r in found for i in r["ids"])
     assert packed == sorted(r["i"] for r in rows.collect())
     assert ids.id_batches(rows.limit(0), "g", "i").count() == 0
+
+
+def test_files_follow_the_size_of_an_index(spark, folder):
+    """A large index, a small one, and 1,000 equal rows that do not end in one file."""
+    spark.sql("SELECT 'big' AS index, id AS v FROM range(3000) UNION ALL SELECT 'small', 7 FROM range(10) UNION ALL SELECT 'same', 1 FROM range(1000)").repartition(
+        6
+    ).write.parquet(f"{folder}/in")
+    rows = spark.read.parquet(f"{folder}/in")
+    writers.write_csv_by_index(rows, f"{folder}/out", ["v"], rows_per_file=250)
+    sizes = {i: [len(csv_rows_of(f)) for f in Path(f"{folder}/out/index={i}").glob("*.csv")] for i in ("big", "small", "same")}
+    assert sum(sizes["big"]) == 3000 and sum(sizes["same"]) == 1000 and sizes["small"] == [10]
+    assert len(sizes["same"]) >= 4 and len(sizes["big"]) >= 12 and max(sizes["same"] + sizes["big"]) <= 250
+    assert sorted(int(r["v"]) for f in Path(f"{folder}/out/index=big").glob("*.csv") for r in csv_rows_of(f)) == list(range(3000))
+
+
+def test_an_index_that_appears_during_an_export_waits_for_the_next(spark, folder, monkeypatch):
+    marker = Path(f"{folder}/late")
+
+    @F.udf("boolean")
+    def there(index):
+        return index != "new" or marker.exists()
+
+    rows = spark.sql("SELECT element_at(array('a', 'b', 'new'), 1 + CAST(id % 3 AS INT)) AS index, id AS v FROM range(30)").where(there("index"))
+    write = writers.write_csv_by_index
+
+    def late(*args, **settings):
+        marker.write_text("")
+        write(*args, **settings)
+
+    monkeypatch.setattr(writers, "write_csv_by_index", late)
+
+    def exported():
+        noted = sorted(r["index"] for r in spark.read.parquet(f"{folder}/finished").collect())
+        return noted, sorted(p.name for p in Path(f"{folder}/out").glob("index=*"))
+
+    writers.export_remaining_indices(rows, f"{folder}/out", f"{folder}/finished", ["v"])
+    assert exported() == (["a", "b"], ["index=a", "index=b"])
+    writers.export_remaining_indices(rows, f"{folder}/out", f"{folder}/finished", ["v"])
+    assert exported() == (["a", "b", "new"], ["index=a", "index=b", "index=new"])
