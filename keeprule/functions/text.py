@@ -6,10 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The two literals of shell dumps and what each becomes in JSON.
-SHELL_INTEGER = r"NumberInt\((\d+)\)"
-SHELL_DATE = r'ISODate\("([^"]+)"\)'
-FLAT_OBJECT = r"\{[^}]+\}"
+# Constructors of the shell notation that hold a number, and those that hold text.
+NUMBER_CONSTRUCTORS = ("NumberInt", "NumberLong", "NumberDecimal")
+TEXT_CONSTRUCTORS = ("ISODate", "ObjectId", "UUID")
 
 # The characters that count as white space at the ends of an id.
 WHITE_SPACE = (
@@ -30,7 +29,29 @@ def or_empty(column: Column) -> Column:
 
 
 def shell_to_json(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, SHELL_INTEGER, "$1"), SHELL_DATE, '"$1"')
+    """Constructors of the shell notation as the JSON value they hold.
+
+    A number may be signed, fractional, in exponent form, and in quotes of either kind; so may a date or an id. A
+    constructor with anything else in it stays as it is, so that the object is seen to be no JSON.
+    """
+    blank, quote = r"\s*", """(["']?)"""
+    number = r"\+?(-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?)"
+    numbers = rf"\b(?:{'|'.join(NUMBER_CONSTRUCTORS)}){blank}\({blank}{quote}{number}\1{blank}\)"
+    texts = rf"""\b(?:{'|'.join(TEXT_CONSTRUCTORS)}){blank}\({blank}(["'])([^"'\\]*)\1{blank}\)"""
+    return F.regexp_replace(F.regexp_replace(text, numbers, "$2"), texts, '"$2"')
+
+
+def flat_objects(text: Column) -> Column:
+    """The objects of a text that hold no object, as an array: each from an opening brace to the next closing one.
+
+    What stands before the first opening brace behind an object, and objects without content, are left out.
+    """
+    closed = F.split(text, r"\}", -1)
+    opened = F.transform(
+        F.slice(closed, F.lit(1), F.size(closed) - 1),
+        lambda p: F.when(F.locate("{", p) > 0, F.substr(p, F.locate("{", p))),
+    )
+    return F.transform(F.filter(opened, lambda p: F.length(p) > 1), lambda p: F.concat(p, F.lit("}")))
 
 
 def text_struct(fields) -> T.StructType:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keeprule.functions.instants import epoch_millis_text
-from keeprule.functions.text import FLAT_OBJECT, json_objects, or_empty, shell_to_json, strip, text_struct, unwrap_array
+from keeprule.functions.text import flat_objects, json_objects, or_empty, shell_to_json, strip, text_struct, unwrap_array
 
 # The fields of a policy dump, in report order.
 POLICY_FIELDS = (
@@ -26,9 +26,8 @@ POLICY_FIELDS = (
 
 def shell_objects(texts: DataFrame, column: str = "value") -> DataFrame:
     """One row ``object`` per flat ``{...}`` found in the text; other columns are kept."""
-    found = F.regexp_extract_all(F.col(column), F.lit(FLAT_OBJECT), F.lit(0))
     others = [c for c in texts.columns if c != column]
-    return texts.select(*others, F.explode(found).alias("object"))
+    return texts.select(*others, F.explode(flat_objects(F.col(column))).alias("object"))
 
 
 def _parsed_objects(objects: DataFrame, fields) -> DataFrame:

@@ -350,3 +350,21 @@ def test_text_starts_are_compared_as_instants(spark):
 def test_case_items_of_flat_files(spark):
     items = spark.createDataFrame([("a", "true"), ("a", None), ("b", "false"), ("c", None)], "gcid string, holdFlag string")
     assert {tuple(r) for r in flags.case_holds(items).collect()} == {("a", "Y"), ("b", "N"), ("c", "N")}
+
+
+@pytest.mark.parametrize(
+    "written, read",
+    [
+        ("NumberInt(5)", "5"), ("NumberInt(-5)", "-5"), ("NumberInt( '7' )", "7"), ('NumberLong("12345678901")', "12345678901"),
+        ("NumberLong(+3)", "3"), ('NumberDecimal("1.25")', "1.25"), ("NumberDecimal('-2.5e3')", "-2500.0"),
+        ('ISODate("2001-06-15T12:30:00Z")', "2001-06-15T12:30:00Z"), ("ISODate('2001-06-15')", "2001-06-15"),
+        ("ObjectId('abc')", "abc"), ("NumberInt(x)", None), ("NumberInt('5)", None), ("ISODate()", None), ('"NumberIntervals"', "NumberIntervals"),
+    ],
+)
+def test_values_of_the_shell_notation(spark, written, read):
+    texts = spark.createDataFrame([(f'x {{"name": {written}, "scope": "s"}} {{}} y',)], "value string")
+    rows = dumps.shell_dump_rows(texts, fields=["name", "scope"]).collect()
+    if read is None:
+        assert rows == [] and dumps.unreadable_objects(dumps.shell_objects(texts), ["name", "scope"]).count() == 1
+    else:
+        assert [tuple(r) for r in rows] == [(read, "s")]
