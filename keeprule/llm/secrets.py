@@ -36,6 +36,15 @@ LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
 ESCAPED = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|\w{2,8});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")  # the shortest secret has 12 bytes
+#: Stretches that go on over line ends, as encoded files are wrapped: lines that end in a stretch, and perhaps a last line
+#: that has no more than the rest of it. A stretch begins where no such character stands before.
+LINE = r"[A-Za-z0-9+/_-]{16,}+\r?\n[ \t]*"
+REST = r"[A-Za-z0-9+/_-]++={0,2}(?=[\"'<>),;]*[ \t]*(?:\r?\n|$))"
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])(?:(?:{LINE})++{REST}|(?:{LINE}){{2,}}+)")
+LINE_END = re.compile(r"\s+")
+#: How compressed bytes begin, and what every secret holds.
+BEGINNINGS = (b"\x1f\x8b\x08", b"BZh", b"\xfd7zXZ\x00")
+READABLE = re.compile(rb"[\x20-\x7e]{12}")
 #: A layer that unpacks to more bytes than this is searched as a stream, in windows cut where no pattern can match across.
 #: Where no such place comes within as many characters, windows overlap by OVERLAP; the layer is counted in n_too_large.
 MAX_LAYER = 64 << 20
@@ -170,25 +179,51 @@ class Large:
         yield text, True
 
 
-def _from_base64(run: str) -> str | Large | None:
-    """The text inside a base64 stretch, through any compression; None if it holds no text."""
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
+def _content(data: bytes) -> str | Large | None:
+    """The text of bytes, through any compression; None if they hold no text."""
     packed = False
     try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
         while (inner := _whole(_unpacked(data, iter(())))) is not None and inner != data:
             data, packed = inner, True
         # The last character of compressed bytes that were cut short may not be whole.
         text = codecs.getincrementaldecoder("utf-8")().decode(data, not packed)
     except OverflowError:
         return Large(data)
-    except (binascii.Error, ValueError):
+    except ValueError:
         return None
     return text or None
 
 
+def _bytes_of(body: str) -> bytes:
+    """The bytes of a stretch, without a last character that stands for less than a byte."""
+    if len(body) % 4 == 1:
+        body = body[:-1]
+    return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
+
+
+def _from_base64(run: str) -> Iterator[str | Large]:
+    """The texts inside a base64 stretch.
+
+    If the stretch as a whole is text, or compressed text, that is all. Otherwise something is glued to it, as in paths:
+    it is read from each of its first four characters, one of which is right for whatever begins further on. Bytes that
+    are no text become marks of replacement there, and compressed bytes are opened wherever they begin.
+    """
+    body = run.rstrip("=").replace("-", "+").replace("_", "/")
+    if len(body) % 4 != 1 and (text := _content(_bytes_of(body))) is not None:
+        yield text
+        return
+    for skipped in range(4):
+        data = _bytes_of(body[skipped:])
+        for beginning in BEGINNINGS:
+            at = data.find(beginning)
+            while at >= 0:
+                if (text := _content(data[at:])) is not None:
+                    yield text
+                at = data.find(beginning, at + 1)
+        if READABLE.search(data):
+            yield data.decode("utf-8", "replace")
+
+
 def _children(text: str) -> Iterator[tuple[str | Large, list[int] | None, int, int]]:
     """Layers inside a layer: text, the start in the parent of each character (None: all at start), start and end."""
     if "%" in text or "\\" in text or "&" in text:
@@ -207,9 +242,12 @@ def _children(text: str) -> Iterator[tuple[str | Large, list[int] | None, int, i
             starts += range(at, len(text) + 1)
             yield "".join([*parts, text[at:]]), starts, 0, len(text)
     for m in BASE64.finditer(text):
-        inner = _from_base64(m[0])
-        if inner is not None:
+        for inner in _from_base64(m[0]):
             yield inner, None, m.start(), m.end()
+    if "\n" in text:
+        for m in WRAPPED.finditer(text):
+            for inner in _from_base64(LINE_END.sub("", m[0])):
+                yield inner, None, m.start(), m.start() + len(m[0].rstrip())
 
 
 def all_spans(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]], int, int]:
