@@ -127,7 +127,8 @@ def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 rows.append(x.astype(np.float32).tobytes())
             pattern = pa.array(pattern_of(votes(measured)))
             levels = pa.array(list(_levels(measured)), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pattern, levels, pa.array(rows, pa.binary())], ["pattern", "levels", "words"])
+            columns = [pattern, levels, pa.array(rows, pa.binary()), part.column("n")]
+            yield pa.RecordBatch.from_arrays(columns, ["pattern", "levels", "words", "n"])
 
 
 def fit(docs: DataFrame, sample_rows: int = 4000, rounds: int = 300) -> tuple[LabelModel, np.ndarray]:
@@ -137,8 +138,11 @@ def fit(docs: DataFrame, sample_rows: int = 4000, rounds: int = 300) -> tuple[La
     patterns = counted.groupBy("pattern").agg(F.sum("n").alias("n")).toPandas()  # 3 ** labellers at most
     model = LabelModel.fit(patterns["pattern"].to_numpy(), patterns["n"].to_numpy(float))
     total = int(patterns["n"].sum())
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < sample_rows / max(1, total) * (1 << 30)
-    sample = rows.where(draw).select("text").mapInArrow(_sample_batches, "pattern long, levels array<long>, words binary").toPandas()
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    draw = place < sample_rows / max(1, total) * (1 << 30)
+    # Rows that repeat are drawn together: they travel as one with their number, and 2 * sample_rows is a firm bound.
+    drawn = rows.where(draw).groupBy("doc_id", "text").agg(F.count("*").alias("n")).orderBy(place, "doc_id", "text").limit(2 * sample_rows)
+    sample = drawn.select("text", "n").mapInArrow(_sample_batches, "pattern long, levels array<long>, words binary, n long").toPandas()
     weights = np.zeros(SIZE + 1)
     if len(sample):
         x = np.zeros((len(sample), SIZE + 1), np.float32)
@@ -146,9 +150,10 @@ def fit(docs: DataFrame, sample_rows: int = 4000, rounds: int = 300) -> tuple[La
         x[np.arange(len(sample))[:, None], np.stack(sample["levels"]) + 1] = 1
         x[:, 0] = 1
         y = model.posterior(sample["pattern"].to_numpy())
+        share = sample["n"].to_numpy(float) / sample["n"].sum()
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-            weights -= 1.0 * (x.T @ (p - y) / len(y) + 1e-4 * weights)
+            weights -= 1.0 * (x.T @ (share * (p - y)) + 1e-4 * weights)
     return model, weights
 
 
