@@ -15,6 +15,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 EDIT_PART = 12
 #: Items that are searched in one pass over the documents; more items take more passes.
@@ -107,12 +108,14 @@ class Searcher:
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items (item_id, plain text) in blocks of about ITEMS_AT_ONCE; items without text are left out."""
-    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select("item_id", "text").distinct()
+    """The items (item_id, plain text) in blocks of about ITEMS_AT_ONCE; items without text are left out, those without an id
+    are searched, and equal items count once."""
+    items = benchmark.where(F.col("text").isNotNull()).select("item_id", "text").distinct()
     n = max(1, -(-items.count() // ITEMS_AT_ONCE))
     for block in range(n):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block).collect()  # one block
-        yield sorted((r["item_id"], plain(r["text"])) for r in rows if r["text"].split())
+        found = [(r["item_id"], plain(r["text"])) for r in rows if r["text"].split()]
+        yield sorted(found, key=lambda item: (item[0] is None, item[0] if item[0] is not None else 0, item[1]))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -121,7 +124,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     end_at counts characters of the text in lower case with single spaces. Items without a word are not searched; null
     and empty texts hold nothing. Other columns are left out.
     """
-    found = None
+    found, item_type = None, to_arrow_type(benchmark.schema["item_id"].dataType)
     for items in item_blocks(benchmark):
 
         def search(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
@@ -135,10 +138,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 ]
                 at, item, distance, end = zip(*hits, strict=True) if hits else ((), (), (), ())
                 columns = [batch.column("doc_id").take(pa.array(at, pa.int64()))]
-                columns += [pa.array(x, pa.int64()) for x in (item, distance, end)]
+                columns += [pa.array(item, item_type), pa.array(distance, pa.int64()), pa.array(end, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "distance", "end_at"])
 
-        schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id long, distance long, end_at long"
+        schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {dict(benchmark.dtypes)['item_id']}, distance long, end_at long"
         hits = docs.select("doc_id", "text").mapInArrow(search, schema)
         found = hits if found is None else found.unionByName(hits)
     return found
