@@ -252,7 +252,16 @@ def linked(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with their columns, of one document of each group of linked ones: that of the smallest id."""
+    """The rows of ``docs``, with their columns, of one document of each group of linked ones: that of the smallest id.
+
+    A document is an id: if rows of the kept id differ in text, each text stays once, with the least of its other
+    columns (which need an order, so they are no maps). Rows without an id belong to no group and stay as they are.
+    """
     found = linked(docs)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    columns = [F.struct(*[F.col(f"`{c}`") for c in others])] if others else [F.lit(0)]
+    rows = docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", "text", columns[0].alias("other columns"))
+    once = rows.groupBy("doc_id", "text").agg(F.min("other columns").alias("other columns"))
+    named = [F.col(c) if c in ("doc_id", "text") else F.col("other columns")[c].alias(c) for c in docs.columns]
+    return once.select(*named).unionByName(docs.where(F.col("doc_id").isNull()))
