@@ -1,10 +1,12 @@
 """Toxicity by a weighted finite-state grammar over the words of a clause.
 
-Five small transducers read a clause word by word: insult and threat put out a weight, target, negation and reported
-speech put out a mark that holds for what follows or stands near. Composed, they score the matched phrases of each
-clause in context instead of isolated words. Weights of insults are learned: stems (word beginnings and whole words)
-that labelled toxic documents hold far more often than others. A logistic model over the sums of the clause scores gives
-the probability.
+Five transducers are tables of states and weighted arcs over kinds of words. Negation, reported speech and target hand
+on what they read with a mark, as far as their scope reaches; insult and threat weigh what is marked. Composed, they are
+one machine, and a clause's score is the weight of its path: the same word counts more where it is aimed at someone,
+half where somebody is quoted, not at all where it is denied, and a threat counts only with a target behind it.
+
+The lexicon of insults is learned: words, or beginnings of at least four letters, that labelled toxic documents hold far
+more often than others. A logistic model over the clause scores, and nothing else, gives the probability.
 """
 
 from __future__ import annotations
@@ -13,6 +15,9 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import product
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
@@ -22,12 +27,14 @@ from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE_END = re.compile(r"[.!?;:\n]+")
-STEM_LETTERS = (3, 14)
+STEM_LETTERS = (4, 14)
 #: A stem counts if so many toxic documents of the sample hold it, and this part of them.
 MIN_DOCS, MIN_PART = 4, 0.01
 MIN_WEIGHT, GAIN = 4.0, 1.0
-#: How many of the words after a negation it covers.
-NEGATION_SCOPE = 3
+#: A stem is taken for one word if that word has so large a part of its documents.
+ONE_WORD = 0.8
+#: How many of the words after a negation or a target they cover, and how many words a threat waits for its target.
+NEGATION_SCOPE, TARGET_SCOPE, THREAT_REACH = 3, 3, 2
 
 THREATS = frozenset("kill hurt destroy shoot stab burn töten schlagen tuer frapper matar golpear".split())
 TARGETS = frozenset("you your yours he she they them him her du dich dein sie ihr tu toi ton vous il elle tú usted él ella".split())
@@ -36,9 +43,112 @@ REPORTS = frozenset("said says say quoted called wrote claims sagte sagt schrieb
 WORDS_OF = (("threat", THREATS), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS))
 KIND = {word: kind for kind, words in WORDS_OF for word in words}
 THREAT_WEIGHT = 2.0
+#: What is left of a weight in reported speech and in a negation, and what an aimed insult gains.
+REPORTED, NEGATED, AIMED = 0.5, 0.0, 1.5
+
+#: What the model sees of a document: whether any clause has a weight, the sum, and the largest.
+FEATURES = ("any", "weight", "best")
+
+KINDS = ("other", "insult", "threat", "target", "negation", "report")
+
+
+class Symbol(NamedTuple):
+    """A kind of word with the marks that transducers put on it."""
+
+    kind: str
+    negated: bool = False
+    reported: bool = False
+    aimed: bool = False
+
+
+ALPHABET = [Symbol(kind, *marks) for kind in KINDS for marks in product((False, True), repeat=3)]
+#: (state, symbol read) to (next state, symbol written, factor of the word's own weight, weight of the arc).
+Arcs = dict[tuple[object, Symbol], tuple[object, Symbol, float, float]]
+
+
+class Transducer(NamedTuple):
+    start: object
+    arcs: Arcs
+
+
+def scope_transducer(kind: str, mark: str, words: int | None) -> Transducer:
+    """Marks the ``words`` symbols after one of ``kind``, or all of them if None. States: how many are still to mark."""
+    most = 1 if words is None else words
+    arcs: Arcs = {}
+    for left in range(most + 1):
+        for read in ALPHABET:
+            written = read._replace(**{mark: True}) if left else read
+            after = left if words is None else max(0, left - 1)
+            arcs[left, read] = (most if read.kind == kind else after, written, 0.0, 0.0)
+    return Transducer(0, arcs)
+
+
+def _kept(read: Symbol) -> float:
+    return (NEGATED if read.negated else 1.0) * (REPORTED if read.reported else 1.0)
+
 
-#: What the model sees of a document, all from its matched phrases.
-FEATURES = ("any", "weight", "best", "aimed", "negated", "reported", "threats")
+def insult_transducer() -> Transducer:
+    """One state; an insult's arc carries the factor that its marks leave of the weight of the word."""
+    weigh = lambda read: _kept(read) * (AIMED if read.aimed else 1.0) if read.kind == "insult" else 0.0
+    return Transducer("any", {("any", read): ("any", read, weigh(read), 0.0) for read in ALPHABET})
+
+
+def threat_transducer() -> Transducer:
+    """Waits after a threat for a target; its arc to a target carries what the threat's marks leave of its weight."""
+    idle = (0, 0.0)
+    states = [idle, *((left, kept) for left in range(1, THREAT_REACH + 1) for kept in sorted({_kept(read) for read in ALPHABET}))]
+    arcs: Arcs = {}
+    for left, kept in states:
+        for read in ALPHABET:
+            if read.kind == "threat":
+                arcs[(left, kept), read] = ((THREAT_REACH, _kept(read)), read, 0.0, 0.0)
+            elif read.kind == "target":
+                arcs[(left, kept), read] = (idle, read, 0.0, THREAT_WEIGHT * kept if left else 0.0)
+            else:
+                arcs[(left, kept), read] = ((left - 1, kept) if left > 1 else idle, read, 0.0, 0.0)
+    return Transducer(idle, arcs)
+
+
+def composed(first: Transducer, second: Transducer) -> Transducer:
+    """The machine that feeds what ``first`` writes to ``second``; weights of both arcs add up."""
+    start = (first.start, second.start)
+    arcs, found, work = {}, {start}, [start]
+    while work:
+        one, two = state = work.pop()
+        for read in ALPHABET:
+            after_one, between, factor_one, weight_one = first.arcs[one, read]
+            after_two, written, factor_two, weight_two = second.arcs[two, between]
+            after = (after_one, after_two)
+            arcs[state, read] = (after, written, factor_one + factor_two, weight_one + weight_two)
+            if after not in found:
+                found.add(after)
+                work.append(after)
+    return Transducer(start, arcs)
+
+
+def cascade() -> list[Transducer]:
+    return [
+        scope_transducer("negation", "negated", NEGATION_SCOPE),
+        scope_transducer("report", "reported", None),
+        scope_transducer("target", "aimed", TARGET_SCOPE),
+        insult_transducer(),
+        threat_transducer(),
+    ]
+
+
+def _numbered(machine: Transducer) -> dict[str, list[tuple[int, float, float]]]:
+    """For each kind of word the next state, factor and weight by state; the start is state 0."""
+    states = {machine.start: 0}
+    for state, _ in machine.arcs:
+        states.setdefault(state, len(states))
+    table = {}
+    for kind in KINDS:
+        rows = [machine.arcs[state, Symbol(kind)] for state in states]
+        table[kind] = [(states[after], factor, weight) for after, _, factor, weight in rows]
+    return table
+
+
+MACHINE = _numbered(reduce(composed, cascade()))
 
 
 @dataclass
@@ -65,34 +175,24 @@ class Grammar:
         found.make_automaton()
         return found
 
-    def phrases(self, clause: str) -> list[tuple[float, bool, bool, bool, bool]]:
-        """(weight, threat, aimed, negated, reported) of each insult or threat of a clause."""
-        found, aimed, covered, reported = [], False, 0, False
+    def phrases(self, clause: str) -> list[tuple[str, float]]:
+        """The words at which the path of a clause through the machine has a weight, with that weight."""
+        state, found = 0, []
         for word in WORD.findall(clause):
-            kind = KIND.get(word)
-            covered = NEGATION_SCOPE if kind == "negation" else max(0, covered - 1)
-            aimed |= kind == "target"
-            reported |= kind == "report"
-            if kind == "threat":
-                found.append((THREAT_WEIGHT, True, covered > 0, reported))
-            elif weight := self.insult(word):
-                found.append((weight, False, covered > 0, reported))
-        return [(w, threat, aimed, negated, said) for w, threat, negated, said in found if aimed or not threat]
+            kind, own = KIND.get(word), 0.0
+            if kind is None:
+                own = self.insult(word)
+                kind = "insult" if own else "other"
+            state, factor, weight = MACHINE[kind][state]
+            if factor or weight:
+                found.append((word, factor * own + weight))
+        return found
 
     def features(self, text: str) -> list[float]:
-        """Sums over the matched phrases of a text in lower case."""
-        weight = best = aimed = negated = reported = threats = 0.0
-        for clause in CLAUSE_END.split(text):
-            score = 0.0
-            for w, threat, at, no, said in self.phrases(clause):
-                negated += w * no
-                reported += w * said
-                aimed += w * at
-                threats += threat
-                score += 0.0 if no else w * (0.5 if said else 1.0)
-            weight += score
-            best = max(best, score)
-        return [float(weight > 0), *map(math.log1p, (weight, best, aimed, negated, reported, threats))]
+        """What the clause scores of a text in lower case add up to."""
+        scores = [sum(weight for _, weight in self.phrases(clause)) for clause in CLAUSE_END.split(text)]
+        total = sum(scores)
+        return [float(total > 0), math.log1p(total), math.log1p(max(scores))]
 
     def chance(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.model[0] + features @ self.model[1:], -30, 30)))
@@ -133,13 +233,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, sample_ro
 
 
 def choose_stems(counts, n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Shortest stems with a large weight, and longer ones where they add GAIN to it; weights are log ratios."""
+    """Shortest stems with a large weight, and longer ones where they add GAIN to it; weights are log ratios.
+
+    A stem that stands for little more than one word gives way to the words, so that others which begin so are spared.
+    """
     weights = np.log((counts["toxic"] + 0.5) / (n_toxic + 1)) - np.log((counts["clean"] + 0.5) / (n_clean + 1))
     chosen: dict[str, float] = {}
     for stem, weight in sorted(zip(counts["stem"], weights, strict=True), key=lambda x: (len(x[0]), x[0])):
         inside = max((chosen[stem[:n]] for n in range(STEM_LETTERS[0], len(stem)) if stem[:n] in chosen), default=-1e9)
         if weight >= max(MIN_WEIGHT, inside + GAIN):
             chosen[stem] = float(weight)
+    docs = dict(zip(counts["stem"], counts["toxic"], strict=True))
+    weight_of = dict(zip(counts["stem"], weights, strict=True))
+    for stem in [s for s in chosen if not s.endswith("$")]:
+        words = [w for w in docs if w.endswith("$") and w.startswith(stem) and weight_of[w] >= MIN_WEIGHT]
+        if max((docs[w] for w in words), default=0) >= ONE_WORD * docs[stem]:
+            del chosen[stem]
+            chosen.update({w: float(weight_of[w]) for w in words})
     return chosen
 
 
