@@ -12,6 +12,7 @@ import base64
 import hashlib
 import os
 import re
+import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -181,7 +182,7 @@ def _write(placed: DataFrame, folder: str) -> DataFrame:
                 if shards[first] != now:
                     close()
                     now, digest, n = int(shards[first]), hashlib.sha256(), 0
-                    file = open(f"{folder}/.shard-{now:08d}-{os.getpid()}.part", "wb")  # noqa: SIM115
+                    file = open(f"{folder}/.shard-{now:08d}-{uuid.uuid4().hex}.part", "wb")  # noqa: SIM115
                 run = memoryview(tokens.buffers()[2])[ends[first] : ends[last]]
                 file.write(run)
                 digest.update(run)
