@@ -69,11 +69,14 @@ def names(text: str) -> list[str]:
     return [name.strip() for name in text.split(",")]
 
 
-@job("assignments policies cases instant out", "ids")
+@job("assignments policies cases instant out", "ids totals")
 def flag_table(spark, o):
+    """With ``totals`` also the number of messages per verdict and of assignments without a start."""
     more = [load(spark, o.ids)] if o.ids else []
-    cases = load(spark, o.cases)
-    save(flags.flag_table(load(spark, o.assignments), load(spark, o.policies), cases, o.instant, *more), o.out)
+    tables = load(spark, o.assignments), load(spark, o.policies), load(spark, o.cases)
+    save(flags.flag_table(*tables, o.instant, *more), o.out)
+    if o.totals:
+        save(flags.flag_totals(*tables, o.instant, *more), o.totals)
 
 
 @job("assignments policies clusters instant out", "tenancy tenant dense exact_time")

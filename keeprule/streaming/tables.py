@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,12 +39,6 @@ def read_rows(spark: SparkSession, table: str, schema: T.StructType) -> DataFram
     return read_batches(spark, table, schema).drop(*FOLDER_COLUMNS)
 
 
-def rows_before(spark: SparkSession, table: str, schema: T.StructType, writer: str, batch_id: int) -> DataFrame:
-    """All rows but those of the given batch."""
-    own = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
-    return read_batches(spark, table, schema).where(~own).drop(*FOLDER_COLUMNS)
-
-
 def write_batch(rows: DataFrame, table: str, writer: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(batch_folder(table, writer, batch_id))
 

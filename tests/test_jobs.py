@@ -49,6 +49,8 @@ def test_flags_and_counts(spark, run, folder):
     assert sorted(tuple(r) for r in spark.read.parquet(f"{folder}/flags").collect()) == [
         ("g1", "Y", "Y", None), ("g2", "N", "Y", "Y"),
     ]
+    run("flag-table", *common, "--cases", cases, "--out", f"{folder}/flags-again", "--totals", f"{folder}/flag-totals")
+    assert spark.read.parquet(f"{folder}/flag-totals").count() > 0
     gate = ["--clusters", clusters, "--tenancy", tenancy, "--tenant", "t1"]
     run("expiry-counts", *common, *gate, "--out", f"csv:{folder}/sparse")
     assert lines(f"{folder}/sparse", "*.csv")[-1] == "c,1,n,p"
@@ -117,7 +119,7 @@ def test_text_repair(run, folder, capsys):
     run("id-list", "--text", f"{folder}/list", "--out", f"json:{folder}/ids")
     assert lines(f"{folder}/ids", "*.json") == ['{"gcids":["a","b"]}']
     run("id-rows", "--text", f"{folder}/list", "--out", f"csv:{folder}/id-rows")
-    assert lines(f"{folder}/id-rows", "*.csv") == ["gcid", "a", "b"]
+    assert sorted(set(lines(f"{folder}/id-rows", "*.csv"))) == ["a", "b", "gcid"]
     put(f"{folder}/records/a.json", '[{"a": 2, "b": "x"},\n{"a": 1}]')
     run("dedup-rows", "--rows", f"array:{folder}/records", "--out", f"csv:{folder}/records-out")
     assert set(lines(f"{folder}/records-out", "*.csv")) == {"a,b", "2,x", "1,"}
