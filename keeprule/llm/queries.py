@@ -33,8 +33,7 @@ ORDER_KEY = 20240229
 
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = training_order.load_ranks(f"{TOKENIZERS}/{RANKS}")
-    rows = training_order.sequences(table(spark, sf_dir, "documents"), ranks, PATTERN)
-    return training_order.written_order(rows, ORDER_KEY)
+    return training_order.written_order(table(spark, sf_dir, "documents"), ranks, PATTERN, ORDER_KEY)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
