@@ -62,6 +62,13 @@ def slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int):
         start = stop
 
 
+def coded_units(data: np.ndarray, starts: np.ndarray) -> pa.DictionaryArray:
+    """UTF-8 bytes cut at ``starts``, of which the first is 0, as codes and distinct units."""
+    bounds = np.append(starts, len(data)).astype(np.int64)
+    units = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+    return units.dictionary_encode()
+
+
 def segment_ids(lengths: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(lengths)), lengths)
 

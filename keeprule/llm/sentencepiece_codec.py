@@ -12,7 +12,6 @@ state before it (two pieces may follow each other if BPE leaves their concatenat
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,10 +21,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keeprule.llm.common import pieces, run_positions, slices
+from keeprule.llm.common import coded_units, pieces, run_positions, slices, text_bytes
 
 MARK = "▁"
-WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Bytes of text, or ids, that are worked on at once.
 AT_ONCE, IDS_AT_ONCE = 2_000_000, 600_000
 #: Words and pairs of pieces that a task keeps at most, but for those of one text.
@@ -72,6 +70,26 @@ class Vocabulary:
         return cls(text, scores, bytes_of, byte_ids, unknown, model.trainer_spec.model_type == model.trainer_spec.BPE)
 
 
+def marked(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes and offsets of ``texts`` with marks for spaces, and one in front of each that is not empty."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    lead = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", MARK).cast(pa.large_string())
+    empty = pa.scalar("", pa.large_string())
+    return text_bytes(pc.binary_join_element_wise(lead, pc.replace_substring(texts, " ", MARK), empty))
+
+
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where words of texts that lie behind each other start: at texts, and at marks that follow no mark."""
+    one, two, three = MARK.encode()
+    marks = np.flatnonzero(data == one)
+    marks = marks[marks + 2 < len(data)]
+    marks = marks[(data[marks + 1] == two) & (data[marks + 2] == three)]
+    cut = np.zeros(len(data), bool)
+    cut[marks[np.diff(marks, prepend=-len(MARK.encode()) - 1) != len(MARK.encode())]] = True
+    cut[offsets[:-1][np.diff(offsets) > 0]] = True
+    return np.flatnonzero(cut)
+
+
 class Encoder:
     """Encodes sorted distinct words, sharing the states of common prefixes."""
 
@@ -210,11 +228,12 @@ class Encoder:
         self.again[rows[rows < before]] = True
         return rows
 
-    def encode_texts(self, texts: list[str]) -> pa.ListArray:
-        """Ids of each text."""
-        found = [WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        coded = pa.array([w for words in found for w in words], pa.string()).dictionary_encode()
+    def encode_texts(self, texts: pa.Array | list[str]) -> pa.ListArray:
+        """Ids of each text; a null has none."""
+        data, offsets = marked(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        starts = word_starts(data, offsets)
+        counts = np.diff(np.searchsorted(starts, offsets))
+        coded = coded_units(data, starts)
         words = coded.dictionary.to_pylist()
         rows = self._rows(words)
         lengths, starts = np.diff(self.ends)[rows], self.ends[rows]
@@ -260,7 +279,7 @@ def _coded(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...], known
         for batch in batches:
             for part in pieces(batch, "coded text", AT_ONCE):
                 texts = part.column("coded text")
-                ids = encoder.encode_texts(texts.fill_null("").to_pylist())
+                ids = encoder.encode_texts(texts)
                 n = pa.array(np.diff(ids.offsets.to_numpy()).astype(np.int64))
                 if texts.null_count:
                     ids = pa.ListArray.from_arrays(ids.offsets, ids.values, mask=texts.is_null())

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from keeprule.llm.common import pieces, run_positions, stored, text_bytes
+from keeprule.llm.common import coded_units, pieces, run_positions, stored, text_bytes
 from keeprule.llm.shingles import mix
 from keeprule.operators.positions import positions
 from keeprule.session import new_folder
@@ -113,9 +113,7 @@ class Tokenizer:
         """
         data, offsets = text_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
         starts = unit_starts(data, offsets)
-        bounds = np.append(starts, len(data)).astype(np.int64)
-        units = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
-        coded = units.dictionary_encode()
+        coded = coded_units(data, starts)
         flat, lengths = self.encode_units(coded.dictionary)
         # The end of a text is one more unit, with the last code.
         counts = np.diff(np.searchsorted(starts, offsets)) + 1

@@ -13,6 +13,7 @@ from pathlib import Path
 from urllib.parse import quote
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -277,6 +278,19 @@ def test_round_trip_is_encoding_and_decoding(spark, vocabulary, monkeypatch):
     assert [small.encode_texts([t]).to_pylist()[0] for t in texts] == usual.encode_texts(texts).to_pylist()
 
 
+def test_words_of_odd_texts_are_cut_at_marks(vocabulary):
+    import sentencepiece
+
+    rng = np.random.default_rng(2)
+    letters = ["a", "B", " ", "  ", "▁", "▁▁", "\n", "é", "字", "🙂", "word", "▂"]
+    texts = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 30, 2000)]
+    library = sentencepiece.SentencePieceProcessor(model_file=f"{TOKENIZERS}/{PIECES}")
+    coder = sentencepiece_codec.Encoder(vocabulary)
+    assert coder.encode_texts(texts).to_pylist() == [library.encode(t) for t in texts]
+    assert coder.encode_texts(pa.array([None, ""], pa.string())).to_pylist() == [[], []]
+    assert coder.encode_texts([]).to_pylist() == []
+
+
 def test_unigram_takes_the_best_sum():
     text = {p: n for n, p in enumerate(["▁a", "b", "▁ab", "c", "bc"])}
     small = sentencepiece_codec.Vocabulary(text, [-1.0, -1.0, -5.0, -4.0, -3.0], [], [], 9, bpe=False)
