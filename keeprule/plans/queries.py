@@ -301,8 +301,10 @@ def file_documents(a: Archive) -> DataFrame:
     opened = F.col("value").startswith('{"archiveMetricIds":[') == (F.row_number().over(before) == 1)
     closed = F.col("value").endswith("]}") == (F.col("part") == F.max("part").over(last))
     checked = fragments.withColumn("whole", opened & closed)
-    listed = F.regexp_extract_all("value", F.lit('"(am-[^"]*)"'), F.lit(1))
-    return checked.select(F.explode(listed).alias("_id"), "whole", (F.array_sort(listed) == listed).alias("in_order"))
+    ids_of = checked.select(F.regexp_extract_all("value", F.lit('"(am-[^"]*)"'), F.lit(1)).alias("ids"), "whole")
+    # Once for a fragment: beside the explode it would be worked out for each of the fragment's ids.
+    ordered = ids_of.withColumn("in_order", F.array_sort("ids") == F.col("ids"))
+    return ordered.select(F.explode("ids").alias("_id"), "whole", "in_order")
 
 
 @query

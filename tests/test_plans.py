@@ -95,3 +95,12 @@ def test_diff_gathers_nothing(stored):
     plan = plan_of(diff.assignment_diff(stored["map_before"], stored["map_after"]))
     assert "collect_list" not in plan and "Window" not in plan
     assert shuffles(plan) <= 4  # before adaptive execution reuses the counts
+
+
+def test_fragments_are_checked_once_and_not_for_each_id(spark, tmp_path):
+    orders = spark.range(2_000).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "'1-URGENT' AS o_orderpriority")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = QUERIES["file_documents"](spark, str(tmp_path))
+    above, below = found._jdf.queryExecution().optimizedPlan().toString().split("Generate explode", 1)
+    assert "array_sort" in below and "array_sort" not in above and "regexp" not in above
+    assert found.groupBy("whole", "in_order").agg({"_id": "count"}).collect() == [(True, True, 2_000)]
