@@ -133,7 +133,7 @@ class KeyedTable:
         touched = self.buckets_of(new)
         full = [b for b in touched if len(state.runs.get(b, ())) >= self.most_runs]
         out = new.unionByName(self._in_runs(spark, state, full)).withColumn("bucket", bucket_of(self.key, self.buckets))
-        out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.runs_folder}/seq={seq}")
+        out.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.runs_folder}/seq={seq}")
         runs = {**state.runs, **{b: [*([] if b in full else state.runs.get(b, [])), seq] for b in touched}}
         stale = [self._run(s, b) for b in full for s in state.runs[b]]
         stale += [batch_folder(self.path, f["writer"], n) for f in folders for n in range(f["first"], f["last"] + 1)]
@@ -153,9 +153,11 @@ class BucketedRows:
     files_per_bucket: int = 1
 
     def write(self, rows: DataFrame, mode: str = "errorifexists") -> None:
-        """A bucket goes to ``files_per_bucket`` tasks by a hash of all columns, as one key may have very many rows."""
+        """A bucket goes to ``files_per_bucket`` tasks by a hash of all columns, as one key may have very many rows; what
+        is too much for one task is dealt on to several, and each writes a file of its own."""
         bucket, slot = bucket_of(self.key, self.buckets), F.pmod(F.xxhash64(F.lit(1), *rows.columns), F.lit(self.files_per_bucket))
-        dealt = rows.withColumn("bucket", bucket).withColumn("slot", slot).repartition("bucket", "slot").drop("slot")
+        placed = rows.withColumn("bucket", bucket).withColumn("slot", slot)
+        dealt = placed.hint("rebalance", F.col("bucket"), F.col("slot")).drop("slot")
         dealt.write.mode(mode).partitionBy("bucket").parquet(self.path)
 
     def rows(self, spark: SparkSession, buckets: list[int] | None = None) -> DataFrame:

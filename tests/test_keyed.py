@@ -111,3 +111,26 @@ def test_bucketed_rows_are_pruned(spark, folder):
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [bucket" in plan
     assert stored.rows(spark, []).count() == 0
+
+
+@pytest.mark.parametrize("stored_as", ["rows", "run"])
+def test_a_large_bucket_is_written_by_several_tasks(spark, folder, stored_as):
+    """One key has all rows, and rows that are equal; no task takes the whole bucket, whatever its size."""
+    rows = spark.range(0, 200_000, 1, 8).select(F.lit("k").alias("k"), F.pmod(F.xxhash64(F.col("id") % 150_000), F.lit(1 << 60)).alias("v"))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "300k")
+    try:
+        if stored_as == "rows":
+            table = BucketedRows(f"{folder}/b", rows.schema, "k", buckets=4)
+            table.write(rows)
+            files = table.rows(spark).inputFiles()
+        else:
+            table = KeyedTable(f"{folder}/t", SCHEMA, "k", buckets=4, fold_after=1)
+            write_batch(rows, table.path, "w", 0)
+            assert table.fold_before(spark, "w", 1)
+            files = table._in_runs(spark, table.state(spark), list(range(4))).inputFiles()
+    finally:
+        spark.conf.set(name, before)
+    assert len(files) >= 3 and len({f.split("/bucket=")[1][0] for f in files}) == 1
+    assert table.rows(spark).groupBy("k", "v").count().groupBy("count").count().orderBy("count").collect() == [(1, 100_000), (2, 50_000)]
