@@ -1,9 +1,9 @@
 """The objects of JSON arrays and lists in text files of any size, cut where they really begin and end.
 
 A file is read in pieces that end before a brace, so that one large file is many splits and many tasks. Whether a piece
-begins inside a string, and how deep in objects, follows from all pieces before it. Each split reports what it does to
-quotes and depth for both cases of how it may begin; sums over the few splits of a file give each split's true start.
-Then every piece knows its depth, and an object is the pieces from depth 0 back to depth 0.
+begins inside a string, and how deep in objects, follows from all pieces before it. Pieces are taken in short runs. Each
+run reports what it does to quotes and depth for both cases of how it may begin; sums over the runs of a file give each
+run's true start. Then every piece knows its depth, and an object is the pieces from depth 0 back to depth 0.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from keeprule.functions.text import text_struct
 from keeprule.session import new_folder
 
-SPLIT = ["path", "block"]
+#: The pieces of a split are worked on in runs of at most 2 ** RUN_BITS, so that no task has to hold a whole split.
+RUN_BITS = 12
+RUN = ["of", "block", "run"]
 
 
 def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -59,31 +61,44 @@ def _effects(pieces: DataFrame, quote: str) -> DataFrame:
     )
 
 
-def _with_state(pieces: DataFrame, quote: str) -> DataFrame:
-    """Pieces with ``depth`` (of objects open before their brace) and ``in_string`` (whether the brace is in one).
+def _stored_pieces(spark: SparkSession, path: str | list[str], quote: str) -> tuple[DataFrame, DataFrame]:
+    """The pieces with their effects, cut in runs, and ``of, file``: the number that stands for each file in them.
 
-    Windows run within a split; over the splits of a file only one row for each is added up.
+    They are written to the shared folder once: all that follows sees the same rows and numbers of rows.
     """
-    before = Window.partitionBy(*SPLIT).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
-
-    def first_piece(rows: DataFrame) -> DataFrame:
-        """The first piece of a file has no brace before it."""
-        number = F.row_number().over(Window.partitionBy(*SPLIT).orderBy("row"))
-        first = (F.col("block") == 0) & (number == 1)
-        return rows.withColumn("first", first).withColumn("turn0", F.when(F.col("first"), 0).otherwise(F.col("turn0")))
+    folder = new_folder(spark, "pieces")
+    found = _effects(_pieces(spark, path), quote)
+    found.write.parquet(folder)
+    written = spark.read.schema(found.schema).parquet(folder)
+    first = F.min(F.when(F.col("block") == 0, F.col("row"))).alias("first row")
+    files = written.groupBy("path", "file").agg(first)
+    files = files.withColumn("of", F.row_number().over(Window.orderBy("path")))  # one row for each file
+    run = F.shiftright("row", RUN_BITS).alias("run")
+    pieces = written.join(F.broadcast(files.select("path", "of", "first row")), "path").select(
+        "of", "block", run, "row", "value", "quotes", "wraps", "turn0", "turn1",
+        ((F.col("block") == 0) & (F.col("row") == F.col("first row"))).alias("first"),
+    )
+    # The first piece of a file has no brace before it.
+    return pieces.withColumn("turn0", F.when(F.col("first"), 0).otherwise(F.col("turn0"))), files.select("of", "file")
+
+
+def _with_state(effects: DataFrame) -> DataFrame:
+    """Pieces with ``depth`` (of objects open before their brace) and ``in_string`` (whether the brace is in one).
 
-    effects = first_piece(_effects(pieces, quote)).withColumn("seen", seen)
+    Windows over pieces run within a run; over the runs of a file only one row for each is added up.
+    """
+    before = Window.partitionBy(*RUN).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    effects = effects.withColumn("seen", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
     as_begun = lambda begun: F.when((F.col("seen") + begun) % 2 == 0, F.col("turn0")).otherwise(F.col("turn1"))
-    splits = effects.groupBy(*SPLIT).agg(
+    runs = effects.groupBy(*RUN).agg(
         F.sum("quotes").alias("quotes"), F.sum(as_begun(0)).alias("turn0"), F.sum(as_begun(1)).alias("turn1")
     )
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    begun = splits.withColumn("begun", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    earlier = Window.partitionBy("of").orderBy("block", "run").rowsBetween(Window.unboundedPreceding, -1)
+    begun = runs.withColumn("begun", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
     turned = begun.withColumn("turn", F.when(F.col("begun") == 0, F.col("turn0")).otherwise(F.col("turn1")))
-    starts = turned.select(*SPLIT, "begun", F.coalesce(F.sum("turn").over(earlier), F.lit(0)).alias("start"))
+    starts = turned.select(*RUN, "begun", F.coalesce(F.sum("turn").over(earlier), F.lit(0)).alias("start"))
 
-    placed = effects.join(F.broadcast(starts), SPLIT)  # one row for each split
+    placed = effects.join(F.broadcast(starts), RUN)  # one row for each run
     inside = (F.col("seen") + F.col("begun")) % 2 == 1
     stated = placed.withColumn("in_string", inside).withColumn("turn", F.when(inside, F.col("turn1")).otherwise(F.col("turn0")))
     return stated.withColumn("depth", F.col("start") + F.coalesce(F.sum("turn").over(before), F.lit(0)))
@@ -94,25 +109,26 @@ def read_objects(spark: SparkSession, path: str | list[str], quote: str = '"') -
 
     ``quote`` is the sign that strings stand in. An object is followed by what separates it from the next, which JSON
     readers leave aside. What never closes is given as it is, and is no JSON. The pieces are written to the shared
-    folder once, with their state.
+    folder twice, as they are and with their state.
     """
+    effects, files = _stored_pieces(spark, path, quote)
     folder = new_folder(spark, "pieces")
-    stated = _with_state(_pieces(spark, path), quote)
+    stated = _with_state(effects)
     begins = ~F.col("first") & ~F.col("in_string") & ~F.col("wraps") & (F.col("depth") == 0)
     inner = ~F.col("first") & (F.col("depth") > 0)
     marked = stated.withColumn("begins", begins.cast("int")).where(begins | inner)
-    marked.select("path", "file", "block", "row", "value", "begins").write.parquet(folder)
+    marked.select(*RUN, "row", "value", "begins").write.parquet(folder)
     written = spark.read.parquet(folder)
 
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = written.groupBy(*SPLIT).agg(F.sum("begins").alias("n"))
-    starts = counts.select(*SPLIT, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    upto = Window.partitionBy(*SPLIT).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("of").orderBy("block", "run").rowsBetween(Window.unboundedPreceding, -1)
+    counts = written.groupBy(*RUN).agg(F.sum("begins").alias("n"))
+    starts = counts.select(*RUN, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    upto = Window.partitionBy(*RUN).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     number = F.col("start") + F.sum("begins").over(upto)
-    numbered = written.join(F.broadcast(starts), SPLIT).withColumn("number", number)
+    numbered = written.join(F.broadcast(starts), RUN).withColumn("number", number)
     parts = F.array_sort(F.collect_list(F.struct("block", "row", "value")))["value"]
-    whole = numbered.groupBy("path", "file", "number").agg(F.concat(F.lit("{"), F.array_join(parts, "{")).alias("object"))
-    return whole.select("file", "object")
+    whole = numbered.groupBy("of", "number").agg(F.concat(F.lit("{"), F.array_join(parts, "{")).alias("object"))
+    return whole.join(F.broadcast(files), "of").select("file", "object")
 
 
 def read_array(spark: SparkSession, path: str | list[str]) -> DataFrame:

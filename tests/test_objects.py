@@ -54,6 +54,23 @@ def test_one_file_of_many_splits(spark, folder, small_splits, wrapped):
     assert got == {r["id"]: (r["s"], r.get("n"), r.get("long")) for r in made} and len(found) == len(made)
 
 
+def test_a_split_is_worked_on_in_short_runs(spark, folder):
+    """One split of many pieces: no window has to hold them all, and no piece carries the names of its file."""
+    Path(f"{folder}/in").mkdir()
+    for name in "ab":
+        items = [{"id": f"{name}{i}", "s": '} \\" { [' * (i % 3), "n": {"long": "{" * (9_000 * (i == 1_000))}} for i in range(3_000)]
+        Path(f"{folder}/in/{name}.json").write_text(json.dumps(items))
+    pieces, files = objects._stored_pieces(spark, f"{folder}/in", '"')
+    assert not {"path", "file"} & set(pieces.columns) and sorted(r["file"] for r in files.collect()) == ["a.json", "b.json"]
+    assert pieces.select("of", "block").distinct().count() == 2
+    assert 3 < pieces.groupBy(*objects.RUN).count().selectExpr("max(count)").first()[0] <= 1 << objects.RUN_BITS
+    found = objects.parsed_objects(objects.read_objects(spark, f"{folder}/in"), ["id", "s", "n"]).collect()
+    assert all(r["unreadable"] is None for r in found)
+    got = sorted((r["file"], r["item"]["id"], r["item"]["s"], len(r["item"]["n"])) for r in found)
+    longs = {i: len('{"long":""}') + 9_000 * (i == 1_000) for i in range(3_000)}
+    assert got == sorted((f"{n}.json", f"{n}{i}", '} \\" { [' * (i % 3), longs[i]) for n in "ab" for i in range(3_000))
+
+
 def test_several_files_and_odd_ones(spark, folder):
     Path(f"{folder}/in").mkdir()
     for name, text in {"a": '[{"id": "1"}]', "b": "", "c": "[]", "d": "no objects", "e": '{"id": "2"}', "f": '[{"id": "3"}, {"id": "4'}.items():
