@@ -28,8 +28,8 @@ from keeprule.session import new_folder
 MOST_WORDS = 5
 #: One word in so many is a trigger; a chunk without one is cut after LONGEST own words.
 TRIGGER, LONGEST = 16, 256
-#: Bytes of text that are worked on at a time, and rows of counts that a task holds before it hands them on.
-AT_ONCE, HELD = 1_000_000, 300_000
+#: Bytes of text that are worked on at a time; rows of counts, and their bytes, that a task holds before it hands them on.
+AT_ONCE, HELD, HELD_BYTES = 300_000, 300_000, 16_000_000
 #: The bitmaps of frequent words and pairs have 2 ** FILTER_BITS bits.
 FILTER_BITS = 26
 #: The ranking of a language is prepared in so many parts.
@@ -103,7 +103,12 @@ class Words:
         begin, sizes = self.at[first], self.at[last] + self.lengths[last] - self.at[first]
         offsets = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(sizes, out=offsets[1:])
-        taken = self.line[np.arange(offsets[-1]) + np.repeat(begin - offsets[:-1], sizes)]
+        taken, i = np.empty(offsets[-1], np.uint8), 0
+        while i < len(sizes):  # places take 8 times the bytes of the text, so they are made for AT_ONCE bytes, or a row
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + AT_ONCE, side="right")) - 1)
+            places = np.arange(offsets[i], offsets[j]) + np.repeat(begin[i:j] - offsets[i:j], sizes[i:j])
+            taken[offsets[i] : offsets[j]] = self.line[places]
+            i = j
         return pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(taken)])
 
 
@@ -115,9 +120,13 @@ def _slices_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Re
 
 
 def _totals(tables: Iterator[pa.Table], schema: pa.Schema, count: str) -> Iterator[pa.RecordBatch]:
-    """Sums of ``count`` by the other columns. What does not fit HELD rows is handed on, the smallest sums first."""
+    """Sums of ``count`` by the other columns. What fits neither HELD nor HELD_BYTES is handed on, the smallest sums first."""
     keys = [c for c in schema.names if c != count]
-    held, rows = [], 0
+    held: list[pa.Table] = []
+    full = 0.0
+
+    def share(table: pa.Table) -> float:
+        return max(table.num_rows / HELD, table.nbytes / HELD_BYTES)
 
     def added() -> pa.Table:
         sums = pa.concat_tables(held).group_by(keys).aggregate([(count, "sum")])
@@ -125,16 +134,22 @@ def _totals(tables: Iterator[pa.Table], schema: pa.Schema, count: str) -> Iterat
 
     for table in tables:
         held.append(table.select(schema.names).cast(schema))
-        rows += table.num_rows
-        if rows > HELD:
+        full += share(held[-1])
+        if full > 1:
             sums = added()
-            if 2 * sums.num_rows > HELD:
+            held, full = [sums], share(sums)
+            if 2 * full > 1:
                 order = np.argsort(sums[count].to_numpy())
-                yield from sums.take(order[: -HELD // 4]).cast(schema).to_batches(max_chunksize=50_000)
-                sums = sums.take(order[-HELD // 4 :])
-            held, rows = [sums], sums.num_rows
+                goes = len(order) - int(len(order) / (4 * full))
+                held = [sums.take(order[goes:])]
+                yield from sums.take(order[:goes]).cast(schema).to_batches(max_chunksize=50_000)
+                full = share(held[0])
+            del sums
+            pa.default_memory_pool().release_unused()  # else a worker keeps the most it ever needed
     if held:
         yield from added().cast(schema).to_batches(max_chunksize=50_000)
+    held.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -4,11 +4,13 @@ import json
 import random
 import re
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from math import floor, log
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -114,6 +116,36 @@ def test_chunks_own_every_word_once(spark):
     assert chunks.agg(F.max("own")).first()[0] <= collocations.LONGEST
 
 
+def test_text_of_many_phrases_is_cut_out_in_little_memory():
+    """Places of bytes are made for part of the phrases at a time, and give the same text."""
+    words = collocations.Words(pa.array([" ".join(f"w{i}" for i in range(40_000))]))
+    first = np.arange(len(words) - 4)
+    tracemalloc.start()
+    cut = words.slices(first, first + 4)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert cut.to_pylist() == [" ".join(f"w{j}" for j in range(i, i + 5)) for i in range(len(first))]
+    assert most < 16_000_000  # 1.3 MB of text, of which places for all at once take 30 MB
+
+
+def test_a_task_holds_few_bytes_of_counts_however_long_the_rows():
+    """100 MB of long chunks, far fewer than HELD rows: what is held stays within a few times HELD_BYTES."""
+    ones, own = pa.array([1] * 1_000, pa.int64()), pa.array([1] * 1_000, pa.int32())
+    start, most, handed = pa.total_allocated_bytes(), 0, 0
+
+    def tables():
+        nonlocal most
+        for n in range(100):
+            chunk = pa.array([f"{n} {i} ".ljust(1_000, "x") for i in range(1_000)], pa.large_string())
+            yield pa.table({"lang": pa.array(["en"] * 1_000), "chunk": chunk, "own": own, "freq": ones})
+            most = max(most, pa.total_allocated_bytes() - start)
+
+    for batch in collocations._totals(tables(), collocations.CHUNKS, "freq"):
+        handed += batch.num_rows
+    assert handed == 100_000
+    assert most < 50_000_000
+
+
 # --- ranked search --------------------------------------------------------------
 
 
