@@ -5,9 +5,9 @@ passages give equal chunks wherever they stand. It overlaps the words that follo
 an n-gram is counted in the chunk that owns its first word, hence once. N-grams are counted in distinct chunks only,
 each with its chunk's frequency.
 
-A phrase is as frequent as asked only if its words and its word pairs are. Both are first counted by hash, and bitmaps
-of fixed length keep the hashes that are frequent; collisions let more through to the exact count, never less. What is
-left is counted as text.
+A phrase is as frequent as asked only if its words and its word pairs are. Both are counted first, each occurrence once
+and as text; bitmaps of fixed length keep the hashes of the frequent ones, whose collisions let more through to the count
+of the longer phrases, never less. No task hands on a frequent word or pair a second time for that count.
 """
 
 from __future__ import annotations
@@ -166,8 +166,7 @@ def _schema(**kinds: pa.DataType) -> pa.Schema:
 
 
 CHUNKS = _schema(lang=pa.large_string(), chunk=pa.large_string(), own=pa.int32(), freq=pa.int64())
-HASHES = _schema(n_words=pa.int32(), hash=pa.int64(), f=pa.int64())
-PHRASES = _schema(lang=pa.large_string(), part=pa.large_string(), n_words=pa.int32(), f=pa.int64())
+PHRASES = _schema(lang=pa.large_string(), part=pa.large_string(), f=pa.int64())
 
 
 def _narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,27 +255,53 @@ class Bitmap:
         return (self.bits.value[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _frequent_hashes(chunks: DataFrame, least: int) -> DataFrame:
-    """n_words (1 or 2) and hash of all words and pairs that are frequent, and perhaps of others."""
+def _counted(c: Owned, n: int, which: np.ndarray, keys: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+    """The distinct phrases of ``n`` words from the words ``which`` on, told apart by ``keys``, and the number of each phrase."""
+    distinct, sums, at = _sums(keys, c.freq[which])
+    first = which[at]
+    lang = c.langs.take(pa.array(c.words.text[first]))
+    table = pa.table({"lang": lang, "part": c.words.slices(first, first + n - 1), "f": sums})
+    return table, np.searchsorted(distinct, keys)
+
+
+def _summed(counted: DataFrame, least: int) -> DataFrame:
+    """lang, part, n_words and f of the parts that are frequent."""
+    sums = counted.groupBy("lang", "part").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    return sums.select("lang", "part", F.size(F.split("part", " ")).alias("n_words"), "f")
+
+
+def _frequent_words_and_pairs(chunks: DataFrame, least: int) -> DataFrame:
+    """lang, part, n_words (1 or 2) and f of the frequent words and pairs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[pa.Table]:
             for batch in _slices_of(batches, "chunk"):
                 c = Owned(batch)
-                paired = np.flatnonzero((c.own & c.words.goes_on)[:-1])
-                owned = np.flatnonzero(c.own)
-                for n, hashes, freq in ((1, c.hash[owned], c.freq[owned]), (2, c.pairs()[paired], c.freq[paired])):
-                    keys, sums, _ = _sums(hashes.view(np.int64), freq)
-                    yield pa.table({"n_words": np.full(len(keys), n, np.int32), "hash": keys, "f": sums})
+                owned, paired = np.flatnonzero(c.own), np.flatnonzero(c.own & c.words.goes_on)
+                yield _counted(c, 1, owned, c.code[owned])[0]
+                yield _counted(c, 2, paired, c.code[paired] * c.n_codes + c.code[paired + 1])[0]
+
+        return _narrow(_totals(found(), PHRASES, "f"))
+
+    return _summed(chunks.mapInArrow(count, "lang string, part string, f long"), least)
+
+
+def _hashes(parts: DataFrame) -> DataFrame:
+    """n_words and hash of words and pairs."""
 
-        return _totals(found(), HASHES, "f")
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices_of(batches, "chunk"):
+            c = Owned(batch)
+            single = batch.column("own").to_numpy()[c.words.text] == 1
+            for n, hashes in ((1, c.hash[single]), (2, c.pairs()[c.words.goes_on[:-1]])):
+                yield pa.record_batch({"n_words": np.full(len(hashes), n, np.int32), "hash": hashes.view(np.int64)})
 
-    counted = chunks.mapInArrow(count, "n_words int, hash long, f long")
-    return counted.groupBy("n_words", "hash").agg(F.sum("f").alias("f")).where(F.col("f") >= least).drop("f")
+    as_chunks = parts.select("lang", F.col("part").alias("chunk"), F.col("n_words").alias("own"), F.col("f").alias("freq"))
+    return as_chunks.mapInArrow(code, "n_words int, hash long")
 
 
-def _frequent_phrases(chunks: DataFrame, words: Bitmap, pairs: Bitmap, least: int) -> DataFrame:
-    """lang, part, n_words and f of the frequent words and phrases."""
+def _frequent_longer(chunks: DataFrame, words: Bitmap, pairs: Bitmap, least: int) -> DataFrame:
+    """lang, part, n_words (3 or more) and f of the frequent phrases of more than two words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[pa.Table]:
@@ -285,24 +310,21 @@ def _frequent_phrases(chunks: DataFrame, words: Bitmap, pairs: Bitmap, least: in
                 linked = c.words.goes_on.copy()
                 linked[:-1] &= words.holds(c.hash[:-1]) & words.holds(c.hash[1:])
                 linked[linked] = pairs.holds(c.pairs()[linked[:-1]])
-                which, key = np.flatnonzero(c.own & words.holds(c.hash)), c.code
-                for n in range(1, MOST_WORDS + 1):
-                    if n > 1:
-                        which = which[linked[which + n - 2]]  # words n - 1 and n of the phrase are a frequent pair
+                paired = c.own & linked
+                paired[:-1] &= linked[1:]  # words 2 and 3 are a frequent pair too
+                which = np.flatnonzero(paired)
+                key = c.code * c.n_codes
+                key[:-1] += c.code[1:]
+                key[which] = np.unique(key[which], return_inverse=True)[1]
+                for n in range(3, MOST_WORDS + 1):
+                    which = which[linked[which + n - 2]]  # words n - 1 and n of the phrase are a frequent pair
                     # The key of a phrase is made of the key of all but its last word and the code of that: both exact.
-                    keys = key[which] * c.n_codes + c.code[which + n - 1] if n > 1 else c.code[which]
-                    distinct, sums, at = _sums(keys, c.freq[which])
-                    first = which[at]
-                    key = np.zeros(len(c.code), np.int64)
-                    key[which] = np.searchsorted(distinct, keys)
-                    lang = c.langs.take(pa.array(c.words.text[first]))
-                    size = np.full(len(first), n, np.int32)
-                    yield pa.table({"lang": lang, "part": c.words.slices(first, first + n - 1), "n_words": size, "f": sums})
+                    table, key[which] = _counted(c, n, which, key[which] * c.n_codes + c.code[which + n - 1])
+                    yield table
 
         return _narrow(_totals(found(), PHRASES, "f"))
 
-    counted = chunks.mapInArrow(count, "lang string, part string, n_words int, f long")
-    return counted.groupBy("lang", "part", "n_words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    return _summed(chunks.mapInArrow(count, "lang string, part string, f long"), least)
 
 
 def _part(first: Column, n: Column) -> Column:
@@ -353,9 +375,10 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000) -> DataFram
     spark = docs.sparkSession
     chunks = chunk_dictionary(docs)
     totals = chunks.groupBy("lang").agg(F.sum(F.col("own") * F.col("freq")).alias("n"))
-    hashes = stored(_frequent_hashes(chunks, least), "hashes")
+    short = stored(_frequent_words_and_pairs(chunks, least), "words-and-pairs")
+    hashes = _hashes(short)
     words, pairs = (Bitmap(spark, hashes.where(F.col("n_words") == n)) for n in (1, 2))
-    parts = stored(_frequent_phrases(chunks, words, pairs, least), "phrases")
+    parts = short.unionByName(stored(_frequent_longer(chunks, words, pairs, least), "phrases"))
 
     scored = _scored(parts, totals).join(_inner_phrases(parts), ["lang", "phrase"], "left")
     kept = scored.where(F.col("longer").isNull() | (F.col("longer") < F.col("a")))

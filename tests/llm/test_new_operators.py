@@ -116,6 +116,20 @@ def test_chunks_own_every_word_once(spark):
     assert chunks.agg(F.max("own")).first()[0] <= collocations.LONGEST
 
 
+def test_frequent_words_and_pairs_are_handed_on_by_one_count_only(spark, monkeypatch):
+    """200 frequent pairs, two of them behind each other: the last count hands on the phrases of three words and more alone."""
+    rng, counts = random.Random(7), []
+    pairs = [f"a{i} b{i}" for i in range(200)]
+    docs = [(". ".join([*rng.sample(pairs, len(pairs)), "a1 b1 a2 b2"]), "en") for _ in range(40)]
+    table = spark.createDataFrame(docs, "text string, lang string").repartition(4)
+    plain = type(table).mapInArrow
+    monkeypatch.setattr(type(table), "mapInArrow", lambda *args, **more: counts.append(plain(*args, **more)) or counts[-1])
+    assert collocated(table, 8) == plain_collocations(docs, 8, 2000)
+    handed = [{r["part"] for r in c.collect()} for c in counts if "part" in c.columns]
+    assert handed[-1] == {"a1 b1 a2", "b1 a2 b2", "a1 b1 a2 b2"}
+    assert set(pairs) | {w for p in pairs for w in p.split()} <= set().union(*handed)
+
+
 def test_text_of_many_phrases_is_cut_out_in_little_memory():
     """Places of bytes are made for part of the phrases at a time, and give the same text."""
     words = collocations.Words(pa.array([" ".join(f"w{i}" for i in range(40_000))]))
